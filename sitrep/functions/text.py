@@ -16,6 +16,9 @@ SPACE = r"\s\x1c-\x1f"
 _WORD = r"[\p{L}\p{N}_]"
 _BOUNDARY = rf"(?:(?<={_WORD})(?!{_WORD})|(?<!{_WORD})(?={_WORD}))"
 
+# What a match starts with. Testing it first passes over letters quickly.
+_STARTS = {"PHONE": r"(?=[+(\d])", "IP_ADDRESS": r"(?=\d)", "CREDIT_CARD": r"(?=\d)"}
+
 # Same matches as the EMAIL pattern in linear time: a match can only start where
 # a run of local-part characters starts, or right after the previous match.
 _EMAIL_LINEAR = (
@@ -28,7 +31,7 @@ def java_pattern(kind: str) -> str:
     if kind == "EMAIL":
         return _EMAIL_LINEAR
     pattern = C.PII_PATTERNS[kind]
-    return "(?U)" + pattern.replace(r"\s", SPACE).replace(r"\b", _BOUNDARY)
+    return "(?U)" + _STARTS[kind] + pattern.replace(r"\s", SPACE).replace(r"\b", _BOUNDARY)
 
 
 def redact(col: Column | str, kinds: Iterable[str] | None = None, strict: bool = False) -> Column:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sitrep import constants as C
 from sitrep.operators import scale
@@ -33,14 +34,9 @@ def dedup_exact(df: DataFrame, col: str, id_col: str) -> DataFrame:
     the digests are shuffled, and the rows to keep are found by their unique id, so
     a large group of copies never meets in one task. Rows with a null text are kept.
     """
-    winners = (
-        df.where(F.col(col).isNotNull())
-        .groupBy(F.sha2(F.col(col), 256).alias("digest"))
-        .agg(F.min(id_col).alias(id_col))
-        .select(id_col)
-    )
-    nulls = df.where(F.col(col).isNull()).select(id_col)
-    return df.join(winners.unionByName(nulls), id_col, "left_semi")
+    digest = F.coalesce(F.unhex(F.sha2(F.col(col), 256)), F.concat(F.lit("#"), F.col(id_col)).cast("binary"))
+    winners = df.groupBy(digest.alias("digest")).agg(F.min(id_col).alias(id_col)).select(id_col)
+    return df.join(winners, id_col, "left_semi")
 
 
 def cdx_collapse(
@@ -48,24 +44,42 @@ def cdx_collapse(
     by: Sequence[str] = ("url",),
     order: Sequence[str] = ("ts", "ord"),
     value: str = "digest",
+    hot_rows: int = scale.HOT_ROWS,
 ) -> DataFrame:
     """Drop rows whose value equals that of the row before, per group and in order.
 
-    The first row of a group is always kept. Groups are cut into ranges of the order,
-    so a group of any size is spread over many tasks; the first row of a range is
-    compared with the last row of the range before it.
+    The first row of a group is always kept. Groups of more than ``hot_rows`` rows
+    are cut into ranges of the order that go to different tasks; the first row of
+    a range is compared with the last row of the range before it.
     """
     by, order = list(by), list(order)
-    ranged = df.withColumn("__range", scale.range_bucket(df, order))
-    w = Window.partitionBy(*by, "__range").orderBy(*order)
+    hot = scale.hot_keys(df, by, hot_rows)
+    if not hot:
+        w = Window.partitionBy(*by).orderBy(*order)
+        marked = df.withColumns({"__rn": F.row_number().over(w), "__prev": F.lag(value).over(w)})
+        keep = (F.col("__rn") == 1) | ~F.col(value).eqNullSafe(F.col("__prev"))
+        return marked.where(keep).select(*df.columns)
+
+    # As a struct the key also compares when a part of it is null.
+    key = F.struct(*by).alias("__key")
+    schema = T.StructType([df.schema[c] for c in by])
+    # Fewer than scale.MAX_HOT_KEYS rows.
+    hot_table = df.sparkSession.createDataFrame(hot, schema).select(key, F.lit(True).alias("__hot"))
+    marked = df.select("*", key).join(F.broadcast(hot_table), "__key", "left")
+    bucket = scale.range_bucket(marked.where("__hot"), order)
+    ranged = marked.withColumn("__range", F.when(F.col("__hot"), bucket).otherwise(0))
+
+    w = Window.partitionBy("__key", "__range").orderBy(*order)
     inside = ranged.withColumns({"__rn": F.row_number().over(w), "__prev": F.lag(value).over(w)})
-    ends = ranged.groupBy(*by, "__range").agg(
-        F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("__last")
+    # One row per hot group and range.
+    ends = (
+        ranged.where("__hot")
+        .groupBy("__key", "__range")
+        .agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("__last"))
     )
-    # One row per group and range.
-    across = Window.partitionBy(*by).orderBy("__range")
-    carried = ends.select(*by, "__range", F.lag("__last").over(across).alias("__carry"))
-    joined = inside.join(carried, [*by, "__range"])
+    across = Window.partitionBy("__key").orderBy("__range")
+    carried = ends.select("__key", "__range", F.lag("__last").over(across).alias("__carry"))
+    joined = inside.join(carried, ["__key", "__range"], "left")
     starts_range = F.col("__rn") == 1
     keep = (
         F.when(starts_range & F.col("__carry").isNull(), True)

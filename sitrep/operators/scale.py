@@ -14,8 +14,14 @@ MAX_ROWS = 200_000
 MAX_BYTES = 32 * 1024 * 1024
 # Copies of the smaller side when a lookup has to be shuffled.
 SALTS = 16
-# Cut points of an ordered input.
-CUTS = 64
+# Ranges of an ordered input.
+MIN_RANGES = 64
+MAX_RANGES = 4096
+MAX_COUNTED_RANGES = 100_000
+ROWS_PER_RANGE = 2_000_000
+# Rows one task takes of a group without help, and keys that can need help.
+HOT_ROWS = 2_000_000
+MAX_HOT_KEYS = 10_000
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
@@ -84,49 +90,94 @@ def lookup_join(
     return salted.join(copies, [*on, "__salt"], how).drop("__salt")
 
 
-def range_bucket(df: DataFrame, order: Sequence[str], cuts: int = CUTS) -> Column:
+def range_bucket(df: DataFrame, order: Sequence[str], cuts: int | None = None) -> Column:
     """Number of the range of ``order`` a row falls in; ranges hold similar numbers of rows.
 
     The cut points come from a sample, as in a range partitioning; they decide how
-    even the ranges are, never which rows are in the result.
+    even the ranges are, never which rows are in the result. The number of ranges
+    grows with the table.
     """
-    keys = df.select(*order).where(F.col(order[0]).isNotNull())
+    keys = df.select(*order)
     total = keys.count()
-    wanted = 50 * cuts
+    if cuts is None:
+        cuts = min(MAX_RANGES, max(MIN_RANGES, total // ROWS_PER_RANGE))
+    wanted = 20 * cuts
     points = keys if total <= wanted else keys.sample(fraction=min(1.0, 1.2 * wanted / total), seed=7)
-    ranked = sorted({tuple(r) for r in points.limit(2 * wanted).collect()}, key=_null_first)
+    n = len(order)
+    as_text = points.select("*", *[F.col(c).cast("string").alias(f"__text{i}") for i, c in enumerate(order)])
+    ranked = sorted({tuple(r) for r in as_text.limit(2 * wanted).collect()}, key=lambda r: _null_first(r[:n]))
     step = max(1, len(ranked) // cuts)
     bounds = ranked[step::step]
     if not bounds:
         return F.lit(0)
-    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order)])
-    types = [df.schema[c].dataType for c in order]
-    structs = [
-        F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(b, types))])
-        for b in bounds
-    ]
-    return F.size(F.filter(F.array(*structs), lambda b: b <= key))
+
+    # Literals of the column types, as SQL text: one expression instead of many calls.
+    types = [df.schema[c].dataType.simpleString() for c in order]
+    literals = ", ".join(
+        "named_struct(" + ", ".join(f"'k{i}', {_literal(v, t)}" for i, (v, t) in enumerate(zip(r[n:], types))) + ")"
+        for r in bounds
+    )
+    key = "named_struct(" + ", ".join(f"'k{i}', `{c}`" for i, c in enumerate(order)) + ")"
+    # Binary search: the position grows by falling powers of two while the bound there
+    # is not after the key. Struct comparison puts nulls first, as sorting does.
+    jumps = ", ".join(str(1 << i) for i in reversed(range(len(bounds).bit_length())))
+    return F.expr(
+        f"""aggregate(array({jumps}), 0, (at, jump) -> CASE
+            WHEN at + jump <= {len(bounds)} AND element_at(array({literals}), at + jump) <= {key}
+            THEN at + jump ELSE at END)"""
+    )
+
+
+def _literal(value: str | None, type_name: str) -> str:
+    if value is None:
+        return f"CAST(NULL AS {type_name})"
+    quoted = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"CAST('{quoted}' AS {type_name})"
 
 
 def _null_first(key: tuple) -> tuple:
     return tuple((False,) if v is None else (True, v) for v in key)
 
 
-def global_row_number(df: DataFrame, order: Sequence[str], into: str, cuts: int = CUTS) -> DataFrame:
+def global_row_number(
+    df: DataFrame, order: Sequence[str], into: str, rows_per_range: int = ROWS_PER_RANGE
+) -> DataFrame:
     """Number all rows from 1 in the given order without sorting them in one task.
 
-    ``order`` must name the rows uniquely. Rows are numbered inside ranges of the
-    order; each range starts after the rows of the ranges before it.
+    ``order`` must name the rows uniquely. Rows are sorted into ranges, one task
+    each, and written with their place in the range; each range then starts after
+    the rows of the ranges before it.
     """
-    ranged = df.withColumn("__range", range_bucket(df, order, cuts))
-    counts = ranged.groupBy("__range").agg(F.count("*").alias("__n"))
-    # One row per range: at most 2 * cuts rows.
+    spark = df.sparkSession
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(MAX_COUNTED_RANGES, max(least, -(-df.count() // rows_per_range)))
+    placed = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    placed = placed.withColumns(
+        {
+            "__range": F.spark_partition_id(),
+            # The low 33 bits count the rows of a partition from 0.
+            "__place": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)),
+        }
+    )
+    # Written once, so that the counts and the numbers see the same ranges.
+    placed = materialize(placed, "numbered")
+    counts = placed.groupBy("__range").agg(F.count("*").alias("__n"))
+    # One row per range, MAX_COUNTED_RANGES at most.
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    inside = Window.partitionBy("__range").orderBy(*order)
     return (
-        ranged.withColumn("__rn", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "__range")
-        .withColumn(into, F.col("__rn") + F.col("__before"))
-        .drop("__range", "__rn", "__before")
+        placed.join(F.broadcast(offsets), "__range")
+        .withColumn(into, F.col("__place") + F.col("__before") + 1)
+        .drop("__range", "__place", "__before")
     )
+
+
+def hot_keys(df: DataFrame, by: Sequence[str], hot_rows: int = HOT_ROWS) -> list[tuple]:
+    """Keys with more than ``hot_rows`` rows and more than a 10000th of all rows.
+
+    So there are fewer than 10000 of them, whatever the table. Counts are combined
+    inside each task before the shuffle.
+    """
+    least = max(hot_rows, df.count() // MAX_HOT_KEYS)
+    counts = df.groupBy(*by).agg(F.count("*").alias("__n")).where(F.col("__n") > least)
+    return [tuple(r) for r in counts.select(*by).collect()]
