@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 
 # Up to this many terms, separate tests in generated code beat the automaton.
 CATALYST_TERMS = 16
+# An automaton takes tens of bytes per character of its terms in every worker.
+MAX_TERMS = 200_000
+MAX_TERM_BYTES = 8 * 1024 * 1024
 
 
 def contains_any(text: Column, terms: Sequence[str]) -> Column:

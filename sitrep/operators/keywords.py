@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -126,13 +127,15 @@ def keyword_filter(
     second = next(chunks, None)
     if second is None:
         return df.where(matching.contains_any(value, [r["k"] for r in first]))
-    # More keywords than one process should hold: one pass per part, each result
-    # written before the next part is loaded.
-    marked = df.withColumn("__hit", F.lit(False))
+    # More keywords than one process should hold: one pass per part over the rows
+    # without a hit so far, each result written before the next part is loaded.
+    found, rest = [], df
     for chunk in _again(first, second, chunks):
-        hit = matching.contains_any(value, [r["k"] for r in chunk])
-        marked = scale.materialize(marked.withColumn("__hit", F.col("__hit") | F.coalesce(hit, F.lit(False))), "keywords")
-    return marked.where("__hit").drop("__hit")
+        hit = F.coalesce(matching.contains_any(value, [r["k"] for r in chunk]), F.lit(False))
+        marked = scale.materialize(rest.withColumn("__hit", hit), "keywords")
+        found.append(marked.where("__hit").drop("__hit"))
+        rest = marked.where("NOT __hit").drop("__hit")
+    return reduce(DataFrame.unionByName, found)
 
 
 def with_matched_labels(
@@ -165,7 +168,7 @@ def keyword_hits(df: DataFrame, col: str, keywords: DataFrame, term: str = "keyw
 
 
 def _chunks(terms: DataFrame) -> Iterator[list]:
-    return scale.collected_chunks(terms.dropna())
+    return scale.collected_chunks(terms.dropna(), matching.MAX_TERMS, matching.MAX_TERM_BYTES)
 
 
 def _again(first, second, rest):

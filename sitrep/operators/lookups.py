@@ -93,9 +93,11 @@ def _resolve(
     """
     by = list(by)
     # One value per id, whatever the dictionary repeats.
-    table = table.groupBy(*by, "id").agg(F.max("value").alias("value"))
-    longest = table.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-    if longest <= MAP_ENTRIES and scale.is_small(table):
+    table, rows, size = scale.measured(table.groupBy(*by, "id").agg(F.max("value").alias("value")), "dictionary")
+    short = scale.is_small(rows, size)
+    if short:
+        short = (table.groupBy(*by).count().agg(F.max("count")).first()[0] or 0) <= MAP_ENTRIES
+    if short:
         maps = table.groupBy(*by).agg(
             F.map_from_entries(F.collect_list(F.struct("id", "value"))).alias("__map")
         )

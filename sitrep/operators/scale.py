@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Largest table that is broadcast or held by one process.
@@ -36,22 +36,25 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back; cuts the lineage."""
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return measured(df, label)[0]
+
 
+def measured(df: DataFrame, label: str = "side") -> tuple[DataFrame, int, int]:
+    """``df`` written once and read back, with its rows and its bytes as text.
 
-def measure(df: DataFrame) -> tuple[int, int]:
-    """Rows and bytes of ``df`` as text, in one distributed pass."""
+    The sizes are taken while writing, so ``df`` is computed exactly once.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    sizes = Observation()
     size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
-    rows, total = df.agg(F.count("*"), size).first()
-    return rows, total or 0
+    df.observe(sizes, F.count(F.lit(1)).alias("rows"), size.alias("bytes")).write.parquet(path)
+    found = sizes.get
+    return df.sparkSession.read.schema(df.schema).parquet(path), found["rows"], found["bytes"] or 0
 
 
-def is_small(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
-    """Whether ``df`` may be broadcast."""
-    rows, size = measure(df)
-    return rows <= max_rows and size <= max_bytes
+def is_small(rows: int, size: int) -> bool:
+    """Whether a table of this size may be broadcast or held by one process."""
+    return rows <= MAX_ROWS and size <= MAX_BYTES
 
 
 def collected_chunks(
@@ -61,8 +64,7 @@ def collected_chunks(
 
     One list if everything fits; otherwise hash buckets, each small enough.
     """
-    df = df.distinct()
-    rows, size = measure(df)
+    df, rows, size = measured(df.distinct(), "chunks")
     parts = max(-(-rows // max_rows), -(-size // max_bytes), 1)
     if parts == 1:
         yield df.collect()
@@ -77,13 +79,15 @@ def lookup_join(
 ) -> DataFrame:
     """Join rows to a table with one row per key, however often ``left`` repeats a key.
 
-    A small table is broadcast and ``left`` stays where it is. A larger one is
-    shuffled, with ``salts`` copies so that the rows of a hot key go to as many
-    tasks. The salt is the source partition of the row, so identical rows spread
-    too and a repeated task gives the same result.
+    ``right`` is computed once and its size taken. A small table is broadcast and
+    ``left`` stays where it is. A larger one is shuffled, with ``salts`` copies so
+    that the rows of a hot key go to as many tasks. The salt is the source partition
+    of the row, so identical rows spread too and a repeated task gives the same
+    result.
     """
     on = list(on)
-    if is_small(right):
+    right, rows, size = measured(right, "lookup")
+    if is_small(rows, size):
         return left.join(F.broadcast(right), on, how)
     salted = left.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     copies = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sitrep import constants as C
 from sitrep.functions import html, nested, text
-from sitrep.operators import dedup, keywords, lookups, pages
+from sitrep.operators import dedup, keywords, lookups, pages, scale
 from sitrep.sources import payloads
 from sitrep.sources import warc
 
@@ -99,13 +99,11 @@ def crowd_reports(
 ) -> DataFrame:
     """Live posts, and archived ones of deployments that gave no usable response."""
     columns = ("deployment", "url", "record", "category_names", "media_urls")
-    usable, _ = payloads.triage_responses(responses)
     live = live_posts(responses, categories, media).select(*columns)
-    old = archived_posts(snapshots, categories)
-    extra = lookups.scale.lookup_join(
-        old, usable.select("deployment").distinct(), ["deployment"], "left_anti"
-    )
-    return live.unionByName(extra, allowMissingColumns=True)
+    usable, _ = payloads.triage_responses(responses)
+    # Only the snapshots that are needed get parsed.
+    needed = scale.lookup_join(snapshots, usable.select("deployment").distinct(), ["deployment"], "left_anti")
+    return live.unionByName(archived_posts(needed, categories), allowMissingColumns=True)
 
 
 def news_rows(records: DataFrame, keyword_table: DataFrame, now: Column | None = None) -> DataFrame:

@@ -42,7 +42,8 @@ def dictionary_rows(terms: DataFrame, targets: Sequence[str] = C.TARGET_LANGS) -
     Only for dictionaries that fit into one row per language; larger ones stay
     ``lang, term, ord`` rows.
     """
-    if not scale.is_small(terms):
+    terms, rows, size = scale.measured(terms, "terms")
+    if not scale.is_small(rows, size):
         raise ValueError("dictionary too large for one row per language; use the term rows")
     wanted = terms.sparkSession.createDataFrame([(t,) for t in targets], "lang string")
     lists = terms.groupBy("lang").agg(
@@ -98,14 +99,18 @@ def write_dictionary(terms: DataFrame, path: str, targets: Sequence[str] = C.TAR
 
     The parts, put together in name order, are the JSON object.
     """
+    terms, rows, size = scale.measured(terms, "terms")
     lines = dictionary_lines(terms, targets).orderBy("section", "ord", "tie")
-    if scale.is_small(terms):
+    if scale.is_small(rows, size):
         lines = lines.coalesce(1).sortWithinPartitions("section", "ord", "tie")
     lines.select("line").write.mode("overwrite").text(path)
 
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
-    """``lang, term, ord`` of a dictionary file: an object of arrays under ``keywords``."""
+    """``lang, term, ord`` of a dictionary in one file: an object of arrays under ``keywords``.
+
+    Dictionaries of several parts are passed on as term rows, in JSON Lines.
+    """
     body = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("body"))
     keywords = F.try_variant_get("body", "$.keywords", "map<string,array<string>>")
     return (

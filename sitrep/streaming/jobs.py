@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from sitrep import constants as C
 from sitrep.operators.redaction import redact_columns
+from sitrep.operators.scale import SALTS
 
 
 def stream_jsonl(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
@@ -41,14 +43,30 @@ def stream_scrub(
 
 
 def stream_dedup(
-    stream: DataFrame, keys: Sequence[str], event_time: str | None = None, within: str | None = None
+    stream: DataFrame,
+    keys: Sequence[str],
+    event_time: str | None = None,
+    within: str | None = None,
+    salts: int = SALTS,
 ) -> DataFrame:
     """First row per key.
 
     Without a time bound every key stays in the state. ``event_time`` and ``within``
     bound it: a key is forgotten when the watermark has passed it, so this is exact
-    for copies at most ``within`` apart.
+    when all copies of a key lie within ``within``.
+
+    Copies are first dropped per key and salt, so that ``salts`` tasks share the
+    rows of a hot key; at most that many rows per key reach the final step.
     """
-    if event_time is None:
-        return stream.dropDuplicates(list(keys))
-    return stream.withWatermark(event_time, within).dropDuplicatesWithinWatermark(list(keys))
+    keys = list(keys)
+
+    def first(df: DataFrame, by: Sequence[str]) -> DataFrame:
+        return df.dropDuplicates(by) if event_time is None else df.dropDuplicatesWithinWatermark(by)
+
+    if event_time is not None:
+        stream = stream.withWatermark(event_time, within)
+    if salts > 1:
+        # Any salt is right: what passes is checked again without it.
+        salted = stream.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        stream = first(salted, [*keys, "__salt"]).drop("__salt")
+    return first(stream, keys)
