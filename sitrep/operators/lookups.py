@@ -112,24 +112,25 @@ def _resolve(
             .drop("__map")
         )
 
-    keyed = posts.withColumn("__refs", refs)
-    distinct = keyed.select(*by, "__refs").where(F.size("__refs") > 0).distinct()
-    entries = distinct.select(*by, "__refs", F.posexplode("__refs").alias("__pos", "__ref")).select(
-        "*", F.col("__ref.id").alias("id")
-    )
+    # As one struct the key also compares when the deployment is null.
+    keyed = posts.withColumn("__key", F.struct(*by, refs.alias("__refs")))
+    distinct = keyed.select("__key").where(F.size("__key.__refs") > 0).distinct()
+    entries = distinct.select(
+        "__key", *[f"__key.{c}" for c in by], F.posexplode("__key.__refs").alias("__pos", "__ref")
+    ).select("*", F.col("__ref.id").alias("id"))
     found = scale.lookup_join(entries, table, [*by, "id"], "left")
     # A group is the reference list of one post.
     lists = (
-        found.groupBy(*by, "__refs")
+        found.groupBy("__key")
         .agg(
             F.array_sort(
                 F.collect_list(F.struct("__pos", _value(F.col("__ref"), F.col("value")).alias("v")))
             ).alias("__found")
         )
-        .select(*by, "__refs", F.array_compact(F.transform("__found", lambda x: x["v"])).alias(into))
+        .select("__key", F.array_compact(F.transform("__found", lambda x: x["v"])).alias(into))
     )
-    resolved = scale.lookup_join(keyed, lists, [*by, "__refs"], "left")
-    return resolved.withColumn(into, F.coalesce(into, F.array().cast("array<string>"))).drop("__refs")
+    resolved = scale.lookup_join(keyed, lists, ["__key"], "left")
+    return resolved.withColumn(into, F.coalesce(into, F.array().cast("array<string>"))).drop("__key")
 
 
 def source_fallback(

@@ -7,7 +7,6 @@ the rows before the break and one row whose ``error`` says what happened.
 
 from __future__ import annotations
 
-import gzip
 import zlib
 from collections.abc import Iterator
 
@@ -96,7 +95,7 @@ class WarcReader(DataSourceReader):
         try:
             filesystem, path = _open_filesystem(uri)
             with filesystem.open_input_stream(path, compression=None, buffer_size=1 << 20) as raw:
-                stream = gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else raw
+                stream = _Unzipped(raw) if path.endswith(".gz") else raw
                 for head, body in warc_records(stream):
                     kind = head.get("warc-type", "")
                     if self.record_types and kind not in self.record_types:
@@ -134,6 +133,34 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
+class _Unzipped:
+    """Text of a gzip stream of any number of members, handed out as far as it is intact."""
+
+    def __init__(self, raw):
+        self.raw = raw
+        self.pending = b""
+        self.member = None
+
+    def read(self, n: int) -> bytes:
+        while True:
+            if not self.pending:
+                self.pending = self.raw.read(1 << 16)
+            if self.member is None:
+                if not self.pending:
+                    return b""
+                self.member = zlib.decompressobj(31)
+            cut_off = not self.pending
+            out = self.member.decompress(self.pending, n)
+            if self.member.eof:
+                self.pending, self.member = self.member.unused_data, None
+            else:
+                self.pending = self.member.unconsumed_tail
+            if out:
+                return out
+            if cut_off:
+                raise EOFError("compressed data is cut off")
+
+
 def _exactly(stream, n: int) -> bytes:
     parts = []
     while n:
