@@ -131,7 +131,7 @@ ORACLE = {
     "warc_html_filter": """SELECT page_id, 'response' AS rec_type,
         CASE page_id % 4 WHEN 0 THEN 'text/html; charset=utf-8' ELSE 'x text/html' END AS content_type
         FROM pages WHERE page_id % 3 <> 0 AND page_id % 4 IN (0, 3)""",
-    "keyword_filter": f"SELECT page_id FROM pages WHERE EXISTS (SELECT 1 FROM {KEYWORDS} k WHERE contains(lower(html), keyword))",
+    "keyword_filter": f"SELECT doc_id FROM documents WHERE EXISTS (SELECT 1 FROM {KEYWORDS} k WHERE contains(lower(text), keyword))",
     "ludp_terms": f"SELECT language_code AS lang, term, ord FROM {LUDP} WHERE language_code IN ('de', 'es')",
     "post_filter": "SELECT doc_id FROM documents WHERE doc_id % 5 < 4 AND doc_id % 3 <> 1",
     "cdx_select": f"""SELECT url, ts, ord FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY ts DESC, ord DESC) AS k
@@ -196,6 +196,10 @@ ORACLE = {
           string_agg(DISTINCT code, '|' ORDER BY code) AS codes
         FROM documents JOIN {LEXICON} ON contains(lower(text), term) GROUP BY doc_id, text) GROUP BY text""",
     # whole phases
+    "keyword_dictionary": f"""SELECT DISTINCT CASE language_code WHEN 'de' THEN 'swa' ELSE 'mar' END AS lang, term
+          FROM {LUDP} WHERE language_code IN ('de', 'es')
+        UNION SELECT CASE doc_id % 3 WHEN 0 THEN 'swa' ELSE 'ceb' END, 'wort' || (doc_id % 97) FROM documents WHERE doc_id % 3 < 2
+        UNION ALL SELECT 'tgl', unnest(['lindol', 'bagyo', 'baha', 'sakuna', 'tulong', 'sunog', 'paglikas'])""",
     "news_rows": f"""SELECT url AS source_url, CASE WHEN page_id % 2 = 0 THEN '' ELSE 'a & b' END AS content,
         't' || page_id AS title, 'http://img/' || page_id AS media_url FROM pages
         WHERE page_id % 3 = 0 AND (page_id % 2 = 0 OR page_id % 5 <> 0) AND page_id % 5 <> 0

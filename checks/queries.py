@@ -304,9 +304,9 @@ def warc_html_filter(spark, sf):
 @query
 def keyword_filter(spark, sf):
     kept = keywords.keyword_filter(
-        I.table(spark, sf, "pages"), "html", I.keyword_table(I.table(spark, sf, "benchmark"))
+        I.table(spark, sf, "documents"), "text", I.keyword_table(I.table(spark, sf, "benchmark"))
     )
-    return kept.select("page_id")
+    return kept.select("doc_id")
 
 
 @query
@@ -536,6 +536,20 @@ def adaptation_chain(spark, sf):
 # --- whole phases ----------------------------------------------------------
 
 
+@query
+def keyword_dictionary(spark, sf):
+    """Language-use records and glossary pages to one dictionary with its fallback terms."""
+    docs = I.table(spark, sf, "documents")
+    records = I.ludp(docs).withColumn("language_code", F.expr("CASE language_code WHEN 'de' THEN 'swa' WHEN 'es' THEN 'mar' ELSE language_code END"))
+    glossary = docs.selectExpr(
+        "source AS category",
+        "doc_id AS ord",
+        """concat('<table><tr><td>Wort', doc_id % 97, '</td><td> ', CASE doc_id % 3 WHEN 0 THEN 'SWA' WHEN 1 THEN 'ceb' ELSE 'xx' END,
+           ' </td></tr></table><p>swa outside</p>') AS html""",
+    )
+    return acquisition.keyword_dictionary(records, glossary).select("lang", "term")
+
+
 @query
 def news_rows(spark, sf):
     """Archived segments to news rows."""

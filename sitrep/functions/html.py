@@ -21,6 +21,10 @@ KEEP_SPACE = frozenset(("pre", "textarea"))
 _META_CHARSET = re.compile(rb"<\s*meta[^>]+charset\s*=\s*[\"']?([^>]*?)[ /;'\">]", re.I)
 
 
+class _AllFound(Exception):
+    """Nothing later on the page can change the answer."""
+
+
 class _Meta(HTMLParser):
     """First ``content`` of each wanted ``meta property``; a tag without content counts as empty."""
 
@@ -36,6 +40,8 @@ class _Meta(HTMLParser):
         name = values.get("property")
         if name in self.wanted and name not in self.found:
             self.found[name] = values.get("content", "")
+            if len(self.found) == len(self.wanted):
+                raise _AllFound
 
     handle_startendtag = handle_starttag
 
@@ -43,8 +49,11 @@ class _Meta(HTMLParser):
 def open_graph(html: str) -> tuple[str, str, str] | None:
     """``(image, description, title)`` if the page names an image and a description."""
     parser = _Meta(("og:image", "og:description", "og:title"))
-    parser.feed(html)
-    parser.close()
+    try:
+        parser.feed(html)
+        parser.close()
+    except _AllFound:
+        pass
     if "og:image" not in parser.found or "og:description" not in parser.found:
         return None
     return parser.found["og:image"], parser.found["og:description"], parser.found.get("og:title", "")

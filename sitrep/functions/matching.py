@@ -66,7 +66,8 @@ def matched_labels(text: Column, pairs: Sequence[tuple[str, str]]) -> Column:
                 out.append(sorted(hits))
             yield pd.Series(out)
 
-    return labels(text)
+    # Keeps the optimizer from running the pass a second time for a filter it derives.
+    return labels.asNondeterministic()(text)
 
 
 def _automaton(pairs: Sequence[tuple[str, str]]):

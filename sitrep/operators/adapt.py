@@ -49,14 +49,15 @@ def record_of(df: DataFrame) -> Column:
 
 def envelope(df: DataFrame, operation: str) -> DataFrame:
     """Add the operation, the prompt and the source record to every row."""
-    record = record_of(df)
-    return df.withColumns(
+    record = F.col("__record")
+    enveloped = df.withColumn("__record", record_of(df)).withColumns(
         {
             C.OPERATION_COLUMN: F.lit(operation),
             C.PROMPT_COLUMN: nested.prompt(record),
             C.SOURCE_COLUMN: nested.canonical_json(record),
         }
     )
+    return enveloped.drop("__record")
 
 
 def strip_internal(df: DataFrame) -> DataFrame:

@@ -28,15 +28,14 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
 
 
 def dedup_exact(df: DataFrame, col: str, id_col: str) -> DataFrame:
-    """One row per distinct text, the one with the smallest id; ids must be unique.
+    """One row per distinct text, the one with the smallest id; rows without a text are kept.
 
-    Texts are compared by SHA-256 digest. Copies collapse inside each task before
-    the digests are shuffled, and the rows to keep are found by their unique id, so
-    a large group of copies never meets in one task. Rows with a null text are kept.
+    Texts are compared by SHA-256 digest, in one pass over ``df``. Copies collapse
+    inside each task before the shuffle, so a large group of copies reaches its
+    final task as one row per task. Rows without a text are groups of their own.
     """
     digest = F.coalesce(F.unhex(F.sha2(F.col(col), 256)), F.concat(F.lit("#"), F.col(id_col)).cast("binary"))
-    winners = df.groupBy(digest.alias("digest")).agg(F.min(id_col).alias(id_col)).select(id_col)
-    return df.join(winners, id_col, "left_semi")
+    return latest_per_key(df.withColumn("__digest", digest), ["__digest"], [F.asc(id_col)]).drop("__digest")
 
 
 def cdx_collapse(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitrep import constants as C
@@ -145,20 +145,41 @@ def with_matched_labels(
 
     Texts without a match get an empty array. Rows stay in their partitions.
     """
-    pairs = lexicon.select(F.lower(term).alias("t"), F.col(label).alias("l")).dropna()
+    return with_all_matched_labels(df, col, {into: (lexicon, term, label)})
+
+
+def with_all_matched_labels(
+    df: DataFrame, col: str, lexicons: Mapping[str, tuple[DataFrame, str, str]]
+) -> DataFrame:
+    """:func:`with_matched_labels` for several ``{into: (lexicon, term, label)}`` in one pass."""
+    names = list(lexicons)
+    # Labels carry the number of their lexicon through the one pass over the text.
+    pairs = reduce(
+        DataFrame.unionByName,
+        [
+            lexicon.select(F.lower(term).alias("t"), F.concat(F.lit(f"{i}:"), F.col(label)).alias("l"))
+            for i, (lexicon, term, label) in enumerate(lexicons.values())
+        ],
+    )
     chunks = _chunks(pairs)
     first = next(chunks)
     second = next(chunks, None)
     value = F.lower(col)
     if second is None:
-        return df.withColumn(into, matching.matched_labels(value, [tuple(r) for r in first]))
-    out = df.withColumn(into, F.array().cast("array<string>"))
-    for chunk in _again(first, second, chunks):
-        found = matching.matched_labels(value, [tuple(r) for r in chunk])
-        out = scale.materialize(
-            out.withColumn(into, F.array_sort(F.array_union(into, found))), "labels"
-        )
-    return out
+        out = df.withColumn("__labels", matching.matched_labels(value, [tuple(r) for r in first]))
+    else:
+        out = df.withColumn("__labels", F.array().cast("array<string>"))
+        for chunk in _again(first, second, chunks):
+            found = matching.matched_labels(value, [tuple(r) for r in chunk])
+            out = scale.materialize(
+                out.withColumn("__labels", F.array_sort(F.array_union("__labels", found))), "labels"
+            )
+
+    def own(i: int) -> Column:
+        mine = F.filter("__labels", lambda l: l.startswith(f"{i}:"))
+        return F.transform(mine, lambda l: F.substring(l, len(f"{i}:") + 1, 2**31 - 1))
+
+    return out.withColumns({name: own(i) for i, name in enumerate(names)}).drop("__labels")
 
 
 def keyword_hits(df: DataFrame, col: str, keywords: DataFrame, term: str = "keyword") -> DataFrame:

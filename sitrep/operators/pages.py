@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitrep import constants as C
@@ -51,3 +51,20 @@ def og_extract(
         F.array("image").alias("media_urls"),
         text.iso_timestamp(F.current_timestamp() if now is None else now).alias("timestamp"),
     )
+
+
+def register_sql(spark: SparkSession) -> None:
+    """Table functions for SQL: ``og_extract(html)`` and ``glossary_rows(html)``."""
+
+    class OgExtract:
+        def eval(self, page: str):
+            found = html.open_graph(page) if page is not None else None
+            if found:
+                yield found
+
+    class GlossaryRows:
+        def eval(self, page: str):
+            yield from enumerate(html.element_texts(page or ""))
+
+    spark.udtf.register("og_extract", F.udtf(OgExtract, returnType="image string, description string, title string"))
+    spark.udtf.register("glossary_rows", F.udtf(GlossaryRows, returnType="row_no bigint, text string"))

@@ -7,17 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from sitrep import constants as C
-from sitrep.operators import adapt, audit
+from sitrep.operators import adapt, audit, keywords
 from sitrep.operators.redaction import redact_columns
 
 
 def adaptation_chain(
     df: DataFrame, keyword_table: DataFrame, lexicon: DataFrame, taxonomy: DataFrame, col: str, id_col: str
 ) -> DataFrame:
-    """Noise filter, intents, framework codes."""
+    """Noise filter, then intents and framework codes in one pass over the texts left."""
     kept = adapt.filter_noise(df, keyword_table, col, id_col)
-    tagged = adapt.extract_intents(kept, lexicon, col)
-    return adapt.map_taxonomy(tagged, taxonomy, col)
+    return keywords.with_all_matched_labels(
+        kept, col, {"intents": (lexicon, "term", "intent"), "codes": (taxonomy, "term", "code")}
+    )
 
 
 def validated(
