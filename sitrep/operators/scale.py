@@ -25,13 +25,17 @@ MAX_HOT_KEYS = 10_000
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder the session names in ``spark.checkpoint.dir``."""
+    """A new path in the shared folder the session names in ``spark.checkpoint.dir``.
+
+    All paths of an application lie in one folder, which can go when it has ended.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="sitrep-")
-    return f"{root.rstrip('/')}/sitrep-{label}-{uuid.uuid4().hex}"
+    run = spark.sparkContext.applicationId
+    return f"{root.rstrip('/')}/sitrep-{run}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
