@@ -13,8 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Up to this many terms, separate tests in generated code beat the automaton.
-CATALYST_TERMS = 16
+# Up to this many terms, separate tests in generated code match the automaton.
+CATALYST_TERMS = 6
 # An automaton takes tens of bytes per character of its terms in every worker.
 MAX_TERMS = 200_000
 MAX_TERM_BYTES = 8 * 1024 * 1024

@@ -4,12 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitrep import constants as C
 
 
+def once(df: DataFrame, value: Column, into: str) -> DataFrame:
+    """Add a costly column that is computed once per row.
+
+    The optimizer copies the expression of a plain column into later filters and
+    conditions; it does not do so across a generator.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(into))
+
+
 def _get(value: Column, path: str, kind: str) -> Column:
     return F.try_variant_get(value, path, kind)
 

@@ -62,10 +62,10 @@ def cdx_collapse(
     # As a struct the key also compares when a part of it is null.
     key = F.struct(*by).alias("__key")
     schema = T.StructType([df.schema[c] for c in by])
-    # Fewer than scale.MAX_HOT_KEYS rows.
-    hot_table = df.sparkSession.createDataFrame(hot, schema).select(key, F.lit(True).alias("__hot"))
+    # At most scale.MAX_HOT_KEYS rows.
+    hot_table = df.sparkSession.createDataFrame([k[:-1] for k in hot], schema).select(key, F.lit(True).alias("__hot"))
     marked = df.select("*", key).join(F.broadcast(hot_table), "__key", "left")
-    bucket = scale.range_bucket(marked.where("__hot"), order)
+    bucket = scale.range_bucket(marked.where("__hot"), order, total=sum(k[-1] for k in hot))
     ranged = marked.withColumn("__range", F.when(F.col("__hot"), bucket).otherwise(0))
 
     w = Window.partitionBy("__key", "__range").orderBy(*order)

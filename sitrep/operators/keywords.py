@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitrep import constants as C
-from sitrep.functions import html, matching, text
+from sitrep.functions import html, matching, nested, text
 from sitrep.operators import scale
 
 
@@ -67,7 +67,7 @@ def glossary_terms(
     its letters stand, so ``mar`` is also found in "market"; ``token`` asks for whole
     words. Other columns are kept.
     """
-    lowered = F.lower(col)
+    lowered = F.col("__text")
     found = [
         F.when(
             lowered.rlike(rf"(?U)\b{code}\b") if token else F.contains(lowered, F.lit(code)),
@@ -76,9 +76,10 @@ def glossary_terms(
         for code in targets
     ]
     return (
-        rows.withColumn("term", text.first_long_word(col))
+        nested.once(nested.once(rows, F.lower(col), "__text"), text.first_long_word("__text"), "term")
         .where(F.col("term").isNotNull())
         .withColumn("lang", F.explode(F.array_compact(F.array(*found))))
+        .drop("__text")
     )
 
 
@@ -126,7 +127,11 @@ def keyword_filter(
     first = next(chunks)
     second = next(chunks, None)
     if second is None:
-        return df.where(matching.contains_any(value, [r["k"] for r in first]))
+        words = [r["k"] for r in first]
+        if len(words) > matching.CATALYST_TERMS:
+            return df.where(matching.contains_any(value, words))
+        lowered = nested.once(df, value, "__text")
+        return lowered.where(matching.contains_any(F.col("__text"), words)).drop("__text")
     # More keywords than one process should hold: one pass per part over the rows
     # without a hit so far, each result written before the next part is loaded.
     found, rest = [], df
@@ -166,7 +171,12 @@ def with_all_matched_labels(
     second = next(chunks, None)
     value = F.lower(col)
     if second is None:
-        out = df.withColumn("__labels", matching.matched_labels(value, [tuple(r) for r in first]))
+        words = [tuple(r) for r in first]
+        if len(words) > matching.CATALYST_TERMS:
+            out = df.withColumn("__labels", matching.matched_labels(value, words))
+        else:
+            lowered = nested.once(df, value, "__text")
+            out = lowered.withColumn("__labels", matching.matched_labels(F.col("__text"), words)).drop("__text")
     else:
         out = df.withColumn("__labels", F.array().cast("array<string>"))
         for chunk in _again(first, second, chunks):

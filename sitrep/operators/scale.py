@@ -98,15 +98,17 @@ def lookup_join(
     return salted.join(copies, [*on, "__salt"], how).drop("__salt")
 
 
-def range_bucket(df: DataFrame, order: Sequence[str], cuts: int | None = None) -> Column:
+def range_bucket(
+    df: DataFrame, order: Sequence[str], cuts: int | None = None, total: int | None = None
+) -> Column:
     """Number of the range of ``order`` a row falls in; ranges hold similar numbers of rows.
 
     The cut points come from a sample, as in a range partitioning; they decide how
     even the ranges are, never which rows are in the result. The number of ranges
-    grows with the table.
+    grows with the table, whose rows are counted unless ``total`` is given.
     """
     keys = df.select(*order)
-    total = keys.count()
+    total = keys.count() if total is None else total
     if cuts is None:
         cuts = min(MAX_RANGES, max(MIN_RANGES, total // ROWS_PER_RANGE))
     wanted = 20 * cuts
@@ -181,11 +183,10 @@ def global_row_number(
 
 
 def hot_keys(df: DataFrame, by: Sequence[str], hot_rows: int = HOT_ROWS) -> list[tuple]:
-    """Keys with more than ``hot_rows`` rows and more than a 10000th of all rows.
+    """The most frequent keys with more than ``hot_rows`` rows, as ``(key…, rows)``.
 
-    So there are fewer than 10000 of them, whatever the table. Counts are combined
-    inside each task before the shuffle.
+    At most MAX_HOT_KEYS, so any other key holds less than that part of all rows.
+    Counts are combined inside each task before the shuffle.
     """
-    least = max(hot_rows, df.count() // MAX_HOT_KEYS)
-    counts = df.groupBy(*by).agg(F.count("*").alias("__n")).where(F.col("__n") > least)
-    return [tuple(r) for r in counts.select(*by).collect()]
+    counts = df.groupBy(*by).agg(F.count("*").alias("__n")).where(F.col("__n") > hot_rows)
+    return [tuple(r) for r in counts.orderBy(F.desc("__n")).limit(MAX_HOT_KEYS).collect()]

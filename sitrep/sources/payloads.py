@@ -20,13 +20,14 @@ def classify_responses(df: DataFrame) -> DataFrame:
     looks_like_json = F.coalesce(
         F.lower("content_type").contains("json"), F.lit(False)
     ) | F.coalesce(F.col("body").rlike(r"(?U)^[\s\x1c-\x1f]*[\[{]"), F.lit(False))
-    parsed = F.try_parse_json("body")
+    usable = looks_like_json & ~F.coalesce(F.col("status") >= 400, F.lit(False))
+    parsed = nested.once(df, F.when(usable, F.try_parse_json("body")), "payload")
     reason = (
         F.when(F.col("status") >= 400, "status")
         .when(~looks_like_json, "not_json")
-        .when(parsed.isNull(), "invalid_json")
+        .when(F.col("payload").isNull(), "invalid_json")
     )
-    return df.withColumns({"reason": reason, "payload": F.when(reason.isNull(), parsed)})
+    return parsed.withColumn("reason", reason)
 
 
 def triage_responses(df: DataFrame) -> tuple[DataFrame, DataFrame]:

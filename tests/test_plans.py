@@ -21,6 +21,28 @@ def test_no_pairs_of_everything(spark, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+@pytest.mark.parametrize(
+    "name, part, times",
+    [
+        ("api_result_items", "parseJson", 1),
+        ("adaptation_chain", "ArrowEvalPython [", 2),
+        ("keyword_hits", "ArrowEvalPython [", 1),
+        ("dedup_exact", "Exchange hash", 1),
+        ("dedup_exact", "FileScan", 1),
+        ("adapt_envelope", "to_variant_object", 1),
+        ("pii_redact", "Exchange", 0),
+        ("category_names", "SortMergeJoin", 0),
+    ],
+)
+def test_costly_steps_run_once(spark, name, part, times):
+    spark.conf.set("spark.sql.maxPlanStringLength", "10000000")
+    try:
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxPlanStringLength")
+    assert plan.count(part) == times
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     plan = QUERIES["cdx_select"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp" in plan and "value" not in plan
