@@ -104,7 +104,7 @@ def ludp(docs: DataFrame) -> DataFrame:
     """Documents as language-use records; some have no term."""
     return docs.select(
         F.col("lang").alias("language_code"),
-        F.expr("CASE WHEN doc_id % 5 = 0 THEN '' ELSE split(text, ' ')[0] END").alias("term"),
+        F.expr("CASE WHEN doc_id % 5 = 0 THEN '' ELSE substring_index(text, ' ', 1) END").alias("term"),
         F.col("source").alias("language_name_local"),
         F.col("doc_id").alias("ord"),
     )

@@ -107,5 +107,5 @@ def page_of(df: DataFrame, order: Sequence[str], size: int = C.PAGE_SIZE, into:
 
 
 def page_slice(df: DataFrame, order: Sequence[str], offset: int, limit: int = C.PAGE_SIZE) -> DataFrame:
-    """One page of the ordered rows."""
+    """One page of the ordered rows. For deep pages of large tables filter :func:`page_of` instead."""
     return df.orderBy(*order).offset(offset).limit(limit)

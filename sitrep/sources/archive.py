@@ -30,9 +30,12 @@ def cdx_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
             F.when(nested.truthy(by_key), F.try_variant_get("row", f"$.{key}", "string")),
         )
 
-    return rows.select(
-        *rest, "ord", field(0, "timestamp").alias("timestamp"), field(1, "original").alias("original")
-    ).where(F.col("timestamp").isNotNull() & F.col("original").isNotNull())
+    pair = F.struct(field(0, "timestamp").alias("timestamp"), field(1, "original").alias("original"))
+    return (
+        nested.once(rows, pair, "pair")
+        .where("pair.timestamp IS NOT NULL AND pair.original IS NOT NULL")
+        .select(*rest, "ord", "pair.*")
+    )
 
 
 def warc_paths(
