@@ -18,7 +18,7 @@ VOID = frozenset(
 HIDDEN = frozenset(("script", "style", "template"))
 KEEP_SPACE = frozenset(("pre", "textarea"))
 
-_META_CHARSET = re.compile(rb"<\s*meta[^>]+charset\s*=\s*[\"']?([^>]*?)[ /;'\">]", re.I)
+_META_CHARSET = re.compile(rb"<meta\b[^>]*\bcharset\s*=\s*[\"']?\s*([\w.:+-]+)", re.I)
 
 
 class _AllFound(Exception):
@@ -153,7 +153,8 @@ def decode_page(payload: bytes) -> str:
     ):
         if payload.startswith(mark):
             return payload[len(mark):].decode(name, errors="replace")
-    declared = _META_CHARSET.search(payload)
+    # A charset is declared near the start of a page.
+    declared = _META_CHARSET.search(payload[: max(2048, len(payload) // 20)])
     names = [declared.group(1).decode("ascii", errors="ignore")] if declared else []
     for name in names + ["utf-8", "windows-1252"]:
         try:

@@ -67,7 +67,7 @@ def glossary_terms(
     its letters stand, so ``mar`` is also found in "market"; ``token`` asks for whole
     words. Other columns are kept.
     """
-    lowered = F.col("__text")
+    lowered = F.col("__lowered")
     found = [
         F.when(
             lowered.rlike(rf"(?U)\b{code}\b") if token else F.contains(lowered, F.lit(code)),
@@ -76,10 +76,10 @@ def glossary_terms(
         for code in targets
     ]
     return (
-        nested.once(nested.once(rows, F.lower(col), "__text"), text.first_long_word("__text"), "term")
+        nested.once(nested.once(rows, F.lower(col), "__lowered"), text.first_long_word("__lowered"), "term")
         .where(F.col("term").isNotNull())
         .withColumn("lang", F.explode(F.array_compact(F.array(*found))))
-        .drop("__text")
+        .drop("__lowered")
     )
 
 
@@ -130,8 +130,8 @@ def keyword_filter(
         words = [r["k"] for r in first]
         if len(words) > matching.CATALYST_TERMS:
             return df.where(matching.contains_any(value, words))
-        lowered = nested.once(df, value, "__text")
-        return lowered.where(matching.contains_any(F.col("__text"), words)).drop("__text")
+        lowered = nested.once(df, value, "__lowered")
+        return lowered.where(matching.contains_any(F.col("__lowered"), words)).drop("__lowered")
     # More keywords than one process should hold: one pass per part over the rows
     # without a hit so far, each result written before the next part is loaded.
     found, rest = [], df
@@ -175,8 +175,8 @@ def with_all_matched_labels(
         if len(words) > matching.CATALYST_TERMS:
             out = df.withColumn("__labels", matching.matched_labels(value, words))
         else:
-            lowered = nested.once(df, value, "__text")
-            out = lowered.withColumn("__labels", matching.matched_labels(F.col("__text"), words)).drop("__text")
+            lowered = nested.once(df, value, "__lowered")
+            out = lowered.withColumn("__labels", matching.matched_labels(F.col("__lowered"), words)).drop("__lowered")
     else:
         out = df.withColumn("__labels", F.array().cast("array<string>"))
         for chunk in _again(first, second, chunks):

@@ -112,8 +112,8 @@ def news_rows(records: DataFrame, keyword_table: DataFrame, now: Column | None =
     The cheap tests come first; only relevant pages reach the HTML parser. No shuffle.
     """
     responses = warc.html_responses(records)
-    lowered = responses.withColumn("__text", F.lower(valid_text("payload")))
-    relevant = keywords.keyword_filter(lowered, "__text", keyword_table, lower=False)
+    lowered = responses.withColumn("__page_text", F.lower(valid_text("payload")))
+    relevant = keywords.keyword_filter(lowered, "__page_text", keyword_table, lower=False)
     return pages.og_extract(relevant, "target_uri", "payload", now)
 
 

@@ -1,13 +1,14 @@
 """Web-archive segments as a Spark data source: ``spark.read.format("warc")``.
 
-Each segment file is one partition and is read as a stream, so a task holds one
-record at a time however large the segment is. A segment that breaks off yields
-the rows before the break and one row whose ``error`` says what happened.
+A segment is read as a stream, so a task holds one record at a time however large
+the segment is. A segment that breaks off yields the rows before the break and one
+row whose ``error`` says what happened.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,15 +28,22 @@ _ARROW = pa.schema(
         ("error", pa.string()),
     ]
 )
+# What a gzip member starts with.
+_MEMBER = b"\x1f\x8b\x08"
 _BATCH_ROWS = 1000
 _BATCH_BYTES = 16 * 1024 * 1024
 
 
 class WarcSource(DataSource):
-    """Options: ``path``; ``recordTypes`` and ``contentTypes``, comma-separated.
+    """Options: ``path``; ``recordTypes`` and ``contentTypes``, comma-separated; ``splitBytes``.
 
     Records of other types, and responses whose content type contains none of the
     given texts, are passed over before they reach Spark.
+
+    Each file is one partition. With ``splitBytes``, gzip files above that size are
+    read by several tasks, each starting at the first compressed record of its part;
+    a broken part then loses its own remaining rows only. Leave it out for archives
+    that hold other archives, whose records would be taken for the file's own.
     """
 
     @classmethod
@@ -50,8 +58,10 @@ class WarcSource(DataSource):
 
 
 class Segment(InputPartition):
-    def __init__(self, uri: str):
-        self.uri = uri
+    """The records of a file that start in members from ``start`` up to ``end``."""
+
+    def __init__(self, uri: str, start: int = 0, end: int | None = None):
+        self.uri, self.start, self.end = uri, start, end
 
 
 class WarcReader(DataSourceReader):
@@ -59,6 +69,7 @@ class WarcReader(DataSourceReader):
         self.path = options["path"]
         self.record_types = _listed(options.get("recordTypes"))
         self.content_types = _listed(options.get("contentTypes"))
+        self.split_bytes = int(options.get("splitBytes") or 0)
 
     def partitions(self) -> list[InputPartition]:
         from pyarrow import fs
@@ -74,15 +85,21 @@ class WarcReader(DataSourceReader):
                 files = filesystem.get_file_info(fs.FileSelector(root, recursive=True))
             prefix = path[: len(path) - len(root)] if path.endswith(root) else ""
             found += [
-                prefix + f.path
+                (prefix + f.path, f.size)
                 for f in files
                 if f.type == fs.FileType.File and f.size and not f.base_name.startswith(("_", "."))
             ]
-        return [Segment(uri) for uri in sorted(found)]
+        return [part for uri, size in sorted(found) for part in self._parts(uri, size)]
+
+    def _parts(self, uri: str, size: int) -> list[Segment]:
+        step = self.split_bytes
+        if not step or size <= step or not uri.endswith(".gz"):
+            return [Segment(uri)]
+        return [Segment(uri, start, min(start + step, size)) for start in range(0, size, step)]
 
     def read(self, partition: Segment) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
-        for row in self._rows(partition.uri):
+        for row in self._rows(partition):
             rows.append(row)
             size += len(row[4] or b"")
             if len(rows) >= _BATCH_ROWS or size >= _BATCH_BYTES:
@@ -91,12 +108,17 @@ class WarcReader(DataSourceReader):
         if rows:
             yield _batch(rows)
 
-    def _rows(self, uri: str):
+    def _rows(self, part: Segment):
+        uri = part.uri
         try:
             filesystem, path = _open_filesystem(uri)
-            with filesystem.open_input_stream(path, compression=None, buffer_size=1 << 20) as raw:
-                stream = _Unzipped(raw) if path.endswith(".gz") else raw
-                for head, body in warc_records(stream):
+            with filesystem.open_input_file(path) as raw:
+                start = first_member(raw, part.start, part.end) if part.start else 0
+                if start is None:
+                    return
+                raw.seek(start)
+                stream = _Unzipped(raw, start) if path.endswith(".gz") else raw
+                for head, body in warc_records(stream, part.end):
                     kind = head.get("warc-type", "")
                     if self.record_types and kind not in self.record_types:
                         continue
@@ -136,19 +158,30 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 class _Unzipped:
     """Text of a gzip stream of any number of members, handed out as far as it is intact."""
 
-    def __init__(self, raw):
+    def __init__(self, raw, offset: int = 0):
         self.raw = raw
         self.pending = b""
         self.member = None
+        self.offset = offset  # compressed bytes taken from the file so far
+        self.plain = 0  # bytes handed out so far
+        self.starts: deque[tuple[int, int]] = deque()  # where members start, in both
+
+    def member_start(self, position: int) -> int:
+        """File offset of the member that holds the byte at ``position``; positions only grow."""
+        while len(self.starts) > 1 and self.starts[1][0] <= position:
+            self.starts.popleft()
+        return self.starts[0][1]
 
     def read(self, n: int) -> bytes:
         while True:
             if not self.pending:
                 self.pending = self.raw.read(1 << 16)
+                self.offset += len(self.pending)
             if self.member is None:
                 if not self.pending:
                     return b""
                 self.member = zlib.decompressobj(31)
+                self.starts.append((self.plain, self.offset - len(self.pending)))
             cut_off = not self.pending
             out = self.member.decompress(self.pending, n)
             if self.member.eof:
@@ -156,11 +189,31 @@ class _Unzipped:
             else:
                 self.pending = self.member.unconsumed_tail
             if out:
+                self.plain += len(out)
                 return out
             if cut_off:
                 raise EOFError("compressed data is cut off")
 
 
+def first_member(raw, start: int, end: int) -> int | None:
+    """Offset of the first compressed record from ``start`` on and before ``end``."""
+    window = 1 << 16
+    at = start
+    while at < end:
+        raw.seek(at)
+        data = raw.read(2 * window)
+        found = data.find(_MEMBER, 0, min(window, end - at) + len(_MEMBER) - 1)
+        while found >= 0:
+            try:
+                if zlib.decompressobj(31).decompress(data[found:], 5) == b"WARC/":
+                    return at + found
+            except zlib.error:
+                pass
+            found = data.find(_MEMBER, found + 1, min(window, end - at) + len(_MEMBER) - 1)
+        at += window
+    return None
+
+
 def _exactly(stream, n: int) -> bytes:
     parts = []
     while n:
@@ -172,14 +225,19 @@ def _exactly(stream, n: int) -> bytes:
     return b"".join(parts)
 
 
-def warc_records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields (lower-case names) and content block of each record of a stream."""
+def warc_records(stream, end: int | None = None) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Header fields (lower-case names) and content block of each record of a stream.
+
+    Stops at the first record whose member starts at or after ``end``.
+    """
     lines = _Lines(stream)
     while True:
+        at = lines.position
         line = lines.readline()
         while line in (b"\r\n", b"\n"):
+            at = lines.position
             line = lines.readline()
-        if not line:
+        if not line or (end is not None and stream.member_start(at) >= end):
             return
         if not line.startswith(b"WARC/"):
             raise ValueError("not a web-archive record")
@@ -193,20 +251,24 @@ class _Lines:
     def __init__(self, stream):
         self.stream = stream
         self.buffer = b""
+        self.position = 0
 
     def readline(self) -> bytes:
         while True:
             end = self.buffer.find(b"\n")
             if end >= 0:
                 line, self.buffer = self.buffer[: end + 1], self.buffer[end + 1:]
+                self.position += len(line)
                 return line
             more = self.stream.read(1 << 16)
             if not more:
                 line, self.buffer = self.buffer, b""
+                self.position += len(line)
                 return line
             self.buffer += more
 
     def exactly(self, n: int) -> bytes:
+        self.position += n
         taken, self.buffer = self.buffer[:n], self.buffer[n:]
         return taken + _exactly(self.stream, n - len(taken))
 
@@ -272,14 +334,18 @@ def _inflate(body: bytes) -> bytes:
 
 
 def read_warc(
-    spark: SparkSession, path: str, record_types: str = "", content_types: str = ""
+    spark: SparkSession, path: str, record_types: str = "", content_types: str = "", split_bytes: int = 0
 ) -> DataFrame:
-    """Records of all segments under ``path`` (a file, a folder, or several with commas)."""
+    """Records of all segments under ``path`` (a file, a folder, or several with commas).
+
+    ``split_bytes`` lets several tasks share a large segment, see :class:`WarcSource`.
+    """
     spark.dataSource.register(WarcSource)
     return (
         spark.read.format("warc")
         .option("recordTypes", record_types)
         .option("contentTypes", content_types)
+        .option("splitBytes", split_bytes)
         .load(path)
     )
 

@@ -3,6 +3,7 @@
 import gzip
 import json
 import os
+import random
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -177,3 +178,20 @@ def test_stream_dedup_with_watermark(spark, tmp_path, salts):
     first = jobs.stream_dedup(stream, ["k"], "t", "1 hour", salts)
     jobs.write_stream(first, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
     assert sorted(r.k for r in read_jsonl(spark, str(tmp_path / "out"), "k int").collect()) == [0, 1, 2]
+
+
+@pytest.mark.parametrize("one_member", [False, True])
+def test_split_segments_give_the_same_records(spark, tmp_path, one_member):
+    rng = random.Random(3)
+    members = []
+    for i in range(300):
+        body = bytes(rng.randrange(256) for _ in range(rng.choice((0, 10, 3000)))) + b"\x1f\x8b\x08 not a member"
+        members.append(record("response", f"http://{i}", http(body, b"Content-Type: text/html")))
+    data = gzip.compress(b"".join(members)) if one_member else b"".join(map(gzip.compress, members))
+    path = write(tmp_path / "big.warc.gz", data)
+    whole = warc.read_warc(spark, path).orderBy("target_uri").collect()
+    assert len(whole) == 300 and all(r.error is None for r in whole)
+    for size in (1000, 37_777, len(data) - 1, len(data)):
+        split = warc.read_warc(spark, path, split_bytes=size)
+        assert split.orderBy("target_uri").collect() == whole
+    assert warc.read_warc(spark, path, split_bytes=37_777).rdd.getNumPartitions() == -(-len(data) // 37_777)
