@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from sitrep import constants as C
 from sitrep.functions import nested
@@ -89,7 +90,8 @@ def adapt_batches(
     ``fn`` sees the enveloped rows and may drop, change and add rows; ``schema`` names
     what it returns without the internal columns (default: the columns of ``df``).
     The result has those columns plus ``__source_record`` and ``__error``. A batch
-    whose call fails is not lost: its rows come back with only these two set.
+    whose call fails, or whose result does not fit the schema, is not lost: its rows
+    come back with only these two set.
     VARIANT columns travel as JSON text.
     """
     schema = schema or df.schema
@@ -105,19 +107,36 @@ def adapt_batches(
         {f.name: F.to_json(f.name) for f in df.schema if isinstance(f.dataType, T.VariantType)}
     )
     wanted = plain.names
+    columns = [*wanted, C.SOURCE_COLUMN, ERROR_COLUMN]
+    arrow_schema = to_arrow_schema(tagged)
+
+    def run(batches):
+        import pyarrow as pa
+
+        # Nullable pandas types, so that a null does not turn whole numbers into floats.
+        nullable = {
+            pa.int8(): pd.Int8Dtype(),
+            pa.int16(): pd.Int16Dtype(),
+            pa.int32(): pd.Int32Dtype(),
+            pa.int64(): pd.Int64Dtype(),
+            pa.bool_(): pd.BooleanDtype(),
+        }
+
+        def to_arrow(frame: pd.DataFrame) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pandas(frame[columns], arrow_schema, preserve_index=False)
 
-    def run(frames):
+        frames = (b.to_pandas(types_mapper=nullable.get) for b in batches)
         for batch in _rebatch(frames, batch_size):
             try:
                 out = fn(batch.copy(), operation)
                 missing = [c for c in [*wanted, C.SOURCE_COLUMN] if c not in out.columns]
-                out = out.assign(**{c: None for c in [*missing, ERROR_COLUMN]})
+                result = to_arrow(out.assign(**{c: None for c in [*missing, ERROR_COLUMN]}))
             except Exception as error:
-                out = batch[[C.SOURCE_COLUMN]].assign(**{c: None for c in wanted})
-                out[ERROR_COLUMN] = f"{type(error).__name__}: {error}"
-            yield out[[*wanted, C.SOURCE_COLUMN, ERROR_COLUMN]]
+                failed = batch[[C.SOURCE_COLUMN]].assign(**{c: None for c in wanted})
+                result = to_arrow(failed.assign(**{ERROR_COLUMN: f"{type(error).__name__}: {error}"}))
+            yield result
 
-    result = enveloped.mapInPandas(run, tagged)
+    result = enveloped.mapInArrow(run, tagged)
     return result.withColumns({v: F.parse_json(v) for v in variants}) if variants else result
 
 

@@ -25,20 +25,20 @@ def keyword_dictionary(
     ``ludp`` has ``language_code, term, language_name_local, ord``; ``glossary`` has
     ``key``, ``ord`` and ``html``. Language-use terms come before glossary terms.
     """
-    first = keywords.ludp_terms(ludp, targets).select(
-        "lang", "term", F.struct(F.lit(0).alias("source"), F.col("ord").cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b")).alias("ord")
-    )
+
+    def place(source: int, a: str, b: Column) -> Column:
+        parts = F.lit(source).alias("source"), F.col(a).cast("bigint").alias("a"), b.cast("bigint").alias("b")
+        return F.struct(*parts).alias("ord")
+
+    first = keywords.ludp_terms(ludp, targets).select("lang", "term", place(0, "ord", F.lit(0)))
     rows = keywords.glossary_rows(glossary, [*key, "ord"])
-    second = keywords.glossary_terms(rows, targets).select(
-        "lang", "term", F.struct(F.lit(1).alias("source"), F.col("ord").cast("bigint").alias("a"), F.col("row_no").alias("b")).alias("ord")
-    )
+    second = keywords.glossary_terms(rows, targets).select("lang", "term", place(1, "ord", F.col("row_no")))
     seen = keywords.terms_by_lang(first, second)
-    # One sortable number per place; terms of one page keep their order.
+    # One sortable number per place: source, then page (below 2^36), then row of the page.
+    page_step = F.when(F.col("ord.source") == 1, F.lit(1 << 24)).otherwise(F.lit(1))
     numbered = seen.withColumn(
         "ord",
-        F.col("ord.source").cast("bigint") * F.lit(1 << 60)
-        + F.col("ord.a") * F.when(F.col("ord.source") == 1, F.lit(1 << 24)).otherwise(F.lit(1))
-        + F.col("ord.b"),
+        F.col("ord.source").cast("bigint") * F.lit(1 << 60) + F.col("ord.a") * page_step + F.col("ord.b"),
     )
     return keywords.with_fallback(numbered)
 

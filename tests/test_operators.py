@@ -280,6 +280,23 @@ def test_failed_batches_are_kept(spark):
     assert sizes.value == 3
 
 
+def test_whole_numbers_and_types_survive(spark):
+    big = 2**62 + 1
+    df = spark.createDataFrame(
+        [(big, None, [1, None], True, 1.5), (None, "x", None, None, None)],
+        "a bigint, b string, c array<int>, d boolean, e double",
+    ).withColumn("t", F.timestamp_micros(F.lit(1)))
+    ok, failed = adapt.adapt(df, "filter_noise")
+    assert values(ok) == values(df) and failed.count() == 0
+    assert ok.schema.simpleString() == df.schema.simpleString()
+
+
+def test_results_that_do_not_fit_are_quarantined(spark):
+    df = spark.createDataFrame([(1,), (2,)], "a bigint")
+    ok, failed = adapt.adapt(df, "filter_noise", lambda batch, operation: batch.assign(a="text"))
+    assert ok.count() == 0 and failed.count() == 2
+
+
 def test_variant_records_pass_through(spark):
     df = spark.createDataFrame([('{"b":1,"a":{"c":[1,"x"]}}',), ('{"title":"t"}',)], "j string").select(F.parse_json("j").alias("record"))
     enveloped = adapt.envelope(df, "filter_noise").select(C.PROMPT_COLUMN, C.SOURCE_COLUMN)
