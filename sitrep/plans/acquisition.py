@@ -97,12 +97,23 @@ def live_posts(responses: DataFrame, categories: DataFrame, media: DataFrame) ->
 def crowd_reports(
     responses: DataFrame, snapshots: DataFrame, categories: DataFrame, media: DataFrame
 ) -> DataFrame:
-    """Live posts, and archived ones of deployments that gave no usable response."""
+    """Live posts, and archived ones of deployments whose live feed gave an unusable page.
+
+    If a feed breaks off after some usable pages, the archived posts come on top of
+    the live ones.
+    """
     columns = ("deployment", "url", "record", "category_names", "media_urls")
     live = live_posts(responses, categories, media).select(*columns)
-    usable, _ = payloads.triage_responses(responses)
+    usable = F.col("reason").isNull()
+    complete = (
+        payloads.classify_responses(responses)
+        .groupBy("deployment")
+        .agg(F.bool_and(usable).alias("ok"))
+        .where("ok")
+        .select("deployment")
+    )
     # Only the snapshots that are needed get parsed.
-    needed = scale.lookup_join(snapshots, usable.select("deployment").distinct(), ["deployment"], "left_anti")
+    needed = scale.lookup_join(snapshots, complete, ["deployment"], "left_anti")
     return live.unionByName(archived_posts(needed, categories), allowMissingColumns=True)
 
 

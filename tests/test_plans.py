@@ -87,3 +87,33 @@ def test_news_from_bytes(spark):
     found = acquisition.news_rows(records, words, F.timestamp_seconds(F.lit(0))).collect()
     # The page as a whole is not valid UTF-8, so it is read as Windows-1252.
     assert [(r.source_url, r.content, r.timestamp) for r in found] == [("http://a", "Ã©", "1970-01-01T00:00:00Z")]
+
+
+def test_archive_comes_on_top_of_a_broken_feed(spark):
+    post = '{"id":%s,"url":"%s","status":"published","tags":["flood"],"categories":[1,{"id":"5"}],"media":[{"src":"s"},8]}'
+    live = [
+        ("a", 200, "[" + post % (1, "live-a") + ",7]"),
+        ("b", 200, "[" + post % (1, "live-b") + "]"),
+        ("b", 503, "<html>"),
+        ("c", 200, "<html>"),
+        ("d", 200, "[]"),
+    ]
+    responses = spark.createDataFrame([(*r, "", "") for r in live], "deployment string, status int, body string, content_type string, fetched_ts string")
+    old = [
+        (d, ts, f"http://{d}/{ts}", 200, "", "[" + post % (1, f"old-{d}-{ts}") + ',{"url":"u"},{"url":"u"}]')
+        for d in "abcd" for ts in ("1", "2")
+    ]
+    snapshots = spark.createDataFrame(old, "deployment string, ts string, original string, status int, content_type string, body string")
+    categories = spark.createDataFrame([(d, 1, "flood") for d in "abc"], "deployment string, category_id int, name string")
+    media = spark.createDataFrame([("a", 8, "m8")], "deployment string, media_id int, url string")
+    out = acquisition.crowd_reports(responses, snapshots, categories, media)
+    rows = sorted((r.deployment, r.url, r.category_names, r.media_urls, r._archive_timestamp or "") for r in out.collect())
+    names, none = ["flood", "Unknown(5)"], []
+    assert rows == [
+        ("a", "live-a", names, ["s", "m8"], ""),
+        ("b", "live-b", names, ["s"], ""),
+        ("b", "old-b-2", names, ["s"], "2"),
+        ("b", "u", none, none, "2"),
+        ("c", "old-c-2", names, ["s"], "2"),
+        ("c", "u", none, none, "2"),
+    ]
