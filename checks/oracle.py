@@ -204,6 +204,13 @@ ORACLE = {
         't' || page_id AS title, 'http://img/' || page_id AS media_url FROM pages
         WHERE page_id % 3 = 0 AND (page_id % 2 = 0 OR page_id % 5 <> 0) AND page_id % 5 <> 0
           AND EXISTS (SELECT 1 FROM {KEYWORDS} k WHERE contains(lower(html), keyword))""",
+    "category_dictionary": """SELECT 'src' || (c_custkey % 40) AS deployment, c_custkey // 40 AS category_id, c_name AS name
+          FROM customer WHERE c_custkey % 40 < 30
+        UNION ALL SELECT deployment, unnest([1, 2]), unnest([o_orderpriority, o_orderkey::VARCHAR]) FROM (
+          SELECT *, row_number() OVER (PARTITION BY deployment
+            ORDER BY strftime(o_orderdate, '%Y%m%d') || lpad(o_orderkey::VARCHAR, 12, '0') DESC) AS rn
+          FROM (SELECT *, 'src' || (o_custkey % 45) AS deployment FROM orders WHERE o_orderkey % 4 <> 0))
+        WHERE rn = 1 AND deployment NOT IN (SELECT 'src' || (c_custkey % 40) FROM customer WHERE c_custkey % 40 < 30)""",
     "crowd_reports": f"""SELECT p.source AS deployment, 'http://p/' || p.doc_id AS url,
           coalesce(c.name, 'Unknown(' || (p.doc_id % 9) || ')') AS category_names, coalesce(m.url, '') AS media_urls,
           '' AS acquisition_source, '' AS original

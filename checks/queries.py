@@ -559,6 +559,26 @@ def news_rows(spark, sf):
     return rows.select("source_url", "content", "title", F.col("media_urls")[0].alias("media_url"))
 
 
+@query
+def category_dictionary(spark, sf):
+    """Landed category responses and their archived copies to one dictionary."""
+    live = I.table(spark, sf, "customer").selectExpr(
+        "concat('src', c_custkey % 40) AS deployment",
+        "CASE WHEN c_custkey % 40 < 30 THEN 200 ELSE 503 END AS status",
+        "'application/json' AS content_type",
+        """concat('{"results":[{"id":', cast(floor(c_custkey / 40) AS bigint), ',"name":"', c_name, '"}]}') AS body""",
+    )
+    snapshots = I.table(spark, sf, "orders").selectExpr(
+        "concat('src', o_custkey % 45) AS deployment",
+        "concat(date_format(o_orderdate, 'yyyyMMdd'), lpad(o_orderkey, 12, '0')) AS ts",
+        "200 AS status",
+        "'application/json' AS content_type",
+        """CASE WHEN o_orderkey % 4 = 0 THEN '[]'
+           ELSE concat('[{"id":1,"name":"', o_orderpriority, '"},{"id":"2","name":"', o_orderkey, '"}]') END AS body""",
+    )
+    return acquisition.category_dictionary(live, snapshots).withColumn("category_id", F.col("category_id").cast("bigint"))
+
+
 @query
 def crowd_reports(spark, sf):
     """Landed responses and snapshots to reports."""

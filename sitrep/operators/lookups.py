@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitrep import constants as C
@@ -160,6 +160,9 @@ def source_fallback(
 def first_non_empty_snapshot(
     categories: DataFrame, by: Sequence[str] = ("deployment",), ts: str = "ts"
 ) -> DataFrame:
-    """Dictionary rows of the newest archived snapshot that has any, per deployment."""
-    newest = categories.groupBy(*by).agg(F.max(ts).alias(ts))
-    return scale.lookup_join(categories, newest, [*by, ts], "left_semi")
+    """Dictionary rows of the newest archived snapshot that has any, per deployment.
+
+    Spark drops the rows of older snapshots inside each task, before the shuffle.
+    """
+    w = Window.partitionBy(*by).orderBy(F.desc(ts))
+    return categories.withColumn("__rank", F.rank().over(w)).where("__rank = 1").drop("__rank")

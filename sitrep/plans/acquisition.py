@@ -63,6 +63,28 @@ def posts_of(responses: DataFrame) -> DataFrame:
     )
 
 
+def category_dictionary(responses: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """``deployment, category_id, name`` of landed category responses.
+
+    Deployments without a usable response get the entries of their newest archived
+    response that has any. ``snapshots`` have a column ``ts``.
+    """
+
+    def entries(usable: DataFrame, *extra: str) -> DataFrame:
+        return payloads.explode_items(usable).select(
+            "deployment",
+            *extra,
+            F.try_variant_get("item", "$.id", "int").alias("category_id"),
+            F.try_variant_get("item", "$.name", "string").alias("name"),
+        )
+
+    live, _ = payloads.triage_responses(responses)
+    needed = scale.lookup_join(snapshots, live.select("deployment").distinct(), ["deployment"], "left_anti")
+    archived, _ = payloads.triage_responses(needed)
+    newest = lookups.first_non_empty_snapshot(entries(archived, "ts"))
+    return entries(live).unionByName(newest.drop("ts"))
+
+
 def archived_posts(snapshots: DataFrame, categories: DataFrame) -> DataFrame:
     """Posts of archived responses: newest copy of each, with provenance columns.
 
