@@ -16,9 +16,8 @@ MAX_BYTES = 32 * 1024 * 1024
 SALTS = 16
 # Ranges of an ordered input.
 MIN_RANGES = 64
-MAX_RANGES = 4096
-MAX_COUNTED_RANGES = 100_000
-ROWS_PER_RANGE = 2_000_000
+MAX_RANGES = 16_384
+ROWS_PER_RANGE = 1_000_000
 # Rows one task takes of a group without help, and keys that can need help.
 HOT_ROWS = 2_000_000
 MAX_HOT_KEYS = 10_000
@@ -123,17 +122,24 @@ def range_bucket(
 
     # Literals of the column types, as SQL text: one expression instead of many calls.
     types = [df.schema[c].dataType.simpleString() for c in order]
-    literals = ", ".join(
-        "named_struct(" + ", ".join(f"'k{i}', {_literal(v, t)}" for i, (v, t) in enumerate(zip(r[n:], types))) + ")"
-        for r in bounds
-    )
-    key = "named_struct(" + ", ".join(f"'k{i}', `{c}`" for i, c in enumerate(order)) + ")"
+    if n == 1:
+        # A null is before every bound, as it compares to nothing.
+        bounds = [r for r in bounds if r[0] is not None]
+        literals = [_literal(r[n], types[0]) for r in bounds]
+        key = f"`{order[0]}`"
+    else:
+        # Struct comparison puts nulls first, as sorting does.
+        literals = [
+            "named_struct(" + ", ".join(f"'k{i}', {_literal(v, t)}" for i, (v, t) in enumerate(zip(r[n:], types))) + ")"
+            for r in bounds
+        ]
+        key = "named_struct(" + ", ".join(f"'k{i}', `{c}`" for i, c in enumerate(order)) + ")"
     # Binary search: the position grows by falling powers of two while the bound there
-    # is not after the key. Struct comparison puts nulls first, as sorting does.
+    # is not after the key.
     jumps = ", ".join(str(1 << i) for i in reversed(range(len(bounds).bit_length())))
     return F.expr(
         f"""aggregate(array({jumps}), 0, (at, jump) -> CASE
-            WHEN at + jump <= {len(bounds)} AND element_at(array({literals}), at + jump) <= {key}
+            WHEN at + jump <= {len(bounds)} AND element_at(array({", ".join(literals)}), at + jump) <= {key}
             THEN at + jump ELSE at END)"""
     )
 
@@ -150,34 +156,24 @@ def _null_first(key: tuple) -> tuple:
 
 
 def global_row_number(
-    df: DataFrame, order: Sequence[str], into: str, rows_per_range: int = ROWS_PER_RANGE
+    df: DataFrame, order: Sequence[str], into: str, cuts: int | None = None
 ) -> DataFrame:
     """Number all rows from 1 in the given order without sorting them in one task.
 
-    ``order`` must name the rows uniquely. Rows are sorted into ranges, one task
-    each, and written with their place in the range; each range then starts after
-    the rows of the ranges before it.
+    ``order`` must name the rows uniquely. Rows are numbered inside ranges of the
+    order, in one shuffle; each range starts after the rows of the ranges before it,
+    which are counted from the ``order`` columns alone.
     """
-    spark = df.sparkSession
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranges = min(MAX_COUNTED_RANGES, max(least, -(-df.count() // rows_per_range)))
-    placed = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-    placed = placed.withColumns(
-        {
-            "__range": F.spark_partition_id(),
-            # The low 33 bits count the rows of a partition from 0.
-            "__place": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)),
-        }
-    )
-    # Written once, so that the counts and the numbers see the same ranges.
-    placed = materialize(placed, "numbered")
-    counts = placed.groupBy("__range").agg(F.count("*").alias("__n"))
-    # One row per range, MAX_COUNTED_RANGES at most.
+    ranged = df.withColumn("__range", range_bucket(df, order, cuts))
+    counts = ranged.groupBy("__range").agg(F.count("*").alias("__n"))
+    # One row per range, little more than MAX_RANGES at most.
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    inside = Window.partitionBy("__range").orderBy(*order)
     return (
-        placed.join(F.broadcast(offsets), "__range")
-        .withColumn(into, F.col("__place") + F.col("__before") + 1)
+        ranged.withColumn("__place", F.row_number().over(inside))
+        .join(F.broadcast(offsets), "__range")
+        .withColumn(into, F.col("__place") + F.col("__before"))
         .drop("__range", "__place", "__before")
     )
 

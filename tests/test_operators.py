@@ -84,6 +84,18 @@ def test_ranges_are_even_and_ordered(spark):
     assert all(one[1] < two[0] for one, two in zip(ends, ends[1:]))
 
 
+@pytest.mark.parametrize("order", [["t"], ["v", "t"], ["n", "t"], ["n"]])
+def test_numbers_follow_the_order(spark, order):
+    rows = [(f"k'{i:05d}\\", (i * 7919) % 13, i if i % 50 else None) for i in range(3000)]
+    if order == ["n"]:
+        rows = [r for i, r in enumerate(rows) if r[2] is not None or i == 0]
+    df = spark.createDataFrame(rows, "t string, v int, n int").repartition(7)
+    found = scale.global_row_number(df, order, "row", cuts=40).orderBy("row").collect()
+    key = lambda r: [(r[c] is not None, r[c] or 0) if c != "t" else r[c] for c in order]
+    assert [r["row"] for r in found] == list(range(1, len(rows) + 1))
+    assert [key(r) for r in found] == sorted(key(r) for r in found)
+
+
 def test_group_limit_runs_before_the_shuffle(spark):
     plan = QUERIES["archive_dedup"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Final") < plan.index("Exchange hashpartitioning") < plan.index("Partial")
