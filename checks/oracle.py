@@ -125,6 +125,7 @@ ORACLE = {
     "pii_card": f"SELECT doc_id, {redacted('text', 'CREDIT_CARD')} AS text FROM {PII_TEXT}",
     "pii_redact": f"SELECT doc_id, {redacted('text')} AS text FROM {PII_TEXT}",
     "pii_redact_cols": f"SELECT doc_id, {redacted('text')} AS content, text AS other FROM {PII_TEXT}",
+    "pii_redact_records": f"SELECT doc_id, {redacted('text')} AS content, text AS nested FROM {PII_TEXT}",
     "lang_normalize": f"SELECT doc_id, {primary('language_inferred')} AS primary_lang FROM {LABELLED}",
     "first_long_word": f"SELECT doc_id, coalesce({first_long('text')}, '') AS word FROM documents",
     # filters

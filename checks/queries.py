@@ -8,7 +8,7 @@ from checks import inputs as I
 from sitrep import constants as C
 from sitrep.functions import nested, text
 from sitrep.operators import adapt, audit, dedup, keywords, lookups, pages, scale
-from sitrep.operators.redaction import redact_columns
+from sitrep.operators.redaction import redact_columns, redact_records
 from sitrep.plans import acquisition, dataset
 from sitrep.sinks import jsonl as sinks
 from sitrep.sources import archive, payloads, warc
@@ -271,6 +271,21 @@ def pii_redact_cols(spark, sf):
     return redact_columns(records)
 
 
+@query
+def pii_redact_records(spark, sf):
+    """Records of any shape: two fields redacted, the others untouched."""
+    docs = I.with_personal_data(I.table(spark, sf, "documents"))
+    record = F.to_variant_object(
+        F.struct("doc_id", F.col("text").alias("content"), F.struct(F.col("text").alias("content")).alias("nested"))
+    )
+    records = redact_records(docs.select(record.alias("record")))
+    return records.select(
+        F.try_variant_get("record", "$.doc_id", "bigint").alias("doc_id"),
+        F.try_variant_get("record", "$.content", "string").alias("content"),
+        F.try_variant_get("record", "$.nested.content", "string").alias("nested"),
+    )
+
+
 @query
 def lang_normalize(spark, sf):
     docs = I.labelled(I.table(spark, sf, "documents"))

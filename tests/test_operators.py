@@ -13,7 +13,7 @@ from checks.queries import QUERIES
 from sitrep import constants as C
 from sitrep.functions import html, matching
 from sitrep.operators import adapt, audit, dedup, keywords, lookups, pages, scale
-from sitrep.operators.redaction import redact_columns
+from sitrep.operators.redaction import redact_columns, redact_records
 from tests.compare import connection, spark_rows, sql_rows
 
 SF = "/root/testdata/sf0.001"
@@ -329,6 +329,19 @@ def test_redact_columns_ignores_absent_names(spark):
     assert redact_columns(df.select("other")).first()[0] == "a@b.c"
 
 
+def test_redact_records_of_any_shape(spark):
+    records = [
+        '{"content":"a@b.c","title":"10.0.0.1 é","z":[1,{"content":"a@b.c"}],"n":null}',
+        '{"content":5,"title":""}', '{"title":null,"x":"a@b.c"}', '[1,"a@b.c"]', '"a@b.c"', '{"content":["a@b.c"]}',
+    ]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(records)], "i int, j string").select("i", F.parse_json("j").alias("record"))
+    found = [r[0] for r in redact_records(df).orderBy("i").select(F.to_json("record")).collect()]
+    assert json.loads(found[0]) == {
+        "content": "[REDACTED_EMAIL]", "title": "[REDACTED_IP_ADDRESS] é", "z": [1, {"content": "a@b.c"}], "n": None,
+    }
+    assert [json.loads(f) for f in found[1:]] == [json.loads(r) for r in records[1:]]
+
+
 # --- audit -----------------------------------------------------------------------------------
 
 
