@@ -83,13 +83,13 @@ def _resolve(
 ) -> DataFrame:
     """Turn ``array<struct<id, fixed, otherwise>>`` into an array of looked-up values.
 
-    Two plans with the same result:
+    Every post gets a map from id to value, in one of two ways with the same result:
 
     * Short dictionaries are broadcast as one map per deployment; posts stay where
       they are.
-    * Long ones are joined by id. The work is done once per distinct
-      ``(deployment, references)``, so copies of a post and popular reference lists
-      collapse before the shuffle, and both joins survive hot keys.
+    * From long ones a map is made once per distinct ``(deployment, ids)``, so copies
+      of a post and popular lists of ids collapse before the shuffle, and both joins
+      survive hot keys.
     """
     by = list(by)
     # One value per id, whatever the dictionary repeats.
@@ -97,40 +97,23 @@ def _resolve(
     short = scale.is_small(rows, size)
     if short:
         short = (table.groupBy(*by).count().agg(F.max("count")).first()[0] or 0) <= MAP_ENTRIES
+    as_map = F.map_from_entries(F.collect_list(F.struct("id", "value"))).alias("__map")
     if short:
-        maps = table.groupBy(*by).agg(
-            F.map_from_entries(F.collect_list(F.struct("id", "value"))).alias("__map")
-        )
-        return (
-            posts.join(F.broadcast(maps), by, "left")
-            .withColumn(
-                into,
-                F.array_compact(
-                    F.transform(refs, lambda r: _value(r, F.try_element_at(F.col("__map"), r["id"])))
-                ),
-            )
-            .drop("__map")
-        )
-
-    # As one struct the key also compares when the deployment is null.
-    keyed = posts.withColumn("__key", F.struct(*by, refs.alias("__refs")))
-    distinct = keyed.select("__key").where(F.size("__key.__refs") > 0).distinct()
-    entries = distinct.select(
-        "__key", *[f"__key.{c}" for c in by], F.posexplode("__key.__refs").alias("__pos", "__ref")
-    ).select("*", F.col("__ref.id").alias("id"))
-    found = scale.lookup_join(entries, table, [*by, "id"], "left")
-    # A group is the reference list of one post.
-    lists = (
-        found.groupBy("__key")
-        .agg(
-            F.array_sort(
-                F.collect_list(F.struct("__pos", _value(F.col("__ref"), F.col("value")).alias("v")))
-            ).alias("__found")
-        )
-        .select("__key", F.array_compact(F.transform("__found", lambda x: x["v"])).alias(into))
-    )
-    resolved = scale.lookup_join(keyed, lists, ["__key"], "left")
-    return resolved.withColumn(into, F.coalesce(into, F.array().cast("array<string>"))).drop("__key")
+        mapped = posts.join(F.broadcast(table.groupBy(*by).agg(as_map)), by, "left")
+    else:
+        marked = nested.once(posts, refs, "__refs")
+        refs = F.col("__refs")
+        open_refs = F.filter("__refs", lambda r: r["fixed"].isNull() & r["id"].isNotNull())
+        ids = F.array_sort(F.array_distinct(F.transform(open_refs, lambda r: r["id"])))
+        # As one struct the key also compares when the deployment is null.
+        keyed = marked.withColumn("__key", F.struct(*by, ids.alias("__ids")))
+        distinct = keyed.select("__key").where(F.size("__key.__ids") > 0).distinct()
+        entries = distinct.select("__key", *[f"__key.{c}" for c in by], F.explode("__key.__ids").alias("id"))
+        found = scale.lookup_join(entries, table, [*by, "id"], "inner")
+        # A group is the id list of one post.
+        mapped = scale.lookup_join(keyed, found.groupBy("__key").agg(as_map), ["__key"], "left").drop("__key")
+    values = F.transform(refs, lambda r: _value(r, F.try_element_at(F.col("__map"), r["id"])))
+    return mapped.withColumn(into, F.array_compact(values)).drop("__map", "__refs")
 
 
 def source_fallback(
