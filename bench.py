@@ -3,7 +3,7 @@
 BENCH_SF_DIR   table folder (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores (default 8)
 BENCH_QUERIES  names separated by commas, or "all"
-BENCH_RUNS     timed runs per query after one warm-up (default 3); the median counts
+BENCH_RUNS     timed runs per query after one warm-up (default 2); the median counts
 """
 
 import contextlib
@@ -32,7 +32,7 @@ HEADLINE = (
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     chosen = os.environ.get("BENCH_QUERIES", "")
     names = sorted(QUERIES) if chosen == "all" else chosen.split(",") if chosen else HEADLINE
     builder = (
