@@ -26,6 +26,8 @@ SHINGLE = 5
 # A sketch says how far apart two MinHash samples of BANDS * ROWS values are; its estimate of
 # a similarity of 0.75 is below this less than once in ten million times.
 SKETCH_FLOOR = 0.5
+# Nodes of one bucket that are compared with each other in one task.
+BLOCK = 2000
 SIGNATURE = "doc_id long, key long, n_shingles long, node binary, bands array<long>, sketch array<long>"
 
 
@@ -271,15 +273,41 @@ def _linked(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str, percent:
     still = stored(_open(_rooted(still, roots)), "open")
     if still.isEmpty():
         return roots
-    cross = (
-        still.alias("x")
-        .join(still.alias("y"), "bucket")
-        .where(F.expr("x.node < y.node AND x.root <> y.root") & can_share("x", "y", percent) & may_reach("x", "y", percent))
+    links = stored(links.unionAll(_across(still, sets, percent)), "links")
+    return components(links)
+
+
+def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between nodes of one bucket in different components, confirmed in the join itself.
+
+    One of such a pair is outside the bucket's largest component, so only those nodes look for
+    partners. Bounds and sketches come first, the full sets last, and no pair that is not a
+    link leaves the join. Large buckets are cut into blocks, each pair of blocks a task's key.
+    """
+    sizes = members.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("total"))
+    blocks = F.ceil(F.col("total") / BLOCK).cast("int")
+    state = sizes.select("bucket", F.col("most.root").alias("large"), blocks.alias("blocks"))
+    whole = members.join(state, "bucket").join(sets, "node")
+    others = F.sequence(F.lit(0), F.col("blocks") - 1)
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    left = whole.where("root <> large").withColumn("bx", own).withColumn("by", F.explode(others))
+    right = whole.withColumn("by", own).withColumn("bx", F.explode(others))
+    shared = "size(array_intersect(x.shingles, y.shingles))"
+    return (
+        left.alias("x")
+        .join(
+            right.alias("y"),
+            F.expr(
+                "x.bucket = y.bucket AND x.bx = y.bx AND x.by = y.by "
+                "AND x.root <> y.root AND (y.root = y.large OR x.node < y.node)"
+            )
+            & can_share("x", "y", percent)
+            & may_reach("x", "y", percent)
+            & F.expr(f"100 * {shared} >= {percent} * (x.n_shingles + y.n_shingles - {shared})"),
+        )
         .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        .distinct()
     )
-    found = confirmed(stored(cross, "pairs"), sets, percent)
-    return components(stored(links.unionAll(found), "links"))
 
 
 def unique(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
