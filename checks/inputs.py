@@ -60,7 +60,7 @@ def responses(docs: DataFrame) -> DataFrame:
     return docs.selectExpr(
         "doc_id",
         "source AS deployment",
-        "CASE WHEN doc_id % 7 = 0 THEN 403 ELSE 200 END AS status",
+        "CASE WHEN doc_id % 14 = 0 THEN 404 WHEN doc_id % 7 = 0 THEN 403 ELSE 200 END AS status",
         "CASE WHEN doc_id % 5 < 2 THEN 'text/html' ELSE 'application/JSON; charset=utf-8' END AS content_type",
         """CASE doc_id % 5
              WHEN 0 THEN concat(' [{"id":', doc_id, '},7,{"id":', doc_id + 1, '}]')

@@ -65,7 +65,7 @@ ORACLE = {
     "scan_jsonl": "SELECT event_id, user_id, event_type, value, props FROM events",
     "scan_jsonl_multi": """SELECT o_orderkey AS key, o_orderpriority AS label, '' AS extra FROM orders
         UNION ALL SELECT c_custkey, '', c_name FROM customer""",
-    "json_triage": """SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'status' WHEN doc_id % 5 = 0 THEN 'ok'
+    "json_triage": """SELECT doc_id, CASE WHEN doc_id % 14 = 0 THEN 'failed' WHEN doc_id % 7 = 0 THEN 'blocked' WHEN doc_id % 5 = 0 THEN 'ok'
         WHEN doc_id % 5 = 1 THEN 'not_json' WHEN doc_id % 5 = 2 THEN 'invalid_json' ELSE 'ok' END AS reason FROM documents""",
     "api_result_items": """SELECT doc_id, 0::BIGINT AS item_pos, doc_id AS item_id FROM documents
           WHERE doc_id % 7 <> 0 AND doc_id % 5 IN (0, 3)
@@ -76,7 +76,7 @@ ORACLE = {
         UNION ALL SELECT doc_id, 1, 'xx', 'b' || doc_id, '' FROM documents WHERE doc_id % 4 = 1""",
     "keywords_flatten": f"""SELECT DISTINCT {first_long('text')} AS keyword FROM documents
         WHERE {first_long('text')} IS NOT NULL""",
-    "warc_paths": "SELECT 'https://data.commoncrawl.org/' || trim(url) AS path FROM pages WHERE trim(url) <> '' ORDER BY path LIMIT 50",
+    "warc_paths": "SELECT 'https://data.commoncrawl.org/' || trim(url) AS path FROM pages WHERE trim(url) <> '' ORDER BY page_id LIMIT 50",
     "warc_scan": """SELECT 'response' AS rec_type, url AS target_uri,
           CASE WHEN page_id % 5 = 0 THEN 'image/png' ELSE 'text/html; charset=utf-8' END AS content_type,
           strlen(html)::BIGINT AS n_bytes, md5(html) AS digest, '' AS error FROM pages
@@ -211,7 +211,7 @@ ORACLE = {
           SELECT *, row_number() OVER (PARTITION BY deployment
             ORDER BY strftime(o_orderdate, '%Y%m%d') || lpad(o_orderkey::VARCHAR, 12, '0') DESC) AS rn
           FROM (SELECT *, 'src' || (o_custkey % 45) AS deployment FROM orders WHERE o_orderkey % 4 <> 0))
-        WHERE rn = 1 AND deployment NOT IN (SELECT 'src' || (c_custkey % 40) FROM customer WHERE c_custkey % 40 < 30)""",
+        WHERE rn = 1 AND deployment NOT IN (SELECT 'src' || (c_custkey % 40) FROM customer WHERE c_custkey % 40 < 30 OR c_custkey % 40 BETWEEN 33 AND 36)""",
     "crowd_reports": f"""SELECT p.source AS deployment, 'http://p/' || p.doc_id AS url,
           coalesce(c.name, 'Unknown(' || (p.doc_id % 9) || ')') AS category_names, coalesce(m.url, '') AS media_urls,
           '' AS acquisition_source, '' AS original
@@ -224,12 +224,12 @@ ORACLE = {
         FROM (SELECT *, 'src' || (o_custkey % 20) AS deployment, row_number() OVER (PARTITION BY o_custkey
               ORDER BY strftime(o_orderdate, '%Y%m%d%H%M%S') || o_orderkey DESC) AS rn FROM orders) o
         LEFT JOIN {CATEGORY_DIM} c ON c.deployment = o.deployment AND c.category_id = o.o_orderkey % 9
-        WHERE o.rn = 1 AND o_custkey <> 0 AND o.deployment NOT IN (SELECT source FROM documents WHERE source < 'src15')
+        WHERE o.rn = 1 AND o_custkey <> 0 AND o.deployment NOT IN (SELECT source FROM documents WHERE source < 'src15' OR source IN ('src16', 'src3', 'src17'))
         UNION ALL SELECT o.deployment, 'http://c/' || o.o_orderkey, coalesce(c.name, 'Unknown(' || (o.o_orderkey % 9) || ')'),
           'm' || o.o_orderkey, 'internet_archive_ushahidi_api', 'http://o/' || o.o_orderkey
         FROM (SELECT *, 'src0' AS deployment FROM orders WHERE o_custkey = 0) o
         LEFT JOIN {CATEGORY_DIM} c ON c.deployment = o.deployment AND c.category_id = o.o_orderkey % 9
-        WHERE o.deployment NOT IN (SELECT source FROM documents WHERE source < 'src15')""",
+        WHERE o.deployment NOT IN (SELECT source FROM documents WHERE source < 'src15' OR source IN ('src16', 'src3', 'src17'))""",
     "end_to_end": f"""SELECT primary_lang, n, n / sum(n) OVER ()::DOUBLE AS share FROM (
         SELECT {primary("CASE WHEN contains(content, '[REDACTED_') THEN coalesce(language_inferred, 'unknown') || '-x' ELSE 'clean_' || coalesce(language_inferred, 'unknown') END")} AS primary_lang,
           count(*) AS n FROM (SELECT d.doc_id, {redacted('d.text')} AS content, d.language_inferred FROM {LABELLED} d

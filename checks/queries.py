@@ -94,7 +94,7 @@ def warc_paths(spark, sf):
     I.table(spark, sf, "pages").selectExpr("concat('  ', url, CASE WHEN page_id % 9 = 0 THEN '\n  ' ELSE '' END)").write.option(
         "compression", "gzip"
     ).text(path)
-    return archive.warc_paths(spark, path)
+    return archive.warc_paths(spark, path, C.LISTING_LIMIT)
 
 
 @query
@@ -336,7 +336,7 @@ def post_filter(spark, sf):
 
 @query
 def cdx_select(spark, sf):
-    return dedup.cdx_select(I.index_rows(I.table(spark, sf, "events")), "http://u/1").select("url", "ts", "ord")
+    return dedup.cdx_select(I.index_rows(I.table(spark, sf, "events")), "http://u/1", C.SNAPSHOT_LIMIT).select("url", "ts", "ord")
 
 
 @query
@@ -579,9 +579,10 @@ def category_dictionary(spark, sf):
     """Landed category responses and their archived copies to one dictionary."""
     live = I.table(spark, sf, "customer").selectExpr(
         "concat('src', c_custkey % 40) AS deployment",
-        "CASE WHEN c_custkey % 40 < 30 THEN 200 ELSE 503 END AS status",
+        "CASE WHEN c_custkey % 40 < 30 THEN 200 WHEN c_custkey % 40 < 33 THEN 403 WHEN c_custkey % 40 < 35 THEN 404 WHEN c_custkey % 40 < 37 THEN 503 ELSE 200 END AS status",
         "'application/json' AS content_type",
-        """concat('{"results":[{"id":', cast(floor(c_custkey / 40) AS bigint), ',"name":"', c_name, '"}]}') AS body""",
+        """concat(CASE WHEN c_custkey % 40 IN (38, 39) THEN '<p>' ELSE '' END, '{"results":[{"id":', cast(floor(c_custkey / 40) AS bigint),
+           ',"name":"', c_name, '"}', CASE WHEN c_custkey % 40 = 37 THEN '' ELSE ']}' END) AS body""",
     )
     snapshots = I.table(spark, sf, "orders").selectExpr(
         "concat('src', o_custkey % 45) AS deployment",
@@ -591,7 +592,7 @@ def category_dictionary(spark, sf):
         """CASE WHEN o_orderkey % 4 = 0 THEN '[]'
            ELSE concat('[{"id":1,"name":"', o_orderpriority, '"},{"id":"2","name":"', o_orderkey, '"}]') END AS body""",
     )
-    return acquisition.category_dictionary(live, snapshots).withColumn("category_id", F.col("category_id").cast("bigint"))
+    return acquisition.category_dictionary(live, snapshots).select("deployment", F.col("category_id").cast("bigint").alias("category_id"), "name")
 
 
 @query
@@ -601,7 +602,7 @@ def crowd_reports(spark, sf):
     live = docs.selectExpr(
         "source AS deployment",
         "'' AS fetched_ts",
-        "CASE WHEN source < 'src15' THEN 200 ELSE 503 END AS status",
+        "CASE WHEN source < 'src15' THEN 200 WHEN source IN ('src16', 'src3') THEN 404 WHEN source = 'src17' THEN 503 ELSE 403 END AS status",
         "'application/json' AS content_type",
         """concat('{"results":[{"id":', doc_id, ',"url":"http://p/', doc_id, '","status":"published","tags":["flood"],"categories":[',
            doc_id % 9, '],"media":[', doc_id % 15, ']}]}') AS body""",

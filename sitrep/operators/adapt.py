@@ -129,8 +129,11 @@ def adapt_batches(
         for batch in _rebatch(frames, batch_size):
             try:
                 out = fn(batch.copy(), operation)
-                missing = [c for c in [*wanted, C.SOURCE_COLUMN] if c not in out.columns]
-                result = to_arrow(out.assign(**{c: None for c in [*missing, ERROR_COLUMN]}))
+                missing = [c for c in wanted if c not in out.columns]
+                if missing:
+                    raise ValueError(f"result without {', '.join(missing)}")
+                # Only rows that failed carry their source on.
+                result = to_arrow(out.assign(**{c: None for c in [C.SOURCE_COLUMN, ERROR_COLUMN]}))
             except Exception as error:
                 failed = batch[[C.SOURCE_COLUMN]].assign(**{c: None for c in wanted})
                 result = to_arrow(failed.assign(**{ERROR_COLUMN: f"{type(error).__name__}: {error}"}))

@@ -89,15 +89,15 @@ def cdx_collapse(
 
 
 def cdx_select(
-    df: DataFrame, prefix: str | None = None, k: int = C.SNAPSHOT_LIMIT, collapse: bool = True
+    df: DataFrame, prefix: str | None = None, k: int | None = None, collapse: bool = True
 ) -> DataFrame:
-    """Newest ``k`` JSON snapshots per url: status 200, ``application/json``, url prefix."""
+    """JSON snapshots: status 200, ``application/json``, url prefix; with ``k`` the newest per url."""
     rows = df.where("status = 200 and mime = 'application/json'")
     if prefix is not None:
         rows = rows.where(F.col("url").startswith(prefix))
     if collapse:
         rows = cdx_collapse(rows)
-    return top_k(rows, ["url"], [F.desc("ts"), F.desc("ord")], k)
+    return rows if k is None else top_k(rows, ["url"], [F.desc("ts"), F.desc("ord")], k)
 
 
 def page_of(df: DataFrame, order: Sequence[str], size: int = C.PAGE_SIZE, into: str = "page_offset") -> DataFrame:
@@ -107,5 +107,17 @@ def page_of(df: DataFrame, order: Sequence[str], size: int = C.PAGE_SIZE, into:
 
 
 def page_slice(df: DataFrame, order: Sequence[str], offset: int, limit: int = C.PAGE_SIZE) -> DataFrame:
-    """One page of the ordered rows. For deep pages of large tables filter :func:`page_of` instead."""
+    """One page of the ordered rows. For deep pages of large tables use :func:`page_after`."""
     return df.orderBy(*order).offset(offset).limit(limit)
+
+
+def page_after(df: DataFrame, order: Sequence[str], after: Sequence | None, limit: int = C.PAGE_SIZE) -> DataFrame:
+    """The page that follows the row with the values ``after`` in ``order``; the first one for None.
+
+    The key goes into the filter, so a deep page costs no more than the first. ``order``
+    must name the rows uniquely and have no nulls.
+    """
+    if after is not None:
+        key, last = F.struct(*order), F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order, after)])
+        df = df.where(key > last)
+    return df.orderBy(*order).limit(limit)

@@ -32,7 +32,9 @@ def with_category_names(
 ) -> DataFrame:
     """Add the names of a post's categories, in order; unknown ids become ``Unknown(<id>)``.
 
-    ``dictionary`` has the columns ``by``, ``category_id`` and ``name``.
+    ``dictionary`` has the columns ``by``, ``category_id`` and ``name``, and may have
+    ``entry_order``: of entries that repeat an id the last one counts, without it the
+    greatest name. Entries without an id name nothing.
     """
     refs_as_structs = F.transform(
         nested.ref_ids(refs),
@@ -42,7 +44,7 @@ def with_category_names(
             F.concat(F.lit("Unknown("), i.cast("string"), F.lit(")")).alias("otherwise"),
         ),
     )
-    table = dictionary.select(*by, F.col("category_id").cast("bigint").alias("id"), F.col("name").alias("value"))
+    table = dictionary.select(*by, F.col("category_id").cast("bigint").alias("id"), F.col("name").alias("value"), *_order(dictionary))
     return _resolve(posts, refs_as_structs, table, into, by)
 
 
@@ -69,11 +71,15 @@ def with_media_urls(
         ),
     )
     table = dictionary.where("url <> ''").select(
-        *by, F.col("media_id").cast("bigint").alias("id"), F.col("url").alias("value")
+        *by, F.col("media_id").cast("bigint").alias("id"), F.col("url").alias("value"), *_order(dictionary)
     )
     return _resolve(posts, refs_as_structs, table, into, by)
 
 
+def _order(dictionary: DataFrame) -> list[str]:
+    return ["entry_order"] if "entry_order" in dictionary.columns else []
+
+
 def _value(ref: Column, found: Column) -> Column:
     return F.coalesce(ref["fixed"], found, ref["otherwise"])
 
@@ -93,7 +99,9 @@ def _resolve(
     """
     by = list(by)
     # One value per id, whatever the dictionary repeats.
-    table, rows, size = scale.measured(table.groupBy(*by, "id").agg(F.max("value").alias("value")), "dictionary")
+    value = F.max_by("value", "entry_order") if "entry_order" in table.columns else F.max("value")
+    table = table.where("id IS NOT NULL").groupBy(*by, "id").agg(value.alias("value"))
+    table, rows, size = scale.measured(table, "dictionary")
     short = scale.is_small(rows, size)
     if short:
         short = (table.groupBy(*by).count().agg(F.max("count")).first()[0] or 0) <= MAP_ENTRIES

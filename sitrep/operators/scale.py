@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 # Largest table that is broadcast or held by one process.
 MAX_ROWS = 200_000
 MAX_BYTES = 32 * 1024 * 1024
-# Copies of the smaller side when a lookup has to be shuffled.
+# Tasks that share a key of a streaming job.
 SALTS = 16
 # Ranges of an ordered input.
 MIN_RANGES = 64
@@ -78,23 +78,17 @@ def collected_chunks(
 
 
 def lookup_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", salts: int = SALTS
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left"
 ) -> DataFrame:
     """Join rows to a table with one row per key, however often ``left`` repeats a key.
 
     ``right`` is computed once and its size taken. A small table is broadcast and
-    ``left`` stays where it is. A larger one is shuffled, with ``salts`` copies so
-    that the rows of a hot key go to as many tasks. The salt is the source partition
-    of the row, so identical rows spread too and a repeated task gives the same
-    result.
+    ``left`` stays where it is. With a larger one both sides are shuffled; adaptive
+    execution measures the partitions and splits those of hot keys on the left, so that
+    only where a key is hot its one row of ``right`` goes to several tasks.
     """
-    on = list(on)
     right, rows, size = measured(right, "lookup")
-    if is_small(rows, size):
-        return left.join(F.broadcast(right), on, how)
-    salted = left.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    copies = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*on, "__salt"], how).drop("__salt")
+    return left.join(F.broadcast(right) if is_small(rows, size) else right, list(on), how)
 
 
 def range_bucket(

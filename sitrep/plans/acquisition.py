@@ -34,11 +34,10 @@ def keyword_dictionary(
     rows = keywords.glossary_rows(glossary, [*key, "ord"])
     second = keywords.glossary_terms(rows, targets).select("lang", "term", place(1, "ord", F.col("row_no")))
     seen = keywords.terms_by_lang(first, second)
-    # One sortable number per place: source, then page (below 2^36), then row of the page.
-    page_step = F.when(F.col("ord.source") == 1, F.lit(1 << 24)).otherwise(F.lit(1))
+    # One sortable number per place: source, then any 64-bit place of the page, then its row.
     numbered = seen.withColumn(
         "ord",
-        F.col("ord.source").cast("bigint") * F.lit(1 << 60) + F.col("ord.a") * page_step + F.col("ord.b"),
+        F.expr("CAST(concat(ord.source + 1, lpad(CAST(ord.a AS DECIMAL(20)) + 9223372036854775808, 20, '0'), lpad(ord.b, 10, '0')) AS DECIMAL(38))"),
     )
     return keywords.with_fallback(numbered)
 
@@ -64,10 +63,11 @@ def posts_of(responses: DataFrame) -> DataFrame:
 
 
 def category_dictionary(responses: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """``deployment, category_id, name`` of landed category responses.
+    """``deployment, category_id, name, entry_order`` of landed category responses.
 
-    Deployments without a usable response get the entries of their newest archived
-    response that has any. ``snapshots`` have a column ``ts``.
+    Deployments that were blocked or answered with no JSON get the entries of their newest
+    archived response that has any; one whose request failed has none. ``snapshots`` have a
+    column ``ts``. ``entry_order`` grows with the place of an entry in its response.
     """
 
     def entries(usable: DataFrame, *extra: str) -> DataFrame:
@@ -76,10 +76,13 @@ def category_dictionary(responses: DataFrame, snapshots: DataFrame) -> DataFrame
             *extra,
             F.try_variant_get("item", "$.id", "int").alias("category_id"),
             F.try_variant_get("item", "$.name", "string").alias("name"),
+            F.col("item_pos").alias("entry_order"),
         )
 
-    live, _ = payloads.triage_responses(responses)
-    needed = scale.lookup_join(snapshots, live.select("deployment").distinct(), ["deployment"], "left_anti")
+    marked = payloads.classify_responses(responses)
+    live = marked.where(F.col("reason").isNull()).drop("reason")
+    done = live.select("deployment").unionAll(payloads.without_archive(marked)).distinct()
+    needed = scale.lookup_join(snapshots, done, ["deployment"], "left_anti")
     archived, _ = payloads.triage_responses(needed)
     newest = lookups.first_non_empty_snapshot(entries(archived, "ts"))
     return entries(live).unionByName(newest.drop("ts"))
@@ -119,21 +122,14 @@ def live_posts(responses: DataFrame, categories: DataFrame, media: DataFrame) ->
 def crowd_reports(
     responses: DataFrame, snapshots: DataFrame, categories: DataFrame, media: DataFrame
 ) -> DataFrame:
-    """Live posts, and archived ones of deployments whose live feed gave an unusable page.
+    """Live posts, and archived ones of deployments whose live feed was blocked or gave no JSON.
 
-    If a feed breaks off after some usable pages, the archived posts come on top of
-    the live ones.
+    If such a feed had usable pages before, the archived posts come on top of the live
+    ones. A feed that failed otherwise ends there: its archive is not asked.
     """
     columns = ("deployment", "url", "record", "category_names", "media_urls")
     live = live_posts(responses, categories, media).select(*columns)
-    usable = F.col("reason").isNull()
-    complete = (
-        payloads.classify_responses(responses)
-        .groupBy("deployment")
-        .agg(F.bool_and(usable).alias("ok"))
-        .where("ok")
-        .select("deployment")
-    )
+    complete = payloads.without_archive(payloads.classify_responses(responses))
     # Only the snapshots that are needed get parsed.
     needed = scale.lookup_join(snapshots, complete, ["deployment"], "left_anti")
     return live.unionByName(archived_posts(needed, categories), allowMissingColumns=True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sitrep import constants as C
@@ -13,6 +13,10 @@ from sitrep.operators import audit, scale
 from sitrep.sources.jsonl import read_jsonl
 
 
+# Type of a term's place; wide enough for places made of several numbers.
+PLACE = "decimal(38,0)"
+
+
 def write_jsonl(
     df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False
 ) -> int:
@@ -39,12 +43,8 @@ def append_jsonl(df: DataFrame, path: str) -> int:
 def dictionary_rows(terms: DataFrame, targets: Sequence[str] = C.TARGET_LANGS) -> DataFrame:
     """The dictionary as a table ``lang, keywords``; languages without terms have an empty array.
 
-    Only for dictionaries that fit into one row per language; larger ones stay
-    ``lang, term, ord`` rows.
+    A language is one row with all its terms; ``lang, term, ord`` rows have no such bound.
     """
-    terms, rows, size = scale.measured(terms, "terms")
-    if not scale.is_small(rows, size):
-        raise ValueError("dictionary too large for one row per language; use the term rows")
     wanted = terms.sparkSession.createDataFrame([(t,) for t in targets], "lang string")
     lists = terms.groupBy("lang").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("ord", "term"))), lambda x: x["term"]).alias("keywords")
@@ -71,17 +71,17 @@ def dictionary_lines(terms: DataFrame, targets: Sequence[str] = C.TARGET_LANGS)
         frame.append((i, -1, ("," if i else "") + f'"{lang}":['))
         frame.append((i, None, "]"))
     frame.append((len(targets), -1, "}}"))
-    last = F.lit(2**62)
+    last = F.lit("9" * 38).cast(PLACE)
     fixed = spark.createDataFrame(frame, "section int, ord bigint, line string").select(
         "section",
-        F.coalesce("ord", last).alias("ord"),
+        F.coalesce(F.col("ord").cast(PLACE), last).alias("ord"),
         F.lit("").alias("tie"),
         F.when(F.col("line") == "HEAD", F.concat(F.lit('{"metadata":'), metadata, F.lit(',"keywords":{')))
         .otherwise(F.col("line"))
         .alias("line"),
     )
     section = F.create_map(*[F.lit(x) for i, lang in enumerate(targets) for x in (lang, i)])
-    rows = terms.where(F.col("lang").isin(*targets))
+    rows = terms.where(F.col("lang").isin(*targets)).withColumn("ord", F.col("ord").cast(PLACE))
     # One row per target language.
     first = rows.groupBy("lang").agg(F.min(F.struct("ord", "term")).alias("__first"))
     quoted = F.expr("substring(to_json(array(term)), 2, length(to_json(array(term))) - 2)")
@@ -95,22 +95,23 @@ def dictionary_lines(terms: DataFrame, targets: Sequence[str] = C.TARGET_LANGS)
 
 
 def write_dictionary(terms: DataFrame, path: str, targets: Sequence[str] = C.TARGET_LANGS) -> None:
-    """Write the dictionary as JSON: one file if it is small, else sorted parts.
+    """Write the dictionary as JSON in sorted parts, one line per term.
 
     The parts, put together in name order, are the JSON object.
     """
-    terms, rows, size = scale.measured(terms, "terms")
+    terms = scale.materialize(terms, "terms")
     lines = dictionary_lines(terms, targets).orderBy("section", "ord", "tie")
-    if scale.is_small(rows, size):
-        lines = lines.coalesce(1).sortWithinPartitions("section", "ord", "tie")
     lines.select("line").write.mode("overwrite").text(path)
 
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
-    """``lang, term, ord`` of a dictionary in one file: an object of arrays under ``keywords``.
-
-    Dictionaries of several parts are passed on as term rows, in JSON Lines.
+    """``lang, term, ord`` of a dictionary: what :func:`write_dictionary` wrote, of any size,
+    or any one file with an object of arrays under ``keywords``.
     """
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    begins = F.col("value").startswith('{"metadata":') & F.col("value").endswith('"keywords":{')
+    if not lines.where(begins).isEmpty():
+        return _terms_of_lines(lines.where(~begins))
     body = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("body"))
     keywords = F.try_variant_get("body", "$.keywords", "map<string,array<string>>")
     return (
@@ -120,6 +121,37 @@ def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _terms_of_lines(lines: DataFrame) -> DataFrame:
+    """Terms of the lines of a dictionary's parts.
+
+    A language's line stands before its terms, maybe in an earlier part: what is open at the
+    end of each block of a file, one row per block, is handed on to the next.
+    """
+    opened = F.nullif(F.regexp_extract("value", '^,?"(.*)":\\[$', 1), F.lit(""))
+    placed = lines.select("value", F.struct("file_path", "file_block_start").alias("part"), F.monotonically_increasing_id().alias("line"))
+    marked = placed.withColumn("opened", opened)
+    upto = Window.partitionBy("part").orderBy("line")
+    marked = marked.withColumn("here", F.last("opened", ignorenulls=True).over(upto))
+    ends = marked.groupBy("part").agg(F.max_by("opened", F.when(F.col("opened").isNotNull(), F.col("line"))).alias("at_end"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("part", F.last("at_end", ignorenulls=True).over(before).alias("carried"))
+    term = F.from_json(F.concat(F.lit("["), F.ltrim("value", F.lit(",")), F.lit("]")), "array<string>")[0]
+    rows = (
+        marked.where(F.col("opened").isNull() & F.col("value").rlike('^,?"'))
+        .join(F.broadcast(carried), "part")
+        .select(F.coalesce("here", "carried").alias("lang"), term.alias("term"), "part", "line")
+    )
+    counts = rows.groupBy("lang", "part").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("lang").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("lang", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("lang", "part").orderBy("line")
+    return (
+        rows.withColumn("nth", F.row_number().over(inside) - 1)
+        .join(F.broadcast(offsets), ["lang", "part"])
+        .select("lang", "term", (F.col("offset") + F.col("nth")).alias("ord"))
+    )
+
+
 def publish_if_compliant(
     spark: SparkSession,
     artifact: str,

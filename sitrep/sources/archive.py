@@ -39,17 +39,21 @@ def cdx_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
 
 
 def warc_paths(
-    spark: SparkSession, listing: str | Sequence[str], n: int | None = C.LISTING_LIMIT
+    spark: SparkSession, listing: str | Sequence[str], n: int | None = None
 ) -> DataFrame:
-    """Segment addresses of a (gzip) text listing; the first ``n`` in listing order.
+    """Segment addresses of a (gzip) text listing; with ``n`` only the first ones of the listing.
 
-    Listings are sorted by path, so listing order is path order.
+    Several listings count in the order of their paths.
     """
     line = F.regexp_replace("value", r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
     paths = (
         spark.read.text(listing)
-        .select(line.alias("path"))
+        .select(line.alias("path"), "_metadata.file_path", "_metadata.file_block_start")
         .where("path <> ''")
-        .select(F.concat(F.lit(C.LISTING_URL_PREFIX), "path").alias("path"))
+        # Inside a block of a file the id grows with the line.
+        .withColumn("line", F.monotonically_increasing_id())
+        .withColumn("path", F.concat(F.lit(C.LISTING_URL_PREFIX), "path"))
     )
-    return paths if n is None else paths.orderBy("path").limit(n)
+    if n is not None:
+        paths = paths.orderBy("file_path", "file_block_start", "line").limit(n)
+    return paths.select("path")

@@ -14,8 +14,9 @@ LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 def classify_responses(df: DataFrame) -> DataFrame:
     """Add ``payload`` (VARIANT) and ``reason``, null for usable rows.
 
-    Reasons: ``status`` for 400 and above, ``not_json`` when neither the content
-    type nor the first character says JSON, ``invalid_json`` when it does not parse.
+    Reasons: ``blocked`` for status 403, ``failed`` for any other of 400 and above,
+    ``not_json`` when neither the content type nor the first character says JSON,
+    ``invalid_json`` when it does not parse. All but ``failed`` lead to the archive.
     """
     looks_like_json = F.coalesce(
         F.lower("content_type").contains("json"), F.lit(False)
@@ -23,7 +24,8 @@ def classify_responses(df: DataFrame) -> DataFrame:
     usable = looks_like_json & ~F.coalesce(F.col("status") >= 400, F.lit(False))
     parsed = nested.once(df, F.when(usable, F.try_parse_json("body")), "payload")
     reason = (
-        F.when(F.col("status") >= 400, "status")
+        F.when(F.col("status") == 403, "blocked")
+        .when(F.col("status") >= 400, "failed")
         .when(~looks_like_json, "not_json")
         .when(F.col("payload").isNull(), "invalid_json")
     )
@@ -37,6 +39,17 @@ def triage_responses(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid, marked.where(F.col("reason").isNotNull()).drop("payload")
 
 
+def without_archive(marked: DataFrame) -> DataFrame:
+    """Deployments whose archive is not asked, from classified responses: ``deployment``.
+
+    All their responses are usable, or one failed: a failure ends a deployment, while a
+    block or an answer that is no JSON turns to the archive.
+    """
+    usable, failed = F.col("reason").isNull(), F.coalesce(F.col("reason") == "failed", F.lit(False))
+    state = marked.groupBy("deployment").agg((F.bool_and(usable) | F.bool_or(failed)).alias("done"))
+    return state.where("done").select("deployment")
+
+
 def explode_items(df: DataFrame, payload: str = "payload") -> DataFrame:
     """One row per object item of each payload, as VARIANT ``item`` with its position."""
     rest = [c for c in df.columns if c != payload]

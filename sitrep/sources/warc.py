@@ -7,6 +7,7 @@ row whose ``error`` says what happened.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -30,6 +31,8 @@ _ARROW = pa.schema(
 )
 # What a gzip member starts with.
 _MEMBER = b"\x1f\x8b\x08"
+# Longest payload a compressed body may grow to.
+MAX_PAYLOAD = 512 << 20
 _BATCH_ROWS = 1000
 _BATCH_BYTES = 16 * 1024 * 1024
 
@@ -122,7 +125,12 @@ class WarcReader(DataSourceReader):
                     kind = head.get("warc-type", "")
                     if self.record_types and kind not in self.record_types:
                         continue
-                    content_type, payload = http_payload(head, body)
+                    try:
+                        content_type, payload = http_payload(head, body)
+                    except OversizedPayload as error:
+                        # The record is named, the ones after it are read.
+                        yield uri, kind, head.get("warc-target-uri"), None, None, str(error)
+                        continue
                     if (
                         self.content_types
                         and kind == "response"
@@ -145,7 +153,8 @@ def _open_filesystem(path: str):
         return fs.LocalFileSystem(), path
     if path.startswith("file:"):
         return fs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
-    return fs.FileSystem.from_uri(path)
+    # The names Hadoop gives to stores that pyarrow knows by others.
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", path))
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -318,18 +327,29 @@ def _unchunk(body: bytes) -> bytes:
             size = int(body[at:end].split(b";")[0], 16)
         except ValueError:
             return b"".join(parts) if parts else body
+        if size < 0:
+            # No size at all: a body that goes back over itself would never end.
+            return b"".join(parts) if parts else body
         if size == 0:
             return b"".join(parts)
         parts.append(body[end + 2: end + 2 + size])
         at = end + 2 + size + 2
 
 
+class OversizedPayload(Exception):
+    """A compressed payload that a task should not hold."""
+
+
 def _inflate(body: bytes) -> bytes:
     for window in (47, -15):  # gzip or zlib header, then a bare deflate stream
         try:
-            return zlib.decompressobj(window).decompress(body)
+            unzip = zlib.decompressobj(window)
+            plain = unzip.decompress(body, MAX_PAYLOAD)
         except zlib.error:
             continue
+        if unzip.unconsumed_tail:
+            raise OversizedPayload(f"payload is longer than {MAX_PAYLOAD} bytes")
+        return plain
     return body
 
 

@@ -72,8 +72,8 @@ def test_records_are_exported_as_they_are(spark, tmp_path):
 def test_listing(spark, tmp_path):
     write(tmp_path / "paths.gz", gzip.compress(b"b/2\n\n  a/1 \nc/3\n"))
     found = [r.path for r in warc_paths(spark, str(tmp_path / "paths.gz"), 2).collect()]
-    assert found == ["https://data.commoncrawl.org/a/1", "https://data.commoncrawl.org/b/2"]
-    assert warc_paths(spark, str(tmp_path / "paths.gz"), None).count() == 3
+    assert found == ["https://data.commoncrawl.org/b/2", "https://data.commoncrawl.org/a/1"]
+    assert warc_paths(spark, str(tmp_path / "paths.gz")).count() == 3
 
 
 def terms(spark):
@@ -81,23 +81,24 @@ def terms(spark):
     return spark.createDataFrame(rows, "lang string, term string, ord bigint")
 
 
-@pytest.mark.parametrize("limit", [200_000, 0])
-def test_dictionary_file(spark, tmp_path, monkeypatch, limit):
-    monkeypatch.setattr("sitrep.operators.scale.MAX_ROWS", limit)
+@pytest.mark.parametrize("coalesced", ["true", "false"])
+def test_dictionary_file(spark, tmp_path, coalesced):
     path = tmp_path / "dictionary"
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesced)
     try:
         sinks.write_dictionary(terms(spark), str(path), ("swa", "amh", "tgl"))
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     parts = sorted(f for f in os.listdir(path) if f.startswith("part-"))
-    assert (len(parts) > 1) == (limit == 0)
+    assert (len(parts) > 1) == (coalesced == "false")
     whole = json.loads("".join((path / f).read_text(encoding="utf-8") for f in parts))
     assert whole["keywords"] == {"swa": ['a "q" \\ é', "mafuriko"], "amh": [], "tgl": ["baha"]}
     assert whole["metadata"]["target_languages"] == ["swa", "amh", "tgl"]
-    if limit:
-        back = sinks.read_dictionary(spark, str(path))
-        assert sorted(r.keyword for r in keywords.flatten_keywords(back).collect()) == ['a "q" \\ é', "baha", "mafuriko"]
+    back = sinks.read_dictionary(spark, str(path))
+    assert sorted(map(tuple, back.collect())) == [("swa", 'a "q" \\ é', 0), ("swa", "mafuriko", 1), ("tgl", "baha", 0)]
+    assert sorted(r.keyword for r in keywords.flatten_keywords(back).collect()) == ['a "q" \\ é', "baha", "mafuriko"]
+    other = write(tmp_path / "other.json", json.dumps(whole, indent=2))
+    assert sorted(map(tuple, sinks.read_dictionary(spark, other).collect())) == sorted(map(tuple, back.collect()))
 
 
 def test_publish(spark, tmp_path):

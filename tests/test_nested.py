@@ -80,8 +80,8 @@ def test_triage(spark):
         (200, "text/html", " \n[1]", None),
         (200, "text/html", "<html>", "not_json"),
         (200, None, None, "not_json"),
-        (403, "application/json", "{}", "status"),
-        (400, "application/json", "{}", "status"),
+        (403, "application/json", "{}", "blocked"),
+        (400, "application/json", "{}", "failed"),
         (200, "Application/JSON", "oops", "invalid_json"),
         (200, "x", "{oops", "invalid_json"),
     ]

@@ -30,9 +30,14 @@ def values(df):
 @pytest.mark.parametrize("name", ["category_names", "media_urls", "source_fallback", "crowd_reports"])
 def test_large_lookup_plan(spark, monkeypatch, name):
     monkeypatch.setattr(scale, "MAX_ROWS", 0)
-    found = QUERIES[name](spark, SF)
-    assert "BroadcastHashJoin" not in found._jdf.queryExecution().optimizedPlan().toString()
-    assert spark_rows(found) == sql_rows(connection(SF), ORACLE[name])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = QUERIES[name](spark, SF)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan and "Generate explode(sequence" not in plan
+        assert spark_rows(found) == sql_rows(connection(SF), ORACLE[name])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 @pytest.mark.parametrize("name", ["keyword_filter", "keyword_hits", "extract_intent", "map_taxonomy", "adaptation_chain"])
@@ -101,20 +106,52 @@ def test_group_limit_runs_before_the_shuffle(spark):
     assert plan.index("Final") < plan.index("Exchange hashpartitioning") < plan.index("Partial")
 
 
-def test_hot_lookup_key_is_spread(spark, monkeypatch):
+def test_hot_lookup_key_is_split(spark, monkeypatch):
     monkeypatch.setattr(scale, "MAX_ROWS", 0)
-    left = spark.range(0, 30_000, numPartitions=12).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k", "id")
-    right = spark.range(0, 30_000).selectExpr("id AS k", "id * 2 AS v")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    left = spark.range(0, 300_000, numPartitions=12).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k", "id", "sha2(string(id), 256) AS x")
+    right = spark.range(0, 300_000).selectExpr("id AS k", "id * 2 AS v")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
-        joined = scale.lookup_join(left, right, ["k"], salts=6)
-        tasks = joined.where("k = 7").select(F.spark_partition_id().alias("p")).distinct().count()
-        assert joined.count() == 30_000 and joined.where("v <> 2 * k OR v IS NULL").count() == 0
+        joined = scale.lookup_join(left, right, ["k"])
+        kept = joined.select("k", "v", "x", F.spark_partition_id().alias("p")).collect()
     finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert tasks > 2
+        for k in settings:
+            spark.conf.unset(k)
+    assert len(kept) == 300_000 and all(r.v == 2 * r.k for r in kept)
+    assert len({r.p for r in kept if r.k == 7}) > 2
+
+
+def test_dictionary_entries_without_id_and_repeated(spark, monkeypatch):
+    posts = spark.createDataFrame([("a", "[1,2]")], "deployment string, c string").selectExpr(
+        "deployment", "try_variant_get(parse_json(c), '$', 'array<variant>') AS categories"
+    )
+    rows = [("a", 1, "zulu", 0), ("a", 1, "alpha", 1), ("a", None, "none", 2)]
+    dictionary = spark.createDataFrame(rows, "deployment string, category_id int, name string, entry_order int")
+    for limit in (scale.MAX_ROWS, 0):
+        monkeypatch.setattr(scale, "MAX_ROWS", limit)
+        assert lookups.with_category_names(posts, dictionary).first().category_names == ["alpha", "Unknown(2)"]
+
+
+def test_pages_by_key(spark):
+    df = spark.range(0, 10).selectExpr("id % 3 AS a", "id AS b")
+    pages, after = [], None
+    while page := dedup.page_after(df, ["a", "b"], after, 4).collect():
+        pages += map(tuple, page)
+        after = page[-1]
+    assert pages == sorted(map(tuple, df.collect()))
+
+
+def test_results_without_a_column_are_quarantined(spark):
+    df = spark.createDataFrame([(1, 2), (2, 3)], "a bigint, b bigint")
+    ok, failed = adapt.adapt(df, "filter_noise", lambda batch, operation: batch.drop(columns="b"))
+    assert ok.count() == 0 and failed.count() == 2
 
 
 # --- lookups ---------------------------------------------------------------------

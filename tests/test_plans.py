@@ -94,14 +94,16 @@ def test_archive_comes_on_top_of_a_broken_feed(spark):
     live = [
         ("a", 200, "[" + post % (1, "live-a") + ",7]"),
         ("b", 200, "[" + post % (1, "live-b") + "]"),
-        ("b", 503, "<html>"),
+        ("b", 403, "<html>"),
         ("c", 200, "<html>"),
         ("d", 200, "[]"),
+        ("e", 404, "<html>"),
+        ("f", 500, "<html>"),
     ]
     responses = spark.createDataFrame([(*r, "", "") for r in live], "deployment string, status int, body string, content_type string, fetched_ts string")
     old = [
         (d, ts, f"http://{d}/{ts}", 200, "", "[" + post % (1, f"old-{d}-{ts}") + ',{"url":"u"},{"url":"u"}]')
-        for d in "abcd" for ts in ("1", "2")
+        for d in "abcdef" for ts in ("1", "2")
     ]
     snapshots = spark.createDataFrame(old, "deployment string, ts string, original string, status int, content_type string, body string")
     categories = spark.createDataFrame([(d, 1, "flood") for d in "abc"], "deployment string, category_id int, name string")
