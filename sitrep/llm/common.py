@@ -55,6 +55,12 @@ def texts(column: pa.Array) -> Iterator[bytes | None]:
         yield value.as_py()
 
 
+def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows of a batch, one at a time, so that only one row's values are copied."""
+    for i in range(batch.num_rows):
+        yield {name: column[i].as_py() for name, column in zip(batch.schema.names, batch.columns)}
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)

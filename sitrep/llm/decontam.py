@@ -15,11 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitrep.llm.common import IN_TERM, map_batches, row_key, stored, texts, word_hashes
+from sitrep.llm.common import IN_TERM, map_batches, row_key, rows_of, stored, texts, word_hashes
 
 WINDOW = 10
 # Text of one shard; a longer document is a shard of its own.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 # Benchmark words that one pass holds; a larger benchmark takes several passes.
 BLOCK_WORDS = 200_000
 INDEX = (
@@ -208,7 +208,7 @@ def occurrences(
 
         def counts(batch: pa.RecordBatch, vocabulary=vocabulary) -> pa.RecordBatch:
             total = np.zeros(len(vocabulary), np.int64)
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 found = np.frombuffer(row["terms"], np.uint64)
                 size = np.diff(np.frombuffer(row["bounds"], np.uint32).astype(np.int64))
                 _, a, b = np.intersect1d(vocabulary, found, assume_unique=True, return_indices=True)
@@ -232,7 +232,7 @@ def occurrences(
         def look(batch: pa.RecordBatch, block=block) -> pa.RecordBatch:
             item, vocabulary, length, number, ranked = block.value
             out = {"shard": [], "ordinal": [], "items": [], "words": []}
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 windows, starts = match(Shard(row), vocabulary, length, number, ranked, slop)
                 if not len(windows):
                     continue
@@ -274,7 +274,7 @@ def documents_of(index: DataFrame) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
-        for row in batch.to_pylist():
+        for row in rows_of(batch):
             ids = np.frombuffer(row["doc_ids"], np.int64)
             n = len(ids)
             out.append(
