@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitrep.llm.common import map_batches, row_key
+from sitrep.llm.common import map_batches, map_rows, row_key
 
 KINDS = ("email", "ip", "card", "phone")
 # Fixed patterns.
@@ -326,4 +326,4 @@ def redacted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         new = pa.array([clean(v.as_py()) for v in batch.column(at)], batch.schema.field(at).type)
         return batch.set_column(at, batch.schema.field(at), new)
 
-    return map_batches(docs, run, docs.schema)
+    return map_rows(docs, run)

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from sitrep.llm.common import IN_WORD, map_batches, shingle_hashes, texts, word_hashes
+from sitrep.llm.common import IN_WORD, map_batches, map_rows, shingle_hashes, texts, word_hashes
 
 SYMBOLS = b"#*$%&|<>"
 RESULT = (
@@ -137,7 +137,7 @@ def keep_good(docs: DataFrame, text: str = "text", max_lost: float = 0.5) -> Dat
         kept = [judged(t, max_lost)[6] for t in texts(batch.column(at))]
         return batch.filter(pa.array(kept, pa.bool_()))
 
-    return map_batches(docs, run, docs.schema)
+    return map_rows(docs, run)
 
 
 def clean_lines(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -148,4 +148,4 @@ def clean_lines(docs: DataFrame, text: str = "text") -> DataFrame:
         new = [None if t is None else cleaned(t)[0].decode() for t in texts(batch.column(at))]
         return batch.set_column(at, batch.schema.field(at), pa.array(new, batch.schema.field(at).type))
 
-    return map_batches(docs, run, docs.schema)
+    return map_rows(docs, run)

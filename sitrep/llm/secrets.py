@@ -125,8 +125,13 @@ def battery(strings: str) -> Column:
     return F.expr(found)
 
 
+def family(encoding: Column) -> Column:
+    """Encodings whose ordinary strings are cut in the same way."""
+    return F.when(F.lower(encoding) == "hex", "hex").otherwise("other")
+
+
 def thresholds(tested: DataFrame, rate: float) -> list:
-    """Level for each encoding and length class at which false discoveries stay below ``rate``.
+    """Level for each family of encodings and length class that keeps false discoveries below ``rate``.
 
     Ordinary strings of the same class, cut from all texts, say how often a string that is no
     key passes a level; times the candidates of the class, that is the number of false ones to
@@ -142,11 +147,11 @@ def thresholds(tested: DataFrame, rate: float) -> list:
             F.count(F.when(plain & (F.col("p") >= level), 1)).alias(f"plain{i}"),
         ]
     chosen = []
-    for row in each.groupBy("encoding", "length_class").agg(*counts).collect():
+    for row in each.groupBy(family(F.col("encoding")).alias("family"), "length_class").agg(*counts).collect():
         for i, level in enumerate(LEVELS):
             false = row["n"] * (row[f"plain{i}"] + 1) / (row["plain"] + 1)
             if row[f"real{i}"] and false <= rate * row[f"real{i}"]:
-                chosen.append((row["encoding"], row["length_class"], level))
+                chosen.append((row["family"], row["length_class"], level))
                 break
     return chosen
 
@@ -199,8 +204,8 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", false_rate
 
     def random(x: Column) -> Column:
         level = F.lit(2.0)
-        for encoding, length_class, at in chosen:
-            level = F.when((x["encoding"] == encoding) & (x["length_class"] == length_class), at).otherwise(level)
+        for name, length_class, at in chosen:
+            level = F.when((family(x["encoding"]) == name) & (x["length_class"] == length_class), at).otherwise(level)
         outside = ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
         return (x["role"] == "candidate") & (x["p"] >= level) & outside
 

@@ -78,7 +78,7 @@ def mined_rules(
     url: str = "url",
     min_support: float = 0.005,
     min_pages: int = 30,
-    min_confidence: float = 0.5,
+    min_confidence: float = 0.8,
     min_lift: float = 1.5,
 ) -> DataFrame:
     """Combinations of URL tokens that mark bad pages: ``antecedent, confidence, support``.

@@ -144,6 +144,6 @@ def test_pipeline(spark, con, texts):
         column = "kept" if name == "op2_neardup" else "NOT contaminated"
         sql = ORACLE[name].replace("FROM documents", "FROM kept")
         con.execute(f"CREATE OR REPLACE TEMP TABLE kept AS SELECT * FROM kept WHERE doc_id IN (SELECT doc_id FROM ({sql}) WHERE {column})")
-    mixed = con.execute(ORACLE["op5_mixing"].replace("FROM documents", "FROM kept")).fetch_arrow_table().to_pylist()
+    mixed = con.execute(ORACLE["op5_mixing"].replace("FROM documents", "FROM kept")).to_arrow_table().to_pylist()
     rows = [r["doc_id"] for r in mixed for _ in range(r["taken"] // max(1, r["size"]))]
     assert sorted(map(tuple, found)) == encoded([(i, texts[i]) for i in sorted(rows)])
