@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitrep.llm.common import prefix_sums, stored
+from sitrep.operators import scale
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 # Buckets of the seeded order in which a source's documents get their fractional repetition.
@@ -124,11 +125,14 @@ def repetitions(sized: DataFrame, targets: DataFrame) -> DataFrame:
         F.coalesce("t.upto_key", "e.bucket").alias("upto_key"),
         (F.col("e.missing") - F.coalesce("t.upto", "e.before")).alias("rest"),
     )
+    # One row per source: broadcast after its size is taken, so that a large source is not one task.
+    edge, rows, size = scale.measured(edge, "mix-edges")
+    near = F.broadcast(edge) if scale.is_small(rows, size) else edge
     # The document that would end it is too long: of those not taken, the one nearest to the rest.
     off = F.abs(F.col("d.size") - F.col("g.rest"))
     fill = (
         sized.alias("d")
-        .join(edge.alias("g"), F.expr("d.source_key <=> g.source_key AND d.key > g.upto_key"))
+        .join(near.alias("g"), F.expr("d.source_key <=> g.source_key AND d.key > g.upto_key"))
         .where(off < F.col("g.rest"))
         .groupBy(F.col("d.source_key").alias("source_key"))
         .agg(F.min(F.struct(off.alias("off"), F.col("d.key").alias("key"))).alias("best"))
