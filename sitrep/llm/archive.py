@@ -94,12 +94,11 @@ def write_archive(
         F.lit("\r\n"),
     )
     named.select("digest", header.cast("binary").alias("header")).write.parquet(f"{path}/headers")
-    # Pages that repeat the largest id bring the same bytes.
-    once = (
-        rows.select("page_id", "digest", "payload")
-        .join(leads.withColumnRenamed("digest", "d"), F.expr("digest = d AND page_id <=> lead_id"), "left_semi")
-        .dropDuplicates(["digest", "page_id"])
-    )
+    # Pages that repeat the largest id bring the same bytes. One key for the join and for that,
+    # so that payloads are shuffled once.
+    keyed = rows.select(F.concat_ws(":", "digest", "page_id").alias("name"), "digest", "payload")
+    names = leads.select(F.concat_ws(":", "digest", "lead_id").alias("name"))
+    once = keyed.join(names, "name", "left_semi").dropDuplicates(["name"])
     once.select("digest", "payload").write.parquet(f"{path}/payloads")
     return Archive(path)
 
