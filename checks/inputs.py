@@ -91,6 +91,12 @@ def keyword_table(benchmark: DataFrame) -> DataFrame:
     return benchmark.select(word.alias("keyword")).where("keyword IS NOT NULL").distinct()
 
 
+def word_table(benchmark: DataFrame) -> DataFrame:
+    """All long words of all items."""
+    words = F.filter(F.split(F.lower("text"), r"\s+"), lambda w: F.length(w) > 3)
+    return benchmark.select(F.explode(words).alias("keyword")).distinct()
+
+
 def lexicon(benchmark: DataFrame) -> DataFrame:
     """Terms with an intent and a framework code."""
     return benchmark.select(
@@ -148,6 +154,56 @@ def og_pages(pages: DataFrame) -> DataFrame:
     )
 
 
+def story_pages(pages: DataFrame) -> DataFrame:
+    """Every third page with its own words as OpenGraph description, put in front."""
+    return pages.select(
+        "page_id",
+        "url",
+        F.expr(
+            r"""concat(CASE WHEN page_id % 3 = 0 THEN concat('<meta property="og:image" content="i"><meta property="og:description" content="page ',
+                page_id, ' ', regexp_replace(regexp_replace(html, '<[^>]*>', ' '), '[^a-z]+', ' '), '">') ELSE '' END, html)"""
+        ).alias("html"),
+    )
+
+
+def report_responses(docs: DataFrame) -> DataFrame:
+    """Documents as feed responses, a post with the whole text each; two feeds are blocked."""
+    return labelled(docs).selectExpr(
+        "source AS deployment",
+        "'' AS fetched_ts",
+        "CASE WHEN source IN ('src16', 'src17') THEN 403 ELSE 200 END AS status",
+        "'application/json' AS content_type",
+        """to_json(named_struct('results', array(named_struct('id', doc_id, 'url', concat('http://p/', doc_id), 'content', text,
+           'language', language_inferred, 'status', 'published', 'tags', array('flood'), 'categories', array(doc_id % 9),
+           'media', array(doc_id % 15))))) AS body""",
+    )
+
+
+def report_snapshots(benchmark: DataFrame) -> DataFrame:
+    """Items as archived responses of the feeds."""
+    return benchmark.selectExpr(
+        "concat('src', item_id % 20) AS deployment",
+        "lpad(item_id, 14, '0') AS ts",
+        "concat('http://o/', item_id) AS original",
+        "200 AS status",
+        "'' AS content_type",
+        "to_json(array(named_struct('id', item_id, 'url', concat('http://c/', item_id), 'content', text))) AS body",
+    )
+
+
+def glossary_pages(docs: DataFrame) -> DataFrame:
+    """Documents as small pages with nested rows, hidden text and tags left open."""
+    return docs.select(
+        "doc_id",
+        F.expr(
+            """concat('<div>top ', doc_id, '<ul><li>one <b>', coalesce(source, ''), '</b></li><li>two</ul> rest</div>',
+               '<script><div>no</div></script><table><TR><td>a &amp; b</td> <td>c', doc_id % 7,
+               '</td></tr></table><div>x<rp>(</rp><rt>y', doc_id, '</rt><rp>)</rp><!-- z --> <style>p</style>end',
+               CASE WHEN doc_id % 2 = 0 THEN '</div>' ELSE '<li>' END)"""
+        ).alias("html"),
+    )
+
+
 def warc_text(pages: DataFrame, html: str = "html") -> DataFrame:
     """Pages as web-archive records: a request and a response each."""
     return pages.select(

@@ -236,4 +236,35 @@ ORACLE = {
             WHERE d.doc_id IN (SELECT min(doc_id) FROM documents
               WHERE EXISTS (SELECT 1 FROM {KEYWORDS} k WHERE contains(lower(text), keyword)) GROUP BY text))
         GROUP BY 1)""",
+    "glossary_texts": """SELECT doc_id, 0::BIGINT AS row_no, 'top ' || doc_id || 'one ' || coalesce(source, '') || 'two rest' AS text FROM documents
+        UNION ALL SELECT doc_id, 1, 'one ' || coalesce(source, '') FROM documents
+        UNION ALL SELECT doc_id, 2, 'two' FROM documents
+        UNION ALL SELECT doc_id, 3, 'a & b c' || (doc_id % 7) FROM documents
+        UNION ALL SELECT doc_id, 4, 'x end' FROM documents
+        UNION ALL SELECT doc_id, 5, '' FROM documents WHERE doc_id % 2 <> 0""",
+    "keyword_hits_words": r"""SELECT keyword, count(*) AS n FROM documents JOIN (SELECT DISTINCT
+          unnest(list_filter(string_split_regex(lower(text), '\s+'), lambda x: length(x) > 3)) AS keyword FROM benchmark)
+          ON contains(lower(text), keyword) GROUP BY keyword""",
+    "page_after": "SELECT o_orderkey FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 500 OFFSET 500",
+    "validated": f"""SELECT doc_id, {redacted('text')} AS content,
+        (SELECT count(*) FROM {DIST} WHERE primary_lang IN ('en', 'de', 'mar') AND share >= 0.05) = 3 AS compliant FROM documents""",
+    "publish_gate": f"""SELECT 'met' AS gate, doc_id, coalesce(language_inferred, '') AS lang, text FROM {LABELLED}
+          WHERE (SELECT count(*) FROM {DIST} WHERE primary_lang IN ('en', 'de', 'mar') AND share >= 0.05) = 3
+        UNION ALL SELECT 'missed', doc_id, coalesce(language_inferred, ''), text FROM {LABELLED}
+          WHERE (SELECT count(*) FROM {DIST} WHERE primary_lang IN ('en', 'amh') AND share >= 0.05) = 2""",
+    "reports_to_publish": f"""WITH reports AS (
+          SELECT 'http://p/' || doc_id AS id, text AS content, language_inferred FROM {LABELLED}
+            WHERE source IS NULL OR source NOT IN ('src16', 'src17')
+          UNION ALL SELECT 'http://c/' || item_id, text, NULL FROM benchmark WHERE 'src' || (item_id % 20) NOT IN (
+            SELECT source FROM documents WHERE source NOT IN ('src16', 'src17'))
+          UNION ALL SELECT url, 'page ' || page_id || ' ' ||
+            regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '[^a-z]+', ' ', 'g'), NULL
+            FROM pages WHERE page_id % 3 = 0 AND page_id % 5 <> 0),
+        labelled AS (SELECT id, content, language_inferred, string_agg(DISTINCT intent, '|' ORDER BY intent) AS intents,
+          string_agg(DISTINCT code, '|' ORDER BY code) AS codes
+          FROM reports JOIN {LEXICON} ON contains(lower(content), term) GROUP BY id, content, language_inferred),
+        kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY content ORDER BY id) AS rn FROM labelled) WHERE rn = 1),
+        shares AS (SELECT {primary('language_inferred')} AS lang, count(*) / sum(count(*)) OVER ()::DOUBLE AS share FROM kept GROUP BY 1)
+        SELECT id, {redacted('content')} AS content, intents, codes,
+          (SELECT count(*) FROM shares WHERE lang IN ('en', 'de', 'mar') AND share >= 0.05) = 3 AS published FROM kept""",
 }

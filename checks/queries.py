@@ -303,6 +303,13 @@ def glossary_rows(spark, sf):
     return keywords.glossary_rows(I.table(spark, sf, "pages"), ["page_id"])
 
 
+@query
+def glossary_texts(spark, sf):
+    """Nested rows, hidden text, entities and open tags on pages whose texts are known."""
+    rows = keywords.glossary_rows(I.glossary_pages(I.table(spark, sf, "documents")), ["doc_id"])
+    return rows.select("doc_id", F.col("row_no").cast("bigint").alias("row_no"), "text")
+
+
 # --- filters ---------------------------------------------------------------
 
 
@@ -371,6 +378,12 @@ def keyword_hits(spark, sf):
     )
 
 
+@query
+def keyword_hits_words(spark, sf):
+    """Hits of every long word of every item."""
+    return keywords.keyword_hits(I.table(spark, sf, "documents"), "text", I.word_table(I.table(spark, sf, "benchmark")))
+
+
 @query
 def glossary_terms(spark, sf):
     rows = I.table(spark, sf, "documents").select("doc_id", "text")
@@ -469,6 +482,14 @@ def page_of(spark, sf):
     return dedup.page_of(orders, ["o_orderdate", "o_orderkey"]).select("o_orderkey", "page_offset")
 
 
+@query
+def page_after(spark, sf):
+    """The page after the first one, found by the key of that one's last row."""
+    orders, order = I.table(spark, sf, "orders").select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"]
+    last = dedup.page_after(orders, order, None).orderBy(*[F.desc(c) for c in order]).first()
+    return dedup.page_after(orders, order, [last[c] for c in order]).select("o_orderkey")
+
+
 # --- sets ------------------------------------------------------------------
 
 
@@ -648,3 +669,53 @@ def end_to_end(spark, sf):
             ),
         )
     )
+
+
+@query
+def validated(spark, sf):
+    """Redacted rows, each with the verdict of the audit of all of them."""
+    docs = I.labelled(I.table(spark, sf, "documents")).select("doc_id", F.col("text").alias("content"), "language_inferred")
+    redacted, gate = dataset.validated(docs, targets=("en", "de", "mar"))
+    return redacted.select("doc_id", "content", audit.gate_result(gate).scalar().alias("compliant"))
+
+
+@query
+def publish_gate(spark, sf):
+    """One artifact published for a set of targets that it meets, and held back for one that it misses."""
+    artifact = scale.scratch_dir(spark, "artifact")
+    docs = I.labelled(I.table(spark, sf, "documents")).select("doc_id", "language_inferred", "text")
+    sinks.write_jsonl(docs, artifact)
+    found = []
+    for gate, targets in (("met", ("en", "de", "mar")), ("missed", ("en", "amh"))):
+        target = scale.scratch_dir(spark, gate)
+        done = sinks.publish_if_compliant(spark, artifact, target, targets=targets)
+        rows = read_jsonl(spark, target, docs.schema) if done else docs.limit(0)
+        found.append(rows.select(F.lit(gate).alias("gate"), "doc_id", F.coalesce("language_inferred", F.lit("")).alias("lang"), "text"))
+    return found[0].unionByName(found[1])
+
+
+@query
+def reports_to_publish(spark, sf):
+    """Crowd reports and news, filtered, labelled, redacted, exported, audited and published."""
+    bench, pages_ = I.table(spark, sf, "benchmark"), I.table(spark, sf, "pages")
+    terms, lexicon = I.keyword_table(bench), I.lexicon(bench)
+    crowd = acquisition.crowd_reports(
+        I.report_responses(I.table(spark, sf, "documents")),
+        I.report_snapshots(bench),
+        I.category_dictionary(I.table(spark, sf, "supplier")),
+        I.media_dictionary(pages_),
+    )
+    reports = crowd.select(
+        F.col("url").alias("id"),
+        F.try_variant_get("record", "$.content", "string").alias("content"),
+        F.try_variant_get("record", "$.language", "string").alias("language_inferred"),
+    )
+    records = warc.read_warc(spark, I.landed_warc(I.story_pages(pages_)), "response", "text/html")
+    news = acquisition.news_rows(records, terms).select(F.col("source_url").alias("id"), "content")
+    done = dataset.adaptation_chain(union_sources(reports, news), terms, lexicon, lexicon, "content", "id")
+    sanitized = redact_columns(done.withColumns({c: joined(c) for c in ("intents", "codes")}))
+    artifact, target = scale.scratch_dir(spark, "sanitized"), scale.scratch_dir(spark, "published")
+    sinks.write_jsonl(sanitized, artifact)
+    published = sinks.publish_if_compliant(spark, artifact, target, targets=("en", "de", "mar"))
+    rows = read_jsonl(spark, target if published else artifact, sanitized.schema)
+    return rows.select("id", "content", "intents", "codes", F.lit(published).alias("published"))

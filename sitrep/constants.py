@@ -62,8 +62,6 @@ BATCH_SIZE = 50
 PAGE_SIZE = 500
 LISTING_LIMIT = 50
 SNAPSHOT_LIMIT = 8
-CATEGORY_SNAPSHOT_LIMIT = 3
-POST_SNAPSHOT_LIMIT = 12
 
 # Post selection.
 POST_STATUS = "published"

@@ -15,7 +15,7 @@ VOID = frozenset(
     "isindex keygen link menuitem meta nextid param source spacer track wbr".split()
 )
 # Elements whose text is not part of the surrounding text.
-HIDDEN = frozenset(("script", "style", "template"))
+HIDDEN = frozenset(("script", "style", "template", "rt", "rp"))
 KEEP_SPACE = frozenset(("pre", "textarea"))
 
 _META_CHARSET = re.compile(rb"<meta\b[^>]*\bcharset\s*=\s*[\"']?\s*([\w.:+-]+)", re.I)

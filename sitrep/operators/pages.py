@@ -66,5 +66,5 @@ def register_sql(spark: SparkSession) -> None:
         def eval(self, page: str):
             yield from enumerate(html.element_texts(page or ""))
 
-    spark.udtf.register("og_extract", F.udtf(OgExtract, returnType="image string, description string, title string"))
-    spark.udtf.register("glossary_rows", F.udtf(GlossaryRows, returnType="row_no bigint, text string"))
+    spark.udtf.register("og_extract", F.udtf(OgExtract, returnType="image string, description string, title string", useArrow=True))
+    spark.udtf.register("glossary_rows", F.udtf(GlossaryRows, returnType="row_no bigint, text string", useArrow=True))

@@ -33,6 +33,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="sitrep-")
+        spark.conf.set("spark.checkpoint.dir", root)
     run = spark.sparkContext.applicationId
     return f"{root.rstrip('/')}/sitrep-{run}/{label}-{uuid.uuid4().hex}"
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -121,10 +121,8 @@ class WarcReader(DataSourceReader):
                     return
                 raw.seek(start)
                 stream = _Unzipped(raw, start) if path.endswith(".gz") else raw
-                for head, body in warc_records(stream, part.end):
+                for head, body in warc_records(stream, part.end, self.record_types):
                     kind = head.get("warc-type", "")
-                    if self.record_types and kind not in self.record_types:
-                        continue
                     try:
                         content_type, payload = http_payload(head, body)
                     except OversizedPayload as error:
@@ -234,10 +232,13 @@ def _exactly(stream, n: int) -> bytes:
     return b"".join(parts)
 
 
-def warc_records(stream, end: int | None = None) -> Iterator[tuple[dict[str, str], bytes]]:
+def warc_records(
+    stream, end: int | None = None, types: Sequence[str] = ()
+) -> Iterator[tuple[dict[str, str], bytes]]:
     """Header fields (lower-case names) and content block of each record of a stream.
 
-    Stops at the first record whose member starts at or after ``end``.
+    Stops at the first record whose member starts at or after ``end``. With ``types``,
+    records of other types are passed over piece by piece, never held whole.
     """
     lines = _Lines(stream)
     while True:
@@ -251,7 +252,11 @@ def warc_records(stream, end: int | None = None) -> Iterator[tuple[dict[str, str
         if not line.startswith(b"WARC/"):
             raise ValueError("not a web-archive record")
         head = _fields(lines)
-        yield head, lines.exactly(int(head["content-length"]))
+        length = int(head["content-length"])
+        if types and head.get("warc-type", "") not in types:
+            lines.skip(length)
+            continue
+        yield head, lines.exactly(length)
 
 
 class _Lines:
@@ -281,6 +286,17 @@ class _Lines:
         taken, self.buffer = self.buffer[:n], self.buffer[n:]
         return taken + _exactly(self.stream, n - len(taken))
 
+    def skip(self, n: int) -> None:
+        self.position += n
+        held = min(n, len(self.buffer))
+        self.buffer = self.buffer[held:]
+        n -= held
+        while n:
+            part = self.stream.read(min(n, 1 << 16))
+            if not part:
+                raise EOFError("record is cut off")
+            n -= len(part)
+
 
 def _fields(lines: _Lines) -> dict[str, str]:
     head: dict[str, str] = {}
