@@ -94,6 +94,10 @@ def archived_posts(snapshots: DataFrame, categories: DataFrame) -> DataFrame:
     ``snapshots`` are responses with the columns ``ts`` and ``original`` of their
     index row on top.
     """
+    return lookups.with_category_names(_archived(snapshots), categories)
+
+
+def _archived(snapshots: DataFrame) -> DataFrame:
     valid, _ = payloads.triage_responses(snapshots)
     items = payloads.explode_items(valid).withColumn("__key", nested.dedup_key("item"))
     newest = dedup.latest_per_key(
@@ -109,8 +113,7 @@ def archived_posts(snapshots: DataFrame, categories: DataFrame) -> DataFrame:
         F.col("ts").alias("_archive_timestamp"),
         F.col("original").alias("_archive_original_url"),
     )
-    named = lookups.with_category_names(posts, categories)
-    return lookups.with_media_urls(named)
+    return lookups.with_media_urls(posts)
 
 
 def live_posts(responses: DataFrame, categories: DataFrame, media: DataFrame) -> DataFrame:
@@ -125,14 +128,16 @@ def crowd_reports(
     """Live posts, and archived ones of deployments whose live feed was blocked or gave no JSON.
 
     If such a feed had usable pages before, the archived posts come on top of the live
-    ones. A feed that failed otherwise ends there: its archive is not asked.
+    ones. A feed that failed otherwise ends there: its archive is not asked. Categories are
+    named after the union, so their dictionary is prepared once.
     """
-    columns = ("deployment", "url", "record", "category_names", "media_urls")
-    live = live_posts(responses, categories, media).select(*columns)
+    live = lookups.with_media_urls(lookups.select_posts(posts_of(responses)), media)
+    live = live.select("deployment", "url", "categories", "record", "media_urls")
     complete = payloads.without_archive(payloads.classify_responses(responses))
     # Only the snapshots that are needed get parsed.
     needed = scale.lookup_join(snapshots, complete, ["deployment"], "left_anti")
-    return live.unionByName(archived_posts(needed, categories), allowMissingColumns=True)
+    both = live.unionByName(_archived(needed).drop("media"), allowMissingColumns=True)
+    return lookups.with_category_names(both, categories).drop("categories")
 
 
 def news_rows(records: DataFrame, keyword_table: DataFrame, now: Column | None = None) -> DataFrame:

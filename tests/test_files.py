@@ -196,3 +196,23 @@ def test_split_segments_give_the_same_records(spark, tmp_path, one_member):
         split = warc.read_warc(spark, path, split_bytes=size)
         assert split.orderBy("target_uri").collect() == whole
     assert warc.read_warc(spark, path, split_bytes=37_777).rdd.getNumPartitions() == -(-len(data) // 37_777)
+
+
+def test_unwanted_archive_records_are_passed_over_in_pieces():
+    import io
+
+    class Counted(io.BytesIO):
+        largest = 0
+
+        def read(self, n=-1):
+            self.largest = max(self.largest, n)
+            return super().read(n)
+
+    def record(kind, body):
+        return f"WARC/1.0\r\nWARC-Type: {kind}\r\nContent-Length: {len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n"
+
+    stream = Counted(record("request", b"x" * 5_000_000) + record("response", b"ok") + record("request", b""))
+    found = list(warc.warc_records(stream, types=["response"]))
+    assert [body for _, body in found] == [b"ok"] and 0 < stream.largest <= 1 << 16
+    with pytest.raises(EOFError):
+        list(warc.warc_records(io.BytesIO(record("request", b"xyz")[:-6]), types=["response"]))

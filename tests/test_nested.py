@@ -102,3 +102,10 @@ def test_jsonl_payload(spark):
     df = spark.createDataFrame([('{"a":1}\r\n\n  \x0b{"a":2}',)], "payload string")
     out = payloads.parse_jsonl_payload(df)
     assert [r[0] for r in out.select(F.try_variant_get("record", "$.a", "int")).collect()] == [1, 2]
+
+
+def test_ruby_notes_are_not_part_of_the_text():
+    from sitrep.functions import html
+
+    page = "<div>a<ruby>b<rp>(</rp><rt>c<li>d</li></rt><rp>)</rp></ruby>e</div>"
+    assert list(html.element_texts(page)) == ["abe", ""]
