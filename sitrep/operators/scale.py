@@ -40,7 +40,9 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back; cuts the lineage."""
-    return measured(df, label)[0]
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def measured(df: DataFrame, label: str = "side") -> tuple[DataFrame, int, int]:
@@ -155,13 +157,14 @@ def global_row_number(
 ) -> DataFrame:
     """Number all rows from 1 in the given order without sorting them in one task.
 
-    ``order`` must name the rows uniquely. Rows are numbered inside ranges of the
-    order, in one shuffle; each range starts after the rows of the ranges before it,
-    which are counted from the ``order`` columns alone.
+    ``order`` must name the rows uniquely. Rows are dealt out in ranges of the order
+    (``cuts`` of them, else as many as Spark shuffles to) and written with their range, so
+    that all later steps see the same ranges. Each range starts after the rows of the
+    ranges before it, whose counts are one row per range.
     """
-    ranged = df.withColumn("__range", range_bucket(df, order, cuts))
+    dealt = df.repartitionByRange(*([cuts] if cuts else []), *order)
+    ranged = materialize(dealt.withColumn("__range", F.spark_partition_id()), "ranges")
     counts = ranged.groupBy("__range").agg(F.count("*").alias("__n"))
-    # One row per range, little more than MAX_RANGES at most.
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
     inside = Window.partitionBy("__range").orderBy(*order)

@@ -116,12 +116,6 @@ def _archived(snapshots: DataFrame) -> DataFrame:
     return lookups.with_media_urls(posts)
 
 
-def live_posts(responses: DataFrame, categories: DataFrame, media: DataFrame) -> DataFrame:
-    """Selected posts of live responses with category names and media addresses."""
-    posts = lookups.select_posts(posts_of(responses))
-    return lookups.with_media_urls(lookups.with_category_names(posts, categories), media)
-
-
 def crowd_reports(
     responses: DataFrame, snapshots: DataFrame, categories: DataFrame, media: DataFrame
 ) -> DataFrame:
