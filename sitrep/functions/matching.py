@@ -2,10 +2,13 @@
 
 A few terms are tested inside Catalyst. More terms go through one Aho-Corasick
 pass per text in Arrow batches, whose cost does not grow with the number of terms.
-Both give the same answer on the whole text.
+Terms that one process should not hold lie in files: a task keeps some texts, and these
+meet one part of the terms after the other, so that rows are read once and never rewritten.
+All give the same answer on the whole text.
 """
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
@@ -13,73 +16,113 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sitrep.functions.files import open_filesystem
+
 # Up to this many terms, separate tests in generated code match the automaton.
 CATALYST_TERMS = 6
 # An automaton takes tens of bytes per character of its terms in every worker.
 MAX_TERMS = 200_000
 MAX_TERM_BYTES = 8 * 1024 * 1024
+# Characters of texts that a task keeps while the parts of the terms come by.
+HELD_CHARS = 32 * 1024 * 1024
+
+
+@dataclass(frozen=True)
+class TermFiles:
+    """Terms, with labels or without, in Parquet folders ``part=0``, ``part=1``, … of ``path``."""
+
+    path: str
+    parts: int
+
+    def __iter__(self) -> Iterator[list[tuple]]:
+        from pyarrow import fs
+        from pyarrow import parquet
+
+        store, folder = open_filesystem(self.path)
+        for part in range(self.parts):
+            name = f"{folder}/part={part}"
+            if store.get_file_info(name).type == fs.FileType.Directory:
+                found = parquet.read_table(name, filesystem=store, partitioning=None)
+                yield list(zip(*(column.to_pylist() for column in found.columns)))
+
 
+def in_catalyst(terms: Sequence[tuple] | TermFiles) -> bool:
+    return not isinstance(terms, TermFiles) and len(terms) <= CATALYST_TERMS
 
-def contains_any(text: Column, terms: Sequence[str]) -> Column:
-    """True where the text holds at least one term; no terms, no match."""
-    terms = sorted(set(terms))
-    if not terms:
-        return F.lit(False)
-    if "" in terms:
-        return text.isNotNull()
-    if len(terms) <= CATALYST_TERMS:
-        return reduce(lambda a, b: a | b, [F.contains(text, F.lit(t)) for t in terms])
-    pairs = [(t, t) for t in terms]
+
+def contains_any(text: Column, terms: Sequence[tuple] | TermFiles) -> Column:
+    """True where the text holds the term of at least one row; no terms, no match."""
+    if in_catalyst(terms):
+        return reduce(lambda a, b: a | b, [F.contains(text, F.lit(t)) for (t,) in terms], F.lit(False))
 
     @F.pandas_udf(T.BooleanType())
     def any_hit(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        automaton = _automaton(pairs)
-        for texts in batches:
-            yield pd.Series(
-                [t is not None and next(automaton.iter(t), None) is not None for t in texts],
-                dtype=bool,
-            )
+        for held, automata in _rounds(batches, terms):
+            found = [[False] * len(texts) for texts in held]
+            for automaton, always in automata:
+                for texts, hits in zip(held, found):
+                    for i, t in enumerate(texts):
+                        if t is not None and not hits[i]:
+                            hits[i] = bool(always) or (len(automaton) > 0 and next(automaton.iter(t), None) is not None)
+            for hits in found:
+                yield pd.Series(hits, dtype=bool)
 
     return any_hit(text)
 
 
-def matched_labels(text: Column, pairs: Sequence[tuple[str, str]]) -> Column:
+def matched_labels(text: Column, pairs: Sequence[tuple[str, str]] | TermFiles) -> Column:
     """Sorted distinct labels of the ``(term, label)`` pairs whose term the text holds."""
-    pairs = sorted(set(pairs))
-    if not pairs:
-        return F.array().cast("array<string>")
-    if len(pairs) <= CATALYST_TERMS:
+    if in_catalyst(pairs):
         found = [F.when(F.contains(text, F.lit(t)), F.lit(label)) for t, label in pairs]
-        return F.array_sort(F.array_distinct(F.array_compact(F.array(*found))))
+        return F.array_sort(F.array_distinct(F.array_compact(F.array(*found).cast("array<string>"))))
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def labels(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        automaton = _automaton(pairs)
-        always = {label for term, label in pairs if term == ""}
-        for texts in batches:
-            out = []
-            for t in texts:
-                hits = set() if t is None else set(always)
-                if t is not None and len(automaton):
-                    for _, found in automaton.iter(t):
-                        hits.update(found)
-                out.append(sorted(hits))
-            yield pd.Series(out)
+        for held, automata in _rounds(batches, pairs):
+            found = [[set() for _ in texts] for texts in held]
+            for automaton, always in automata:
+                for texts, sets in zip(held, found):
+                    for t, hits in zip(texts, sets):
+                        if t is not None:
+                            hits.update(always)
+                            if len(automaton):
+                                for _, some in automaton.iter(t):
+                                    hits.update(some)
+            for sets in found:
+                yield pd.Series([sorted(s) for s in sets])
 
     # Keeps the optimizer from running the pass a second time for a filter it derives.
     return labels.asNondeterministic()(text)
 
 
-def _automaton(pairs: Sequence[tuple[str, str]]):
-    """Automaton from each term to its labels."""
+def _rounds(batches: Iterator[pd.Series], terms: Sequence[tuple] | TermFiles) -> Iterator[tuple[list, Iterable]]:
+    """Batches that are matched together, and the automata they meet."""
+    if not isinstance(terms, TermFiles):
+        one = [_automaton(terms)]
+        for texts in batches:
+            yield [texts], one
+        return
+    held, size = [], 0
+    for texts in batches:
+        held.append(texts)
+        size += int(texts.str.len().sum())
+        if size >= HELD_CHARS:
+            yield held, map(_automaton, terms)
+            held, size = [], 0
+    if held:
+        yield held, map(_automaton, terms)
+
+
+def _automaton(rows: Sequence[tuple]):
+    """Automaton from each term to its labels (itself if it has none), and the labels of the empty term."""
     import ahocorasick
 
     by_term: dict[str, list[str]] = {}
-    for term, label in pairs:
-        if term:
-            by_term.setdefault(term, []).append(label)
+    for row in rows:
+        by_term.setdefault(row[0], []).append(row[-1])
+    always = by_term.pop("", [])
     automaton = ahocorasick.Automaton()
     for term, found in by_term.items():
         automaton.add_word(term, tuple(found))
     automaton.make_automaton()
-    return automaton
+    return automaton, always

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -123,24 +123,11 @@ def keyword_filter(
     The keywords are lower case. Rows stay in their partitions.
     """
     value = F.lower(col) if lower else F.col(col)
-    chunks = _chunks(keywords.select(F.col(term).alias("k")))
-    first = next(chunks)
-    second = next(chunks, None)
-    if second is None:
-        words = [r["k"] for r in first]
-        if len(words) > matching.CATALYST_TERMS:
-            return df.where(matching.contains_any(value, words))
-        lowered = nested.once(df, value, "__lowered")
-        return lowered.where(matching.contains_any(F.col("__lowered"), words)).drop("__lowered")
-    # More keywords than one process should hold: one pass per part over the rows
-    # without a hit so far, each result written before the next part is loaded.
-    found, rest = [], df
-    for chunk in _again(first, second, chunks):
-        hit = F.coalesce(matching.contains_any(value, [r["k"] for r in chunk]), F.lit(False))
-        marked = scale.materialize(rest.withColumn("__hit", hit), "keywords")
-        found.append(marked.where("__hit").drop("__hit"))
-        rest = marked.where("NOT __hit").drop("__hit")
-    return reduce(DataFrame.unionByName, found)
+    words = _terms(keywords.select(F.col(term).alias("term")))
+    if not matching.in_catalyst(words):
+        return df.where(matching.contains_any(value, words))
+    lowered = nested.once(df, value, "__lowered")
+    return lowered.where(matching.contains_any(F.col("__lowered"), words)).drop("__lowered")
 
 
 def with_matched_labels(
@@ -162,28 +149,16 @@ def with_all_matched_labels(
     pairs = reduce(
         DataFrame.unionByName,
         [
-            lexicon.select(F.lower(term).alias("t"), F.concat(F.lit(f"{i}:"), F.col(label)).alias("l"))
+            lexicon.select(F.lower(term).alias("term"), F.concat(F.lit(f"{i}:"), F.col(label)).alias("label"))
             for i, (lexicon, term, label) in enumerate(lexicons.values())
         ],
     )
-    chunks = _chunks(pairs)
-    first = next(chunks)
-    second = next(chunks, None)
-    value = F.lower(col)
-    if second is None:
-        words = [tuple(r) for r in first]
-        if len(words) > matching.CATALYST_TERMS:
-            out = df.withColumn("__labels", matching.matched_labels(value, words))
-        else:
-            lowered = nested.once(df, value, "__lowered")
-            out = lowered.withColumn("__labels", matching.matched_labels(F.col("__lowered"), words)).drop("__lowered")
+    words, value = _terms(pairs), F.lower(col)
+    if not matching.in_catalyst(words):
+        out = df.withColumn("__labels", matching.matched_labels(value, words))
     else:
-        out = df.withColumn("__labels", F.array().cast("array<string>"))
-        for chunk in _again(first, second, chunks):
-            found = matching.matched_labels(value, [tuple(r) for r in chunk])
-            out = scale.materialize(
-                out.withColumn("__labels", F.array_sort(F.array_union("__labels", found))), "labels"
-            )
+        lowered = nested.once(df, value, "__lowered")
+        out = lowered.withColumn("__labels", matching.matched_labels(F.col("__lowered"), words)).drop("__lowered")
 
     def own(i: int) -> Column:
         mine = F.filter("__labels", lambda l: l.startswith(f"{i}:"))
@@ -198,11 +173,7 @@ def keyword_hits(df: DataFrame, col: str, keywords: DataFrame, term: str = "keyw
     return found.select(F.explode("__found").alias("keyword")).groupBy("keyword").agg(F.count("*").alias("n"))
 
 
-def _chunks(terms: DataFrame) -> Iterator[list]:
-    return scale.collected_chunks(terms.dropna(), matching.MAX_TERMS, matching.MAX_TERM_BYTES)
-
-
-def _again(first, second, rest):
-    yield first
-    yield second
-    yield from rest
+def _terms(terms: DataFrame) -> list[tuple] | matching.TermFiles:
+    """Distinct rows without nulls: a list, or files if one process cannot hold them."""
+    held, path, parts = scale.held_or_filed(terms.dropna(), matching.MAX_TERMS, matching.MAX_TERM_BYTES)
+    return matching.TermFiles(path, parts) if held is None else [tuple(r) for r in held]

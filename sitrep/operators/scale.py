@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -63,21 +63,23 @@ def is_small(rows: int, size: int) -> bool:
     return rows <= MAX_ROWS and size <= MAX_BYTES
 
 
-def collected_chunks(
+def held_or_filed(
     df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES
-) -> Iterator[list]:
-    """Distinct rows of ``df`` in lists of bounded size, one list at a time.
+) -> tuple[list | None, str, int]:
+    """Distinct rows of ``df``: a list if one process can hold them, else the path of a folder.
 
-    One list if everything fits; otherwise hash buckets, each small enough.
+    The folder has ``part=0``, ``part=1``, …, as many as the last value says, hash buckets
+    that one process can hold each. They never come to the driver.
     """
-    df, rows, size = measured(df.distinct(), "chunks")
+    df, rows, size = measured(df.distinct(), "terms")
     parts = max(-(-rows // max_rows), -(-size // max_bytes), 1)
     if parts == 1:
-        yield df.collect()
-        return
-    bucket = F.pmod(F.xxhash64(*df.columns), F.lit(2 * parts))
-    for part in range(2 * parts):
-        yield df.where(bucket == part).collect()
+        return df.collect(), "", 1
+    # Twice as many as needed on average, as buckets differ.
+    bucket = F.pmod(F.xxhash64(*df.columns), F.lit(2 * parts)).alias("part")
+    path = scratch_dir(df.sparkSession, "term-parts")
+    df.select(*df.columns, bucket).repartition("part").write.partitionBy("part").parquet(path)
+    return None, path, 2 * parts
 
 
 def lookup_join(

@@ -7,7 +7,6 @@ row whose ``error`` says what happened.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import deque
 from collections.abc import Iterator, Sequence
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from sitrep import schemas
+from sitrep.functions.files import open_filesystem
 
 _ARROW = pa.schema(
     [
@@ -79,7 +79,7 @@ class WarcReader(DataSourceReader):
 
         found = []
         for path in self.path.split(","):
-            filesystem, root = _open_filesystem(path)
+            filesystem, root = open_filesystem(path)
             info = filesystem.get_file_info(root)
             if info.type == fs.FileType.NotFound:
                 raise FileNotFoundError(path)
@@ -114,7 +114,7 @@ class WarcReader(DataSourceReader):
     def _rows(self, part: Segment):
         uri = part.uri
         try:
-            filesystem, path = _open_filesystem(uri)
+            filesystem, path = open_filesystem(uri)
             with filesystem.open_input_file(path) as raw:
                 start = first_member(raw, part.start, part.end) if part.start else 0
                 if start is None:
@@ -144,17 +144,6 @@ def _listed(option: str | None) -> list[str]:
     return [x.strip() for x in (option or "").split(",") if x.strip()]
 
 
-def _open_filesystem(path: str):
-    from pyarrow import fs
-
-    if "://" not in path and not path.startswith("file:"):
-        return fs.LocalFileSystem(), path
-    if path.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
-    # The names Hadoop gives to stores that pyarrow knows by others.
-    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", path))
-
-
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     columns = zip(*rows)
     return pa.RecordBatch.from_arrays(

@@ -41,11 +41,29 @@ def test_large_lookup_plan(spark, monkeypatch, name):
 
 
 @pytest.mark.parametrize("name", ["keyword_filter", "keyword_hits", "extract_intent", "map_taxonomy", "adaptation_chain"])
-def test_large_term_lists(spark, monkeypatch, name):
+@pytest.mark.parametrize("held", [1, 200_000])
+def test_large_term_lists(spark, monkeypatch, name, held):
     monkeypatch.setattr(matching, "MAX_TERMS", 7)
+    monkeypatch.setattr(matching, "HELD_CHARS", held)
     assert spark_rows(QUERIES[name](spark, SF)) == sql_rows(connection(SF), ORACLE[name])
 
 
+def test_large_term_lists_do_not_rewrite_rows(spark, monkeypatch):
+    written, scratch = [], scale.scratch_dir
+    monkeypatch.setattr(matching, "MAX_TERMS", 7)
+    monkeypatch.setattr(scale, "scratch_dir", lambda spark, label: written.append(label) or scratch(spark, label))
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(["Ab w17 c", None, "", "w3", "x"])], "id int, text string")
+    terms = spark.createDataFrame([(f"w{i}", f"l{i % 4}") for i in range(40)] + [(None, "l"), ("w3", None)], "term string, label string")
+    hit = keywords.keyword_filter(rows, "text", terms, "term")
+    assert values(hit.select("id")) == [(0,), (3,)]
+    labelled = keywords.with_matched_labels(rows, "text", terms, "term", "label", "found")
+    # "w17" holds "w1" as well.
+    assert values(labelled.select("id", "found")) == [(0, ["l1"]), (1, []), (2, []), (3, ["l3"]), (4, [])]
+    assert written == ["terms", "term-parts"] * 2
+    everything = keywords.keyword_filter(rows, "text", terms.unionByName(spark.createDataFrame([("", "e")], "term string, label string")), "term")
+    assert values(everything.select("id")) == [(0,), (2,), (3,), (4,)]
+
+
 @pytest.mark.parametrize("name", ["batch_assign", "page_of", "archive_dedup", "terms_by_lang", "dedup_exact", "keyword_hits"])
 @pytest.mark.parametrize("partitions", ["1", "23"])
 def test_partition_count_does_not_matter(spark, name, partitions):
