@@ -32,6 +32,8 @@ ENCODINGS = (
 LENGTHS = (20, 24, 32, 40, 64, 128)
 # Levels a string's combined p-value may be held to, the mildest first.
 LEVELS = (0.001, 0.003, 0.01, 0.03, 0.1, 0.3)
+# Matches whose places are summed together.
+PART = 128
 SPAN = "array<struct<start:int,end:int,text:string>>"
 
 
@@ -39,20 +41,30 @@ def spans(df: DataFrame, text: str, pattern: str, into: str) -> DataFrame:
     """Leftmost matches that do not overlap, with their places in code points.
 
     The matches and the pieces between them follow each other through the text, so running
-    sums of their lengths are the places.
+    sums of their lengths are the places. Sums run inside parts of ``PART`` matches and over
+    the parts, as appending to one list would copy it for every match.
     """
     some = F.col(text).rlike(pattern)
     df = df.withColumn("__m", F.when(some, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))))
     df = df.withColumn("__p", F.when(some, F.split(F.col(text), pattern, -1)))
-    places = F.expr(
-        f"""aggregate(arrays_zip(__m, __p), named_struct('at', 0, 'out', cast(array() AS {SPAN})),
-            (a, x) -> named_struct(
-                'at', a.at + length(x.__p) + length(x.__m),
-                'out', IF(x.__m IS NULL, a.out, concat(a.out, array(named_struct(
-                    'start', a.at + length(x.__p), 'end', a.at + length(x.__p) + length(x.__m), 'text', x.__m))))),
-            a -> a.out)"""
-    )
-    return df.withColumn(into, F.coalesce(places, F.array().cast(SPAN))).drop("__m", "__p")
+
+    def bound(value: str, name: str, body: str) -> str:
+        """``body`` with ``value`` computed once, as ``name``."""
+        return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+    part = f"""aggregate(slice(z, k * {PART} + 1, {PART}), named_struct('at', 0, 'out', cast(array() AS {SPAN})),
+        (a, x) -> named_struct(
+            'at', a.at + x.gap + coalesce(length(x.found), 0),
+            'out', IF(x.found IS NULL, a.out, concat(a.out, array(named_struct(
+                'start', a.at + x.gap, 'end', a.at + x.gap + length(x.found), 'text', x.found))))))"""
+    before = """aggregate(parts, named_struct('at', 0, 'out', cast(array() AS array<int>)),
+        (a, x) -> named_struct('at', a.at + x.at, 'out', concat(a.out, array(a.at))), a -> a.out)"""
+    moved = f"""flatten(zip_with(parts, {before}, (x, o) -> transform(x.out,
+        y -> named_struct('start', y.start + o, 'end', y.end + o, 'text', y.text))))"""
+    parts = bound(f"transform(sequence(0, cast((size(z) - 1) div {PART} AS int)), k -> {part})", "parts", moved)
+    places = bound("zip_with(__p, __m, (p, m) -> named_struct('gap', length(p), 'found', m))", "z", parts)
+    none = F.array().cast(SPAN)
+    return df.withColumn(into, F.when(F.col("__m").isNull(), none).otherwise(F.expr(places))).drop("__m", "__p")
 
 
 def ordinary(text: Column, drop: str, place: Column, length: Column) -> Column:
@@ -130,6 +142,33 @@ def family(encoding: Column) -> Column:
     return F.when(F.lower(encoding) == "hex", "hex").otherwise("other")
 
 
+def _outside(found: Column, base: Column) -> Column:
+    """Strings of ``found`` that touch none of the fixed patterns' matches.
+
+    Matches of one kind stand in order and apart, so that a binary search finds the last one
+    that starts before the end of a string; no other can touch it if that one does not.
+    """
+    jumps = F.array(*[F.lit(1 << i) for i in reversed(range(28))])
+
+    def touched(own: Column, x: Column) -> Column:
+        last = F.aggregate(
+            jumps,
+            F.lit(0),
+            lambda at, jump: F.when(
+                (at + jump <= F.size(own)) & (F.get(own, at + jump - 1)["start"] < x["end"]), at + jump
+            ).otherwise(at),
+        )
+        return F.coalesce(F.get(own, last - 1)["end"], F.lit(0)) > x["start"]
+
+    def apart(t: Column, x: Column) -> Column:
+        return ~(touched(t["assign"], x) | touched(t["access"], x) | touched(t["hex"], x))
+
+    # One struct, so that each kind's matches are picked out once and not for every string.
+    kinds = [F.filter(base, lambda b: b["kind"] == kind).alias(kind) for kind in PATTERNS]
+    held = F.array(F.struct(found.alias("found"), *kinds))
+    return F.element_at(F.transform(held, lambda t: F.filter(t["found"], lambda x: apart(t, x))), 1)
+
+
 def thresholds(tested: DataFrame, rate: float) -> list:
     """Level for each family of encodings and length class that keeps false discoveries below ``rate``.
 
@@ -206,13 +245,12 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", false_rate
         level = F.lit(2.0)
         for name, length_class, at in chosen:
             level = F.when((family(x["encoding"]) == name) & (x["length_class"] == length_class), at).otherwise(level)
-        outside = ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-        return (x["role"] == "candidate") & (x["p"] >= level) & outside
+        return (x["role"] == "candidate") & (x["p"] >= level)
 
     joined = lambda found: F.array_join(
         F.transform(found, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ","
     )
-    added = listed("random", F.filter("tested", random))
+    added = listed("random", _outside(F.filter("tested", random), F.col("base")))
     return tested.select(
         "doc_id",
         *[f"n_{kind}" for kind in PATTERNS],

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import re
 
 import numpy as np
 import pytest
@@ -210,6 +211,30 @@ def test_secrets_by_randomness(spark):
     assert rows[one][1][start:end] == keys[one]
 
 
+def test_places_of_very_many_matches(spark):
+    """Places run on over the parts in which they are summed."""
+    texts = ["é😀 " + " ".join(f"{(i + 1) * 2654435761 * 97531:032x}" for i in range(n)) + " end" for n in (1, 127, 128, 129, 1000)]
+    rows = spark.createDataFrame(list(enumerate([*texts, None, "", "a" * 23, "a" * 24])), "n int, text string")
+    found = secrets.spans(rows, "text", secrets.PATTERNS["hex"], "found").select("n", "text", "found").collect()
+    for row in found:
+        matches = re.finditer("[0-9a-f]{24,}", row["text"] or "")
+        assert [tuple(x) for x in row["found"]] == [(m.start(), m.end(), m[0]) for m in matches]
+
+
+def test_strings_that_touch_fixed_matches_are_left_out(spark):
+    rng = np.random.default_rng(5)
+    spans = lambda n, room: sorted((int(a), int(a) + int(b)) for a, b in zip(rng.choice(room, n, False) * 10, rng.integers(1, 10, n)))
+    rows = []
+    for n in range(40):
+        base = sorted((a, k, b, kind) for k, kind in enumerate(("assign", "access", "hex")) for a, b in spans(n % 9, 30))
+        rows.append((n, base, [(int(a), int(a) + int(b)) for a, b in zip(rng.integers(0, 320, 12), rng.integers(1, 40, 12))]))
+    schema = "n int, base array<struct<start:int,nth:int,end:int,kind:string>>, found array<struct<start:int,end:int>>"
+    table = spark.createDataFrame(rows, schema).withColumn("out", secrets._outside(F.col("found"), F.col("base")))
+    for row in table.collect():
+        free = [x for x in row["found"] if not any(b["start"] < x["end"] and x["start"] < b["end"] for b in row["base"])]
+        assert row["out"] == free
+
+
 def test_contamination(table, bench):
     found = decontam.contamination(table, bench).collect()
     assert len(found) == len(ROWS)
