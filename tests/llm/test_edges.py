@@ -286,6 +286,12 @@ def test_field_agrees_with_patterns_on_texts_it_has_not_seen(spark):
     assert right > 0.9 * total
 
 
+def test_very_long_runs_of_digits():
+    text = "7" * 400_000 + ".1.2.3 1.2.3.4.5.6.7.8"
+    end = 400_001 + len("1.2.3 ")
+    assert pii.base_spans(text) == [(1, end, end + 7), (1, end + 8, end + 15)]
+
+
 def test_repeats_are_labelled_alike():
     """A token that is unclear alone follows its clear copy, through the factor between them."""
     n = len(pii.KINDS) + 1
