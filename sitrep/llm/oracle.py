@@ -141,10 +141,42 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_re
 FROM documents d LEFT JOIN rebuilt r USING (doc_id)
 """
 
+# Maximal common runs of every two places, by islands on their diagonals.
+OP9_RUNS = r"""
+WITH docs AS (
+    SELECT DISTINCT doc_id, text FROM documents
+), each AS (
+    SELECT doc_id, text, unnest(string_split(text, chr(10))) AS x, unnest(range(0, len(string_split(text, chr(10))))) AS line FROM docs
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS nth, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS words
+    FROM each WHERE regexp_matches(x, '[^\x20\x09-\x0D]')
+), pairs AS (
+    SELECT a.doc_id AS d, b.doc_id AS e, b.nth, b.words, b.nth - a.nth AS shift
+    FROM numbered a JOIN numbered b ON a.x = b.x AND (a.doc_id < b.doc_id OR a.doc_id = b.doc_id AND a.nth < b.nth)
+), islands AS (
+    SELECT *, nth - row_number() OVER (PARTITION BY d, e, shift ORDER BY nth) AS island FROM pairs
+), runs AS (
+    SELECT e, min(nth) AS low, max(nth) AS high FROM islands GROUP BY d, e, shift, island HAVING count(*) >= 3 OR sum(words) >= 50
+), gone AS (
+    SELECT DISTINCT e AS doc_id, unnest(range(low, high + 1)) AS nth FROM runs
+), marked AS (
+    SELECT each.*, gone.nth IS NOT NULL AS dropped
+    FROM each LEFT JOIN numbered USING (doc_id, line) LEFT JOIN gone ON numbered.doc_id = gone.doc_id AND numbered.nth = gone.nth
+), rebuilt AS (
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_removed,
+        coalesce(string_agg(x, chr(10) ORDER BY line) FILTER (NOT dropped), '') AS text
+    FROM marked GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+    CASE WHEN d.text IS NULL THEN NULL ELSE r.text END AS text
+FROM documents d LEFT JOIN rebuilt r USING (doc_id)
+"""
+
 ORACLE = {
     "op2_neardup": OP2,
     "op4_archive": OP4,
     "op5_mixing": OP5,
     "op7_decontam": OP7,
     "op9_linedup": OP9,
+    "op9_runs": OP9_RUNS,
 }

@@ -321,6 +321,35 @@ def test_line_runs(spark, size):
         assert found[i].text == "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone[i])
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 5])
+def test_short_runs_with_many_words(spark, size):
+    """Lines of every maximal common run that has enough lines or enough words in all."""
+    rng = np.random.default_rng(size)
+    rows = [(i, "\n".join(" ".join(["abcdef"[x]] * (4 * x + 3)) for x in rng.integers(0, 6, 12)), "a") for i in range(8)]
+    lines = {i: text.split("\n") for i, text, _ in rows}
+    places = [(i, k) for i in lines for k in range(12)]
+    gone = {i: set() for i in lines}
+    for i, a in places:
+        for j, b in places:
+            if (i, a) < (j, b) and not (a and b and lines[i][a - 1] == lines[j][b - 1]):
+                n = 0
+                while max(a, b) + n < 12 and lines[i][a + n] == lines[j][b + n]:
+                    n += 1
+                if n >= size or len(" ".join(lines[j][b : b + n]).split()) >= 30:
+                    gone[j].update(range(b, b + n))
+    found = {r.doc_id: r for r in linedup.line_dedup(docs(spark, rows), min_lines=size, min_words=30).collect()}
+    for i, text in lines.items():
+        assert found[i].text == "\n".join(x for k, x in enumerate(text) if k not in gone[i])
+
+
+def test_whole_copies_of_two_lines_go(spark):
+    pair = " ".join(f"a{i}" for i in range(27)) + "\n" + " ".join(f"b{i}" for i in range(35))
+    rows = docs(spark, [(2, pair, "a"), (5892, "head\n\n" + pair, "a"), (7, "b\n" + pair.split("\n")[1], "a")])
+    found = {r.doc_id: r for r in linedup.line_dedup(rows).collect()}
+    assert [found[i].n_removed for i in (2, 7, 5892)] == [0, 0, 2]
+    assert found[5892].text == "head\n"
+
+
 def test_line_dedup_edges(table):
     found = linedup.line_dedup(table).collect()
     assert len(found) == len(ROWS)
