@@ -12,12 +12,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitrep.llm.common import IN_TERM, map_batches, row_key, rows_of, stored, texts, word_hashes
 
 WINDOW = 10
+# Places that a word of a near match may stand off.
+NEAR = 2
 # Text of one shard; a longer document is a shard of its own.
 SHARD_BYTES = 1 << 20
 # Benchmark words that one pass holds; a larger benchmark takes several passes.
@@ -139,20 +141,23 @@ class Shard:
 
 def match(
     shard: Shard, vocabulary: np.ndarray, lengths: np.ndarray, number: np.ndarray, order: np.ndarray, slop: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """Windows and the positions at which they start.
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows, the positions of their rarest terms, and those of all their words (a row each).
 
     ``number`` has the windows' terms as places in the sorted ``vocabulary``, ``order`` the
     places of each window from its rarest term. With ``slop`` every other term may stand
-    that many places off.
+    that many places off its place as counted from the rarest one, also before the window's
+    start; the nearest posting is its word, the earlier of two. Places behind the end of a
+    shorter window have -1.
     """
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, number.shape[1]), np.int64)
     size = number.shape[1]
     lists = shard.lists(vocabulary)
     inside = np.arange(size) < lengths[:, None]
     there = (lists[number] >= 0) | ~inside
     alive = np.flatnonzero(there.all(1))
     if not len(alive):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return none
     # Postings of the benchmark's terms only, keyed by list and position.
     used = np.unique(lists[number[alive]][inside[alive]])
     place = np.full(len(shard.terms), -1)
@@ -162,7 +167,8 @@ def match(
     own = np.repeat(np.arange(len(used)), sizes)
     positions = shard.postings[np.arange(ends[-1]) - np.repeat(ends - sizes, sizes) + np.repeat(shard.bounds[used], sizes)]
     width = int(positions.max()) + 2 * (size + slop) + 2
-    keyed = own * width + positions + slop
+    # A place may lie up to a window before the first position.
+    keyed = own * width + positions + slop + size
 
     rarest = order[alive, 0]
     anchor = place[lists[number[alive, rarest]]]
@@ -175,16 +181,23 @@ def match(
         at = order[window, step]
         wanted = start + at
         ours = place[lists[number[window, at]]]
-        low = ours * width + np.maximum(wanted, 0)
+        low = ours * width + wanted + size
         found = np.searchsorted(keyed, low)
-        hit = (keyed[np.minimum(found, len(keyed) - 1)] <= low + 2 * slop) & (found < len(keyed)) & (wanted >= -slop)
-        # A start before the shard's first position fits no exact window.
+        hit = (keyed[np.minimum(found, len(keyed) - 1)] <= low + 2 * slop) & (found < len(keyed))
         keep = ~live | hit
         window, start = window[keep], start[keep]
         if not len(window):
-            break
-    fits = start >= 0
-    return window[fits], start[fits]
+            return none
+    places = np.arange(size)
+    hits = np.where(places < lengths[window][:, None], start[:, None] + places, -1)
+    for at in range(size if slop else 0):
+        live = np.flatnonzero(at < lengths[window])
+        target = place[lists[number[window[live], at]]] * width + hits[live, at] + slop + size
+        right = np.searchsorted(keyed, target)
+        before, after = np.maximum(right - 1, 0), np.minimum(right, len(keyed) - 1)
+        nearest = np.where(np.abs(keyed[before] - target) <= np.abs(keyed[after] - target), before, after)
+        hits[live, at] = positions[nearest]
+    return window, start + order[window, 0], hits
 
 
 def occurrences(
@@ -195,8 +208,13 @@ def occurrences(
     ``shard, ordinal`` name the document; ``words`` are the places of the words inside
     windows. The benchmark goes through the index in blocks of bounded size, and every
     block takes the corpus frequency of its terms from the index to find the rarest.
-    With ``slop`` above 0 a window also matches where its terms stand that many places off.
+    With ``slop`` above 0, at most the index's, a window also matches where its terms stand
+    that many places off; it belongs to the document that holds its rarest term. Items and
+    words of windows that stand there exactly are then in ``exact_items, exact_words`` too.
     """
+    schema = "shard string, ordinal int, items array<string>, words array<int>"
+    if slop:
+        schema += ", exact_items array<string>, exact_words array<int>"
     spark = index.sparkSession
     parts = []
     for items in _blocks(benchmark, item_id, text):
@@ -231,32 +249,35 @@ def occurrences(
 
         def look(batch: pa.RecordBatch, block=block) -> pa.RecordBatch:
             item, vocabulary, length, number, ranked = block.value
-            out = {"shard": [], "ordinal": [], "items": [], "words": []}
+            out = {name.split()[0]: [] for name in schema.split(", ")}
             for row in rows_of(batch):
-                windows, starts = match(Shard(row), vocabulary, length, number, ranked, slop)
+                windows, anchors, hits = match(Shard(row), vocabulary, length, number, ranked, slop)
                 if not len(windows):
                     continue
                 base = np.frombuffer(row["starts"], np.uint32).astype(np.int64)
-                size = np.frombuffer(row["lengths"], np.uint32).astype(np.int64)
-                doc = np.searchsorted(base, starts, "right") - 1
+                doc = np.searchsorted(base, anchors, "right") - 1
                 by_doc = np.argsort(doc, kind="stable")
                 cuts = np.flatnonzero(np.diff(doc[by_doc])) + 1
                 for group in np.split(by_doc, cuts):
                     d = doc[group[0]]
-                    change = np.zeros(size[d] + 1, np.int64)
-                    np.add.at(change, starts[group] - base[d], 1)
-                    np.add.at(change, np.minimum(starts[group] - base[d] + length[windows[group]], size[d]), -1)
                     out["shard"].append(row["shard"])
                     out["ordinal"].append(int(d))
-                    out["items"].append(list({item[w] for w in windows[group].tolist()}))
-                    out["words"].append(np.flatnonzero(np.cumsum(change[:-1])).tolist())
-            kinds = [pa.string(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32())]
+                    some = {"": group}
+                    if slop:
+                        places = hits[group, :1] + np.arange(hits.shape[1])
+                        some["exact_"] = group[((hits[group] == places) | (hits[group] < 0)).all(1)]
+                    for name, these in some.items():
+                        words = np.unique(hits[these])
+                        out[name + "items"].append(list({item[w] for w in windows[these].tolist()}))
+                        out[name + "words"].append((words[words >= 0] - base[d]).tolist())
+            lists = [pa.list_(pa.string()), pa.list_(pa.int32())]
+            kinds = [pa.string(), pa.int32(), *lists * (2 if slop else 1)]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], list(out))
 
         columns = index.select("shard", "terms", "bounds", "postings", "starts", "lengths")
-        parts.append(map_batches(columns, look, "shard string, ordinal int, items array<string>, words array<int>"))
+        parts.append(map_batches(columns, look, schema))
     if not parts:
-        return spark.createDataFrame([], "shard string, ordinal int, items array<string>, words array<int>")
+        return spark.createDataFrame([], schema)
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionAll(part)
@@ -264,8 +285,7 @@ def occurrences(
         return whole
     # What the blocks found in one document; never more than its words and their items.
     return whole.groupBy("shard", "ordinal").agg(
-        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
-        F.array_distinct(F.flatten(F.collect_list("words"))).alias("words"),
+        *[F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in whole.columns[2:]]
     )
 
 
@@ -306,20 +326,41 @@ def contamination(
     """
     index = build_index(docs, doc_id, text)
     found = occurrences(index, benchmark, item_id, item_text)
-    named = F.array_sort(F.filter("items", lambda x: x.isNotNull()))
-    return (
-        documents_of(index)
-        .join(found, ["shard", "ordinal"], "left")
-        .select(
-            "doc_id",
-            "key",
-            "n_words",
-            F.coalesce(F.array_size("words"), F.lit(0)).cast("long").alias("n_hit"),
-            F.coalesce(F.array_size("items"), F.lit(0)).cast("long").alias("n_items"),
-            F.sha2(F.coalesce(F.concat_ws(",", named), F.lit("")), 256).alias("items_sha256"),
-            F.coalesce(F.array_size("words") > 0, F.lit(False)).alias("contaminated"),
-        )
-    )
+    columns = _counted("n_hit", "n_items", "items_sha256", "contaminated")
+    return documents_of(index).join(found, ["shard", "ordinal"], "left").select("doc_id", "key", "n_words", *columns)
+
+
+def near_contamination(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    slop: int = NEAR,
+) -> DataFrame:
+    """``contamination`` with the same counts for near matches, which include the exact ones.
+
+    ``slop`` is 1 or more.
+    """
+    index = build_index(docs, doc_id, text, slop)
+    found = occurrences(index, benchmark, item_id, item_text, slop=slop)
+    exact = _counted("n_hit", "n_items", "items_sha256", "contaminated", "exact_")
+    near = _counted("n_near", "n_near_items", "near_items_sha256", "near")
+    rows = documents_of(index).join(found, ["shard", "ordinal"], "left")
+    return rows.select("doc_id", "key", "n_words", *exact, *near)
+
+
+def _counted(n_words: str, n_items: str, digest: str, any_hit: str, kind: str = "") -> list[Column]:
+    """Numbers of words and items hit, and the items' names, under the given column names."""
+    words, items = f"{kind}words", f"{kind}items"
+    named = F.array_sort(F.filter(items, lambda x: x.isNotNull()))
+    return [
+        F.coalesce(F.array_size(words), F.lit(0)).cast("long").alias(n_words),
+        F.coalesce(F.array_size(items), F.lit(0)).cast("long").alias(n_items),
+        F.sha2(F.coalesce(F.concat_ws(",", named), F.lit("")), 256).alias(digest),
+        F.coalesce(F.array_size(words) > 0, F.lit(False)).alias(any_hit),
+    ]
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

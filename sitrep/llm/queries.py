@@ -46,6 +46,11 @@ def op7_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op7_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.near_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("key")
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
@@ -73,6 +78,7 @@ QUERIES = {
         op5_mixing,
         op6_secrets,
         op7_decontam,
+        op7_near,
         op8_pii,
         op9_linedup,
         op9_runs,

@@ -254,6 +254,51 @@ def test_proximity(spark, bench):
     assert (exact, loose) == (1, 2)
 
 
+def near_words(texts, item, slop):
+    """Words of near matches by brute force: every place counted from each window's rarest term."""
+    words = [t.split() for t in texts]
+    count = {w: sum(x.count(w) for x in words) for w in item.split()}
+    out = [set() for _ in texts]
+    for at in range(len(item.split()) - 9):
+        window = item.split()[at : at + 10]
+        rarest = min(range(10), key=lambda k: count[window[k]])
+        for found, text in zip(out, words):
+            for p in (k for k, w in enumerate(text) if w == window[rarest]):
+                places = [p - rarest + k for k in range(10)]
+                near = [
+                    min((abs(j - q), j) for j in range(len(text)) if text[j] == w) if w in text else (99, 0)
+                    for w, q in zip(window, places)
+                ]
+                if max(near)[0] <= slop:
+                    found.update(j for _, j in near)
+    return out
+
+
+def test_near_matches_at_the_start_of_documents(spark, bench):
+    swapped = BENCH.replace("one two", "two one")
+    # Only here: the window's last term is its rarest and stands two places early.
+    shifted = "three four five six seven eight one two ten"
+    rare = " ".join(["one two three four five six seven eight nine"] * 3)
+    texts = [swapped, rare, swapped, "two one " + BENCH[8:] + " filler", shifted, "x " + BENCH, "two one three four five six seven eight nine ten " * 3]
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        words = BENCH.split()
+        k = rng.integers(0, 11)
+        words[k], words[k + 1] = words[k + 1], words[k]
+        texts.append(" ".join(words[rng.integers(0, 3) :]))
+    rows = docs(spark, [(i, t, "a") for i, t in enumerate(texts)]).coalesce(1)
+    items = bench.where("item_id = 1")
+    found = {r.doc_id: r for r in decontam.near_contamination(rows, items).collect()}
+    exact, near = near_words(texts, BENCH, 0), near_words(texts, BENCH, decontam.NEAR)
+    assert near[0] and near[2]
+    for i in range(len(texts)):
+        assert (found[i].n_hit, found[i].n_near) == (len(exact[i]), len(near[i])), texts[i]
+        assert found[i].near == (found[i].n_near_items == 1) == bool(near[i])
+    index = decontam.build_index(rows)
+    spots = {r.ordinal: set(r.words) for r in decontam.occurrences(index, items, slop=2).collect()}
+    assert spots == {i: w for i, w in enumerate(near) if w}
+
+
 def test_blocks_of_the_benchmark_agree(spark, monkeypatch):
     sf = "/root/testdata/sf0.001"
     tables = [common.table(spark, sf, n) for n in ("documents", "benchmark")]
