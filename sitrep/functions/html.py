@@ -145,7 +145,11 @@ def element_texts(html: str, wanted=("tr", "div", "li")):
 
 
 def decode_page(payload: bytes) -> str:
-    """Page text: byte order mark, declared charset, UTF-8, then Windows-1252."""
+    """Page text: byte order mark, declared charset, UTF-8, then Windows-1252.
+
+    As in the reference's parser (Beautiful Soup's ``EncodingDetector``), a declaration counts
+    only in the first 2048 bytes, or the first 5 % of a page if that is more.
+    """
     for mark, name in (
         (codecs.BOM_UTF8, "utf-8"),
         (codecs.BOM_UTF16_LE, "utf-16-le"),
@@ -153,7 +157,6 @@ def decode_page(payload: bytes) -> str:
     ):
         if payload.startswith(mark):
             return payload[len(mark):].decode(name, errors="replace")
-    # A charset is declared near the start of a page.
     declared = _META_CHARSET.search(payload[: max(2048, len(payload) // 20)])
     names = [declared.group(1).decode("ascii", errors="ignore")] if declared else []
     for name in names + ["utf-8", "windows-1252"]:
