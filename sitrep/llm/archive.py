@@ -14,6 +14,8 @@ DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
+# Two line ends close a record.
+END = b"\r\n\r\n"
 
 
 def base32(hexadecimal: Column) -> Column:
@@ -128,30 +130,35 @@ def verified(payloads: DataFrame) -> DataFrame:
     checked = F.when(right, F.col("payload")).otherwise(
         F.raise_error(F.concat(F.lit("payload does not have digest "), F.col("digest"))).cast("binary")
     )
-    return payloads.select(
-        "digest",
-        checked.alias("payload"),
-    ).withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": base32(F.sha1("payload"))})
+    return payloads.select("digest", checked.alias("payload"))
 
 
 def read_records(spark: SparkSession, archive: Archive) -> DataFrame:
     """The original records: exact header and payload, revisits with what they refer to.
 
-    ``record`` are the bytes of the record in a WARC file.
+    ``record`` are the bytes of the record in a WARC file. ``payload_bytes`` and
+    ``payload_digest`` are taken from them, for a revisit from the payload it refers to. A
+    record whose payload is missing, or differs from the header's digest or length, stops
+    the job.
     """
     parsed = parse_headers(archive.headers(spark))
-    body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
-    return parsed.join(verified(archive.payloads(spark)), "digest").withColumn(
-        "record", F.concat("header", body, F.lit(b"\r\n\r\n"))
+    payloads = verified(archive.payloads(spark)).select("digest", "payload")
+    response = F.col("record_type") == "response"
+    body = F.when(response, F.col("payload")).otherwise(F.lit(b""))
+    records = parsed.join(payloads, "digest", "left").withColumn("record", F.concat("header", body, F.lit(END)))
+    size = F.octet_length("record") - F.octet_length("header") - len(END)
+    rebuilt = F.when(response, F.substring("record", F.octet_length("header") + 1, size)).otherwise(F.col("payload"))
+    digest = base32(F.sha1(rebuilt))
+    right = (F.col("named_digest") == F.concat(F.lit("sha1:"), digest)) & (F.col("length") == size)
+    wrong = F.raise_error(F.concat(F.lit("record does not fit its payload: "), F.col("header").cast("string")))
+    return records.withColumns(
+        {
+            "payload_bytes": F.when(right, F.octet_length(rebuilt).cast("long")).otherwise(wrong.cast("long")),
+            "payload_digest": F.when(right, digest).otherwise(wrong.cast("string")),
+        }
     )
 
 
-def read_digests(spark: SparkSession, archive: Archive) -> DataFrame:
-    """Every record with the length and digest of its payload; the payloads do not move."""
-    digests = verified(archive.payloads(spark)).select("digest", "payload_bytes", "payload_digest")
-    return parse_headers(archive.headers(spark)).join(digests, "digest")
-
-
 def export_warc(spark: SparkSession, archive: Archive, path: str) -> None:
     """Write the records to WARC files; the line end of the text sink ends each record."""
     body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
@@ -163,5 +170,5 @@ def archived(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     """Store every page in a new archive and read the archive back: one row per page."""
     spark = pages.sparkSession
     archive = write_archive(pages, scale.scratch_dir(spark, "archive"), page_id, url, html)
-    found = read_digests(spark, archive)
+    found = read_records(spark, archive)
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")

@@ -185,6 +185,21 @@ def test_archive(spark, tmp_path):
     assert sorted(len(r.payload) for r in back) == sorted([4, 4, 0, 14, 300_000])
 
 
+@pytest.mark.parametrize("name, value", [("WARC-Payload-Digest", "sha1:WRONG"), ("Content-Length", "7"), (None, None)])
+def test_records_that_do_not_fit_their_payload_stop_the_job(spark, tmp_path, name, value):
+    pages = spark.createDataFrame([(1, "http://a", "one")], "page_id long, url string, html string")
+    written = archive.write_archive(pages, str(tmp_path / "first"))
+    good = archive.read_records(spark, written).select("payload_bytes", "payload_digest", "record").first()
+    sha1 = base64.b32encode(hashlib.sha1(b"one").digest()).decode()
+    assert (good[0], good[1]) == (3, sha1) and bytes(good[2]).endswith(b"\r\n\r\none\r\n\r\n")
+    changed = archive.Archive(str(tmp_path / "changed"))
+    header = F.regexp_replace(F.col("header").cast("string"), f"{name}: [^\r]*", f"{name}: {value}").cast("binary")
+    written.headers(spark).select("digest", header.alias("header")).write.parquet(f"{changed.path}/headers")
+    written.payloads(spark).where(F.lit(name is not None)).write.parquet(f"{changed.path}/payloads")
+    with pytest.raises(Exception, match="does not fit its payload"):
+        archive.read_records(spark, changed).select("payload_digest").collect()
+
+
 def test_mixing(table):
     found = mixing.mix(table).collect()
     assert len(found) == len(ROWS)
