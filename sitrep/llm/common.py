@@ -150,3 +150,46 @@ def prefix_sums(df: DataFrame, order: Sequence[str], value: str, into: str, labe
         .withColumn(into, F.col("__base") + F.col("__inside"))
         .drop("__part", "__base", "__inside")
     )
+
+
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
+
+def slices(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose texts have ``most`` bytes together, or of one longer row."""
+    sizes = np.diff(_parts(column)[1])
+    start, held = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if held and held + size > most:
+            yield start, i
+            start, held = i, 0
+        held += size
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def _parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of the texts one after the other, and where each starts, with the end."""
+    plain = column.cast(pa.large_string()).fill_null("").cast(pa.large_binary())
+    _, offsets, data = plain.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[plain.offset : plain.offset + len(plain) + 1]
+    whole = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return whole[bounds[0] : bounds[-1]], bounds - bounds[0]
+
+
+def words_and_rows(column: pa.Array, inside: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """All words of a column of texts in order, A-Z lower-cased, and the row each stands in."""
+    data, bounds = _parts(column)
+    flags = inside[data]
+    before = np.zeros(len(flags), bool)
+    before[1:] = flags[:-1]
+    before[bounds[:-1][bounds[:-1] < len(flags)]] = False
+    starts = np.flatnonzero(flags & ~before)
+    places = np.append(np.cumsum(flags) - flags, np.count_nonzero(flags)) if len(flags) else np.zeros(1, np.int64)
+    offsets = np.append(places[starts], places[-1]).astype(np.int64)
+    letters = LOWER[data[flags]]
+    words = pa.Array.from_buffers(
+        pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(letters.tobytes())]
+    )
+    return words, np.searchsorted(bounds, starts, "right") - 1

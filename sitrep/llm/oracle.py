@@ -172,6 +172,51 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_re
 FROM documents d LEFT JOIN rebuilt r USING (doc_id)
 """
 
+# CRC-32 byte by byte, with the table made by its rule.
+OP13 = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, {TERMS.format(LOWER.format('text'))} AS w FROM documents
+), items AS (
+    SELECT {TERMS.format(LOWER.format('text'))} AS w FROM benchmark
+), each AS (
+    SELECT r, unnest(w) AS x FROM docs
+), wanted AS (
+    SELECT unnest(w) AS x FROM items
+), remainders AS (
+    SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i:
+        CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, CAST(b AS BIGINT))) AS t
+), words AS (
+    SELECT x, hex(encode(x)) AS h FROM (SELECT x FROM each UNION SELECT x FROM wanted)
+), hashed AS (
+    SELECT x, xor(4294967295, list_reduce(
+        list_transform(range(1, length(h), 2), lambda i: CAST('0x' || substr(h, i, 2) AS BIGINT)),
+        lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]), CAST(4294967295 AS BIGINT))) % 10000 AS bucket
+    FROM words, remainders
+), s AS (
+    SELECT bucket, count(*) AS n FROM each JOIN hashed USING (x) GROUP BY bucket
+), t AS (
+    SELECT bucket, count(*) AS n FROM wanted JOIN hashed USING (x) GROUP BY bucket
+), gains AS (
+    SELECT s.bucket, CAST(floor(1000 * ln(
+        (CAST(coalesce(t.n, 0) + 1 AS DOUBLE) * CAST((SELECT sum(n) FROM s) + 10000 AS DOUBLE))
+        / (CAST(s.n + 1 AS DOUBLE) * CAST((SELECT coalesce(sum(n), 0) FROM t) + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+    FROM s LEFT JOIN t USING (bucket)
+), sums AS (
+    SELECT r, count(*) AS n, CAST(sum(gain) AS BIGINT) AS total FROM each JOIN hashed USING (x) JOIN gains USING (bucket) GROUP BY r
+), scored AS (
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features,
+        CASE WHEN n IS NULL THEN 0 ELSE (total - ((total % n) + n) % n) // n END AS weight,
+        CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5) / 4294967296))) AS BIGINT) AS noise
+    FROM docs LEFT JOIN sums USING (r)
+), ranked AS (
+    SELECT doc_id, n_features, weight, weight + noise AS score,
+        row_number() OVER (PARTITION BY n_features >= 20 ORDER BY weight + noise DESC, doc_id) AS place,
+        10 * count(*) FILTER (n_features >= 20) OVER () // 100 AS drawn
+    FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= drawn THEN place END AS rank FROM ranked
+"""
+
 ORACLE = {
     "op2_neardup": OP2,
     "op4_archive": OP4,
@@ -179,4 +224,5 @@ ORACLE = {
     "op7_decontam": OP7,
     "op9_linedup": OP9,
     "op9_runs": OP9_RUNS,
+    "op13_resample": OP13,
 }
