@@ -172,6 +172,45 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_re
 FROM documents d LEFT JOIN rebuilt r USING (doc_id)
 """
 
+OP12 = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), groups AS (
+    SELECT DISTINCT lang, source FROM docs
+), each AS (
+    SELECT r, lang, source, unnest(w) AS x FROM docs
+), kept AS (
+    SELECT lang, x, count(*) AS c FROM each GROUP BY lang, x HAVING count(DISTINCT r) >= 3
+), langs AS (
+    SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang
+), cells AS (
+    SELECT lang, source, x, count(*) AS c FROM each JOIN kept USING (lang, x) GROUP BY lang, source, x
+), sizes AS (
+    SELECT g.lang, g.source, CAST(coalesce(sum(c), 0) AS HUGEINT) AS n FROM groups g LEFT JOIN cells USING (lang, source) GROUP BY g.lang, g.source
+), shares AS (
+    SELECT s.lang, s.source, k.x, coalesce(c.c, 0) AS c, 1 + 1000000000 * CAST(coalesce(c.c, 0) + 1 AS HUGEINT) // (s.n + l.v) AS p
+    FROM sizes s JOIN langs l USING (lang) JOIN kept k USING (lang) LEFT JOIN cells c ON c.lang = s.lang AND c.source = s.source AND c.x = k.x
+), of_langs AS (
+    SELECT lang, x, 1 + 1000000000 * CAST(c + 1 AS HUGEINT) // (n + v) AS q FROM kept JOIN langs USING (lang)
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.x = b.x AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+), all_pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+), terms AS (
+    SELECT lang, source, 'term' AS part, x AS item, CAST((p - q) * (p - q) // q AS BIGINT) AS value
+    FROM shares JOIN of_langs USING (lang, x) WHERE c > 0 AND p > q
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
+    FROM (SELECT * FROM all_pairs UNION ALL SELECT * FROM terms)
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
 # CRC-32 byte by byte, with the table made by its rule.
 OP13 = f"""
 WITH docs AS (
@@ -224,5 +263,6 @@ ORACLE = {
     "op7_decontam": OP7,
     "op9_linedup": OP9,
     "op9_runs": OP9_RUNS,
+    "op12_divergence": OP12,
     "op13_resample": OP13,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitrep.llm import archive, decontam, linedup, mixing, neardup, pii, quality, resample, secrets, tokens, urls
+from sitrep.llm import archive, decontam, divergence, linedup, mixing, neardup, pii, quality, resample, secrets, tokens, urls
 from sitrep.llm.common import table
 
 
@@ -68,6 +68,10 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.tokenized(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = resample.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_features", "weight", "score", "rank")
@@ -88,6 +92,7 @@ QUERIES = {
         op9_linedup,
         op9_runs,
         op10_tokens,
+        op12_divergence,
         op13_resample,
     )
 }
