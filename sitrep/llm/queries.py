@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitrep.llm import archive, decontam, divergence, linedup, mixing, neardup, pii, quality, resample, secrets, tokens, urls
+from sitrep.llm import archive, ctxmix, decontam, divergence, linedup, mixing, neardup, pii, quality, resample, secrets, tokens, urls
 from sitrep.llm.common import table
 
 
@@ -68,6 +68,10 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.tokenized(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctxmix.scored(table(spark, sf_dir, "documents"))
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(table(spark, sf_dir, "documents"))
 
@@ -92,6 +96,7 @@ QUERIES = {
         op9_linedup,
         op9_runs,
         op10_tokens,
+        op11_scores,
         op12_divergence,
         op13_resample,
     )
