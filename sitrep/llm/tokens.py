@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sitrep.llm.common import texts
+from sitrep.functions.files import open_filesystem
+from sitrep.llm.common import slices
 from sitrep.operators import scale
 
 NO_ID = -(2**63)
@@ -31,18 +32,9 @@ RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 # Words whose ids a worker remembers; the less recent half goes when it is full.
 REMEMBERED = 300_000
 
-# Words of Latin letters, with at most one mark after them: their pieces are the letters
-# with the space before them, and the mark.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,]?)")
-_ODD_SPACE = re.compile(r"\s\s|[^\S \n]")
-_LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]")
-
-
-def _byte_letters() -> dict[int, str]:
-    """The printable letter that byte-level vocabularies write for each byte."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in shown]
-    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
+# Texts that are split and looked up together, and words that are encoded together.
+BATCH_BYTES = 1 << 22
+TOGETHER = 1000
 
 
 class Encoder:
@@ -50,7 +42,8 @@ class Encoder:
 
     A byte-level vocabulary splits a text at every single space or line feed between two
     words, so that each word with the space before it has the same ids wherever it stands.
-    Texts with other white space, and words of other shapes, go to the tokenizer whole.
+    Words not at hand are encoded together, as one text. Texts with other white space, or
+    with the name of a special token anywhere, go to the tokenizer whole.
     """
 
     def __init__(self, path: str, dtype: str):
@@ -58,62 +51,74 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        # Text that spells a special token stays text.
-        self.tokenizer.encode_special_tokens = True
         self.dtype = dtype
-        self.letters = _byte_letters()
         # Word after a space, and word at the start of a line.
         self.known = [{}, {}]
         self.older = [{}, {}]
         self.by_word = self._is_byte_level()
+        names = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = re.compile("|".join([r"\s\s|[^\S \n]", *map(re.escape, names)]))
 
     def _is_byte_level(self) -> bool:
         kind = type(self.tokenizer.pre_tokenizer).__name__
         return kind == "ByteLevel" and not self.tokenizer.pre_tokenizer.add_prefix_space and not self.tokenizer.normalizer
 
-    def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
-
     def _whole(self, text: str) -> bytes:
-        return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def _word(self, word: str, start: bool) -> bytes:
-        plain = _PLAIN.fullmatch(word)
-        if not plain:
-            return self._whole(word if start else " " + word)
-        found = b""
-        for piece in (plain[1] if start else " " + plain[1], plain[2]):
-            if piece:
-                mapped = piece.encode().decode("latin-1").translate(self.letters)
-                found += self._pack([t.id for t in self.tokenizer.model.tokenize(mapped)])
-        return found
-
-    def _line(self, words: list[str], start: bool) -> bytes:
-        known = self.known[start]
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            older = self.older[start]
-            for word in words:
-                if word not in known:
-                    known[word] = older.get(word) or self._word(word, start)
-            found = b"".join(map(known.__getitem__, words))
-            if len(known) > REMEMBERED:
-                self.older[start], self.known[start] = known, {}
-            return found
-
-    def encode(self, text: str) -> bytes:
-        if not self.by_word or _ODD_SPACE.search(text):
-            return self._whole(text)
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def _together(self, words: list[str]) -> None:
+        """Ids of words after a space: one text of them all, cut where each begins."""
+        known = self.known[False]
+        for at in range(0, len(words), TOGETHER):
+            some = words[at : at + TOGETHER]
+            found = self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False)
+            ids = np.array(found.ids, self.dtype)
+            begins = np.cumsum([0] + [len(w) + 1 for w in some[:-1]])
+            cuts = np.searchsorted([start for start, _ in found.offsets], begins).tolist() + [len(ids)]
+            data, width = ids.tobytes(), ids.itemsize
+            for word, low, high in zip(some, cuts, cuts[1:]):
+                known[word] = data[width * low : width * high]
+
+    def _learn(self, words: set[str], start: bool) -> None:
+        known, older = self.known[start], self.older[start]
+        new = []
+        for word in words:
+            if word in older:
+                known[word] = older[word]
+            elif word:
+                new.append(word)
+            else:
+                known[word] = b"" if start else self._whole(" ")
+        if start:
+            for word in new:
+                known[word] = self._whole(word)
+        else:
+            self._together(new)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of every text."""
+        if not self.by_word:
+            return [self._whole(text) for text in texts]
+        split = [None if self.whole.search(text) else [line.split(" ") for line in text.split("\n")] for text in texts]
+        first, rest = {"\n"}, set()
+        for lines in split:
+            for words in lines or ():
+                first.add(words[0])
+                rest.update(words[1:])
+        for start, words in ((False, rest), (True, first)):
+            if len(self.known[start]) > REMEMBERED:
+                self.older[start], self.known[start] = self.known[start], {}
+            self._learn(words.difference(self.known[start]), start)
+        return [self._whole(text) if lines is None else self._joined(lines) for text, lines in zip(texts, split)]
+
+    def _joined(self, lines: list[list[str]]) -> bytes:
+        after, start = self.known
         out = []
-        for n, line in enumerate(text.split("\n")):
+        for n, words in enumerate(lines):
             if n:
-                out.append(self._line(["\n"], True))
-            words = line.split(" ")
-            if words[0]:
-                out.append(self._line(words[:1], True))
-            if len(words) > 1:
-                out.append(self._line(words[1:], False))
+                out.append(start["\n"])
+            out.append(start[words[0]])
+            out.extend(map(after.__getitem__, words[1:]))
         return b"".join(out)
 
 
@@ -125,17 +130,6 @@ def _encoder(path: str, dtype: str) -> Encoder:
     return kept[path, dtype]
 
 
-def _filesystem(path: str):
-    """Local or shared folders by their path, stores by pyarrow's file systems."""
-    from pyarrow import fs
-
-    if re.match(r"file:/+", path):
-        return fs.LocalFileSystem(), re.sub(r"^file:/+", "/", path)
-    if "://" in path:
-        return fs.FileSystem.from_uri(path)
-    return fs.LocalFileSystem(), path
-
-
 def token_width(tokenizer: str, end_id: int) -> int:
     from tokenizers import Tokenizer
 
@@ -163,7 +157,7 @@ def write_corpus(
         encoder = _encoder(tokenizer, dtype)
         end = np.array([end_id], dtype).tobytes()
         shard = TaskContext.get().partitionId()
-        store, folder = _filesystem(path)
+        store, folder = open_filesystem(path)
         name = f"{shard:06d}-{uuid.uuid4().hex}"
         lengths, ids = [], []
         out = None
@@ -171,10 +165,10 @@ def write_corpus(
             if out is None and batch.num_rows:
                 store.create_dir(folder, recursive=True)
                 out = store.open_output_stream(f"{folder}/{name}.ids")
-            for value in texts(batch.column(1)):
-                found = encoder.encode((value or b"").decode()) + end
-                lengths.append(len(found) // width)
-                out.write(found)
+            for low, high in slices(batch.column(1), BATCH_BYTES):
+                for found in encoder.encode(batch.column(1).slice(low, high - low).fill_null("").to_pylist()):
+                    lengths.append(len(found) // width + 1)
+                    out.write(found + end)
             ids.append(batch.column(0).cast(pa.int64()).fill_null(NO_ID).to_numpy(zero_copy_only=False))
         if out is None:
             return
@@ -198,7 +192,7 @@ def write_corpus(
 
 def mapped(path: str, file: str, ending: str, dtype: str) -> np.ndarray:
     """A file of a shard: memory-mapped from a folder, read from a store."""
-    store, folder = _filesystem(path)
+    store, folder = open_filesystem(path)
     whole = f"{folder}/{file}.{ending}"
     if store.type_name == "local":
         return np.memmap(whole, dtype, "r") if os.path.getsize(whole) else np.zeros(0, dtype)
@@ -234,13 +228,16 @@ def read_corpus(path: str, manifest: DataFrame) -> DataFrame:
                     ["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    # One shard to a task: a hash of the name would put several into some.
-    tasks = based.repartitionByRange("shard")
-    return tasks.mapInArrow(read, RESULT)
+    # One shard to a task. The number is named, as adaptive execution would merge such small rows.
+    shards = max(1, manifest.count())
+    return based.repartitionByRange(shards, "shard").mapInArrow(read, RESULT)
 
 
 def new_folder(spark: SparkSession) -> str:
-    return scale.scratch_dir(spark, "tokens")
+    """A new folder in the shared one, with its file system spelled out for tasks that open files."""
+    path = scale.scratch_dir(spark, "tokens")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -429,9 +429,30 @@ def test_tokens(table):
 def test_words_are_encoded_as_the_tokenizer_would():
     encoder = tokens.Encoder(tokenizer_path(), "<u2")
     cases = ["", " ", "\n", "a  b", "a\n\nb", " a ", "it's don't", "x\ty", "1,000.5 a.", "été, naïve.", "中文 \U0001f600 b", "<|endoftext|> a", "a b", "A.B. c,", "x\r\ny", "\n a"]
-    for text in cases * 2:
+    cases += ["<|endoftext|>", "a <|endoftext|>", "<|endoftext|", "one two\none  two", "e\u0301 e\u0301a \u0301", "x " * 2500]
+    found = encoder.encode(cases) + [encoder.encode([text])[0] for text in cases]
+    for text, ids in zip(cases * 2, found):
         whole = encoder.tokenizer.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(encoder.encode(text), "<u2").tolist() == whole, repr(text)
+        assert np.frombuffer(ids, "<u2").tolist() == whole, repr(text)
+
+
+def test_names_of_special_tokens_are_that_token(spark):
+    rows = spark.createDataFrame([(1, "a <|endoftext|> b"), (2, "a b")], "doc_id long, text string")
+    found = tokens.tokenized(rows, tokenizer_path()).orderBy("doc_id").collect()
+    assert [r.n_tokens for r in found] == [5, 3]
+
+
+def test_every_shard_is_a_task(spark):
+    docs = spark.range(5000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    path = tokens.new_folder(spark)
+    assert path.startswith("file:/")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    manifest = tokens.write_corpus(docs.repartition(8), path, tokenizer_path())
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    shards = manifest.count()
+    found = tokens.read_corpus(path, manifest)
+    assert shards > 1 and found.rdd.getNumPartitions() == shards
+    assert found.count() == 5000
 
 
 def test_long_texts_hash_as_short_ones(monkeypatch):

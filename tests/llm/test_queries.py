@@ -120,7 +120,6 @@ def encoded(rows):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     out, at = [], 0
     for i, text in rows:
         ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
