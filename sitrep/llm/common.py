@@ -182,12 +182,13 @@ def words_and_rows(column: pa.Array, inside: np.ndarray) -> tuple[pa.Array, np.n
     """All words of a column of texts in order, A-Z lower-cased, and the row each stands in."""
     data, bounds = _parts(column)
     flags = inside[data]
-    before = np.zeros(len(flags), bool)
-    before[1:] = flags[:-1]
-    before[bounds[:-1][bounds[:-1] < len(flags)]] = False
-    starts = np.flatnonzero(flags & ~before)
-    places = np.append(np.cumsum(flags) - flags, np.count_nonzero(flags)) if len(flags) else np.zeros(1, np.int64)
-    offsets = np.append(places[starts], places[-1]).astype(np.int64)
+    # A word goes on from the byte before unless a text begins.
+    joined = np.zeros(len(flags) + 1, bool)
+    joined[1:-1] = flags[1:] & flags[:-1]
+    joined[bounds] = False
+    starts = np.flatnonzero(flags & ~joined[:-1])
+    ends = np.flatnonzero(flags & ~joined[1:]) + 1
+    offsets = np.append(0, np.cumsum(ends - starts)).astype(np.int64)
     letters = LOWER[data[flags]]
     words = pa.Array.from_buffers(
         pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(letters.tobytes())]

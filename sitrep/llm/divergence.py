@@ -19,7 +19,7 @@ from sitrep.operators import scale
 
 # Letters; every byte of a non-ASCII character counts.
 IN_LETTER = np.array([b >= 0x80 or chr(b).isalpha() for b in range(256)])
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 # Cells of a block of terms times sources.
 BLOCK_CELLS = 1 << 22
 SHARE = 1_000_000_000
