@@ -16,6 +16,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 from checks.queries import QUERIES
@@ -44,10 +45,10 @@ def main():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
+    if not SparkConf().get("spark.checkpoint.dir"):
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="sitrep-bench-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="sitrep-bench-"))
     times = {}
     with contextlib.redirect_stdout(sys.stderr):
         for name in names:

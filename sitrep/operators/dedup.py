@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sitrep import constants as C
 from sitrep.operators import scale
@@ -43,49 +42,25 @@ def cdx_collapse(
     by: Sequence[str] = ("url",),
     order: Sequence[str] = ("ts", "ord"),
     value: str = "digest",
-    hot_rows: int = scale.HOT_ROWS,
+    cuts: int | None = None,
 ) -> DataFrame:
     """Drop rows whose value equals that of the row before, per group and in order.
 
-    The first row of a group is always kept. Groups of more than ``hot_rows`` rows
-    are cut into ranges of the order that go to different tasks; the first row of
-    a range is compared with the last row of the range before it.
+    The first row of a group is always kept. Rows are dealt out in ranges of group and
+    order together, so a group of any size is spread over as many tasks as it needs. The
+    last row of each range, one row a range, is what the first row of the next is compared
+    with. ``order`` must name the rows of a group uniquely; nulls come first.
     """
     by, order = list(by), list(order)
-    hot = scale.hot_keys(df, by, hot_rows)
-    if not hot:
-        w = Window.partitionBy(*by).orderBy(*order)
-        marked = df.withColumns({"__rn": F.row_number().over(w), "__prev": F.lag(value).over(w)})
-        keep = (F.col("__rn") == 1) | ~F.col(value).eqNullSafe(F.col("__prev"))
-        return marked.where(keep).select(*df.columns)
-
-    # As a struct the key also compares when a part of it is null.
-    key = F.struct(*by).alias("__key")
-    schema = T.StructType([df.schema[c] for c in by])
-    # At most scale.MAX_HOT_KEYS rows.
-    hot_table = df.sparkSession.createDataFrame([k[:-1] for k in hot], schema).select(key, F.lit(True).alias("__hot"))
-    marked = df.select("*", key).join(F.broadcast(hot_table), "__key", "left")
-    bucket = scale.range_bucket(marked.where("__hot"), order, total=sum(k[-1] for k in hot))
-    ranged = marked.withColumn("__range", F.when(F.col("__hot"), bucket).otherwise(0))
-
-    w = Window.partitionBy("__key", "__range").orderBy(*order)
-    inside = ranged.withColumns({"__rn": F.row_number().over(w), "__prev": F.lag(value).over(w)})
-    # One row per hot group and range.
-    ends = (
-        ranged.where("__hot")
-        .groupBy("__key", "__range")
-        .agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("__last"))
-    )
-    across = Window.partitionBy("__key").orderBy("__range")
-    carried = ends.select("__key", "__range", F.lag("__last").over(across).alias("__carry"))
-    joined = inside.join(carried, ["__key", "__range"], "left")
-    starts_range = F.col("__rn") == 1
-    keep = (
-        F.when(starts_range & F.col("__carry").isNull(), True)
-        .when(starts_range, ~F.col(value).eqNullSafe(F.col("__carry.v")))
-        .otherwise(~F.col(value).eqNullSafe(F.col("__prev")))
-    )
-    return joined.where(keep).select(*df.columns)
+    keys = [*by, *order]
+    ranged = scale.in_ranges(df, keys, cuts)
+    here = F.struct(*by, F.col(value).alias("__value"))
+    last = ranged.groupBy("__range").agg(F.max_by(here, F.struct(*keys)).alias("__last"))
+    carried = last.select("__range", F.lag("__last").over(Window.orderBy("__range")).alias("__carried"))
+    inside = Window.partitionBy("__range").orderBy(*keys)
+    marked = ranged.withColumn("__before", F.lag(here).over(inside)).join(F.broadcast(carried), "__range")
+    before = F.coalesce("__before", "__carried")
+    return marked.where(before.isNull() | ~here.eqNullSafe(before)).select(*df.columns)
 
 
 def cdx_select(

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Largest table that is broadcast or held by one process.
@@ -14,13 +14,6 @@ MAX_ROWS = 200_000
 MAX_BYTES = 32 * 1024 * 1024
 # Tasks that share a key of a streaming job.
 SALTS = 16
-# Ranges of an ordered input.
-MIN_RANGES = 64
-MAX_RANGES = 16_384
-ROWS_PER_RANGE = 1_000_000
-# Rows one task takes of a group without help, and keys that can need help.
-HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 10_000
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
@@ -28,12 +21,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
     All paths of an application lie in one folder, which can go when it has ended.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="sitrep-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        # The setting itself is fixed once a session runs.
+        spark.sparkContext.setCheckpointDir(root)
+        root = spark.sparkContext.getCheckpointDir()
     run = spark.sparkContext.applicationId
     return f"{root.rstrip('/')}/sitrep-{run}/{label}-{uuid.uuid4().hex}"
 
@@ -96,62 +91,15 @@ def lookup_join(
     return left.join(F.broadcast(right) if is_small(rows, size) else right, list(on), how)
 
 
-def range_bucket(
-    df: DataFrame, order: Sequence[str], cuts: int | None = None, total: int | None = None
-) -> Column:
-    """Number of the range of ``order`` a row falls in; ranges hold similar numbers of rows.
+def in_ranges(df: DataFrame, order: Sequence[str], cuts: int | None = None) -> DataFrame:
+    """``df`` dealt out by the engine in ranges of ``order`` and written with each row's ``__range``.
 
-    The cut points come from a sample, as in a range partitioning; they decide how
-    even the ranges are, never which rows are in the result. The number of ranges
-    grows with the table, whose rows are counted unless ``total`` is given.
+    Ranges ascend with the order and hold similar numbers of rows, whatever the keys. There
+    are ``cuts`` of them, else as many as Spark shuffles to. Reading them back, all later
+    steps see the same ranges.
     """
-    keys = df.select(*order)
-    total = keys.count() if total is None else total
-    if cuts is None:
-        cuts = min(MAX_RANGES, max(MIN_RANGES, total // ROWS_PER_RANGE))
-    wanted = 20 * cuts
-    points = keys if total <= wanted else keys.sample(fraction=min(1.0, 1.2 * wanted / total), seed=7)
-    n = len(order)
-    as_text = points.select("*", *[F.col(c).cast("string").alias(f"__text{i}") for i, c in enumerate(order)])
-    ranked = sorted({tuple(r) for r in as_text.limit(2 * wanted).collect()}, key=lambda r: _null_first(r[:n]))
-    step = max(1, len(ranked) // cuts)
-    bounds = ranked[step::step]
-    if not bounds:
-        return F.lit(0)
-
-    # Literals of the column types, as SQL text: one expression instead of many calls.
-    types = [df.schema[c].dataType.simpleString() for c in order]
-    if n == 1:
-        # A null is before every bound, as it compares to nothing.
-        bounds = [r for r in bounds if r[0] is not None]
-        literals = [_literal(r[n], types[0]) for r in bounds]
-        key = f"`{order[0]}`"
-    else:
-        # Struct comparison puts nulls first, as sorting does.
-        literals = [
-            "named_struct(" + ", ".join(f"'k{i}', {_literal(v, t)}" for i, (v, t) in enumerate(zip(r[n:], types))) + ")"
-            for r in bounds
-        ]
-        key = "named_struct(" + ", ".join(f"'k{i}', `{c}`" for i, c in enumerate(order)) + ")"
-    # Binary search: the position grows by falling powers of two while the bound there
-    # is not after the key.
-    jumps = ", ".join(str(1 << i) for i in reversed(range(len(bounds).bit_length())))
-    return F.expr(
-        f"""aggregate(array({jumps}), 0, (at, jump) -> CASE
-            WHEN at + jump <= {len(bounds)} AND element_at(array({", ".join(literals)}), at + jump) <= {key}
-            THEN at + jump ELSE at END)"""
-    )
-
-
-def _literal(value: str | None, type_name: str) -> str:
-    if value is None:
-        return f"CAST(NULL AS {type_name})"
-    quoted = value.replace("\\", "\\\\").replace("'", "\\'")
-    return f"CAST('{quoted}' AS {type_name})"
-
-
-def _null_first(key: tuple) -> tuple:
-    return tuple((False,) if v is None else (True, v) for v in key)
+    dealt = df.repartitionByRange(*([cuts] if cuts else []), *order)
+    return materialize(dealt.withColumn("__range", F.spark_partition_id()), "ranges")
 
 
 def global_row_number(
@@ -164,8 +112,7 @@ def global_row_number(
     that all later steps see the same ranges. Each range starts after the rows of the
     ranges before it, whose counts are one row per range.
     """
-    dealt = df.repartitionByRange(*([cuts] if cuts else []), *order)
-    ranged = materialize(dealt.withColumn("__range", F.spark_partition_id()), "ranges")
+    ranged = in_ranges(df, order, cuts)
     counts = ranged.groupBy("__range").agg(F.count("*").alias("__n"))
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
@@ -176,13 +123,3 @@ def global_row_number(
         .withColumn(into, F.col("__place") + F.col("__before"))
         .drop("__range", "__place", "__before")
     )
-
-
-def hot_keys(df: DataFrame, by: Sequence[str], hot_rows: int = HOT_ROWS) -> list[tuple]:
-    """The most frequent keys with more than ``hot_rows`` rows, as ``(key…, rows)``.
-
-    At most MAX_HOT_KEYS, so any other key holds less than that part of all rows.
-    Counts are combined inside each task before the shuffle.
-    """
-    counts = df.groupBy(*by).agg(F.count("*").alias("__n")).where(F.col("__n") > hot_rows)
-    return [tuple(r) for r in counts.orderBy(F.desc("__n")).limit(MAX_HOT_KEYS).collect()]

@@ -87,19 +87,36 @@ def hot_index(spark):
 
 def test_hot_group_is_cut_and_collapses_the_same(spark):
     rows = hot_index(spark)
-    assert scale.hot_keys(rows, ["url"], 1000) == [("hot", rows.where("url = 'hot'").count())]
     wanted, last = [], {}
     for r in sorted(rows.collect(), key=lambda r: (r.ts, r.ord)):
         if r.url not in last or last[r.url] != r.digest:
             wanted.append(r.ord)
         last[r.url] = r.digest
-    for limit in (100, 1000, scale.HOT_ROWS):
-        assert sorted(r.ord for r in dedup.cdx_collapse(rows, hot_rows=limit).collect()) == sorted(wanted)
+    for cuts in (1, 7, 100, None):
+        assert sorted(r.ord for r in dedup.cdx_collapse(rows, cuts=cuts).collect()) == sorted(wanted)
+
+
+def test_hot_group_spreads_over_tasks_without_a_collect(spark, monkeypatch):
+    rows = hot_index(spark)
+    ranged = scale.in_ranges(rows, ["url", "ts", "ord"], 40)
+    largest, total = ranged.groupBy("__range").count().agg(F.max("count"), F.sum("count")).first()
+    assert ranged.where("url = 'hot'").select("__range").distinct().count() > 10
+    assert largest < 3 * total / 40
+    monkeypatch.setattr(type(rows), "collect", lambda self: pytest.fail("rows come to the driver"))
+    plan = dedup.cdx_collapse(rows, cuts=40)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(__range" in plan and "hashpartitioning(url" not in plan
+
+
+def test_empty_and_single_rows_collapse(spark):
+    empty = spark.createDataFrame([], "url string, ts string, ord int, digest string")
+    assert dedup.cdx_collapse(empty).count() == 0
+    one = spark.createDataFrame([(None, None, None, None)], empty.schema)
+    assert dedup.cdx_collapse(one).collect() == one.collect()
 
 
 def test_ranges_are_even_and_ordered(spark):
     rows = hot_index(spark).withColumn("r", F.lit(0))
-    ranged = rows.withColumn("r", scale.range_bucket(rows, ["ts", "ord"], 16))
+    ranged = scale.in_ranges(rows, ["ts", "ord"], 16).withColumn("r", F.col("__range"))
     sizes = [r["count"] for r in ranged.groupBy("r").count().collect()]
     assert 14 <= len(sizes) <= 18 and max(sizes) < 3 * rows.count() / 16
     ends = ranged.groupBy("r").agg(F.min(F.struct("ts", "ord")).alias("a"), F.max(F.struct("ts", "ord")).alias("b"))
