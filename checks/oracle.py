@@ -191,6 +191,17 @@ ORACLE = {
     "stream_dedup": "SELECT DISTINCT o_orderpriority AS deployment, o_custkey AS key FROM orders",
     # adaptation
     "adapt_identity": "SELECT doc_id, lang, text FROM documents",
+    "stream_first_seen": """SELECT key, id, day, status FROM (SELECT o_custkey AS key, o_orderkey AS id,
+        strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderstatus AS status,
+        row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders) WHERE rn = 1""",
+    "stream_adapt": "SELECT doc_id, CASE WHEN lang = 'de' THEN lang ELSE upper(lang) END AS lang, lang = 'de' AS refused FROM documents",
+    "append_once": "SELECT doc_id, lang FROM documents",
+    "run_metrics": f"""WITH kept AS (SELECT * FROM documents WHERE EXISTS (SELECT 1 FROM {KEYWORDS} k WHERE contains(lower(text), keyword)))
+        SELECT 'fetched' AS stage, 'rows' AS counter, count(*) AS n FROM documents
+        UNION ALL SELECT unnest(['kept', 'streamed', 'filter_noise']), 'rows', count(*) FROM kept
+        UNION ALL SELECT 'filter_noise', 'failed', count(*) FILTER (lang = 'de') FROM kept
+        UNION ALL SELECT 'filter_noise', 'adapted', count(*) FILTER (lang <> 'de') FROM kept
+        UNION ALL SELECT 'exported', 'rows', count(*) FILTER (lang <> 'de') FROM kept""",
     "batch_quarantine": "SELECT doc_id, upper(lang) AS lang FROM documents",
     "adaptation_chain": f"""SELECT min(doc_id) AS doc_id, min(intents) AS intents, min(codes) AS codes FROM (
         SELECT doc_id, text, string_agg(DISTINCT intent, '|' ORDER BY intent) AS intents,

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import contextlib
+
+from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from checks import inputs as I
 from sitrep import constants as C
 from sitrep.functions import nested, text
 from sitrep.operators import adapt, audit, dedup, keywords, lookups, pages, scale
+from sitrep.operators.metrics import RunMetrics
 from sitrep.operators.redaction import redact_columns, redact_records
 from sitrep.plans import acquisition, dataset
+from sitrep.sinks import commits
 from sitrep.sinks import jsonl as sinks
 from sitrep.sources import archive, payloads, warc
 from sitrep.sources.jsonl import read_jsonl, union_sources
@@ -531,6 +536,89 @@ def stream_dedup(spark, sf):
     return read_jsonl(spark, target, schema)
 
 
+@query
+def stream_first_seen(spark, sf):
+    """The oldest order of every customer, from three deliveries with a restart in between."""
+    orders = I.table(spark, sf, "orders").selectExpr("o_custkey AS key", "o_orderkey AS id", "date_format(o_orderdate, 'yyyy-MM-dd') AS day", "o_orderstatus AS status")
+    source, log, state = (scale.scratch_dir(spark, f"first-{x}") for x in ("in", "out", "state"))
+    for since, upto in (("0", "1997"), ("1997", "1999"), ("1999", "9")):
+        orders.where((F.col("day") >= since) & (F.col("day") < upto)).write.mode("append").json(source)
+        first = jobs.first_seen(jobs.stream_jsonl(spark, source, orders.schema), ["key"], ["day", "id"])
+        jobs.append_stream(first, log, "first", state).awaitTermination()
+    return commits.read_log(spark, log, orders.schema)
+
+
+def refuses_german(batch, operation):
+    if (batch["lang"] == "de").any():
+        raise ValueError("refused")
+    return batch.assign(lang=batch["lang"].str.upper())
+
+
+def landed_by_language(docs, label):
+    """JSON Lines with one language to a file."""
+    path = scale.scratch_dir(docs.sparkSession, label)
+    by = docs.withColumn("part", F.col("lang")).repartition("part").sortWithinPartitions("part")
+    by.write.partitionBy("part").option("ignoreNullFields", "false").json(path)
+    return path + "/*"
+
+
+@query
+def stream_adapt(spark, sf):
+    """Batches of a stream, some refused; stopped after a run is in the log, and started again."""
+    docs = I.table(spark, sf, "documents").select("doc_id", "lang")
+    source = landed_by_language(docs, "adapt-in")
+    log, state = scale.scratch_dir(spark, "adapt-log"), scale.scratch_dir(spark, "adapt-state")
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).json(source)
+
+    def stops(rows, run):
+        if run.endswith("-1"):
+            commits.append_once(adapt.adapt_batches(rows, "filter_noise", refuses_german), log, run, "parquet")
+            raise RuntimeError("stopped")
+        return adapt.adapt_batches(rows, "filter_noise", refuses_german)
+
+    with contextlib.suppress(StreamingQueryException):
+        jobs.append_stream(stream, log, "filter_noise", state, stops, "parquet").awaitTermination()
+    jobs.stream_adapt(stream, "filter_noise", log, state, refuses_german).awaitTermination()
+    ok, failed = jobs.adapted_rows(spark, log, "filter_noise", docs.schema)
+    back = failed.select(F.from_json(C.SOURCE_COLUMN, "doc_id bigint, lang string").alias("r")).select("r.doc_id", "r.lang")
+    return ok.withColumn("refused", F.lit(False)).unionByName(back.withColumn("refused", F.lit(True)))
+
+
+@query
+def append_once(spark, sf):
+    """A log that two runs are added to; one attempt dies half way, one run is repeated."""
+    docs = I.table(spark, sf, "documents").select("doc_id", "lang")
+    log = scale.scratch_dir(spark, "log")
+    odd, even = docs.where("doc_id % 2 = 1"), docs.where("doc_id % 2 = 0")
+    commits.append_once(odd, log, "odd")
+    dies = even.withColumn("lang", F.expr("CASE WHEN doc_id % 100 = 98 THEN raise_error('killed') ELSE lang END"))
+    with contextlib.suppress(PySparkException):
+        commits.append_once(dies, log, "even")
+    for _ in range(2):
+        commits.append_once(even, log, "even")
+        commits.append_once(odd, log, "odd")
+    return commits.read_log(spark, log, docs.schema)
+
+
+@query
+def run_metrics(spark, sf):
+    """Rows fetched, kept, adapted, refused and exported by one run of batch and streaming stages."""
+    docs = I.table(spark, sf, "documents").select("doc_id", "lang", "text")
+    landed = I.landed_jsonl(docs, "metrics-in")
+    log, state, out = (scale.scratch_dir(spark, f"metrics-{x}") for x in ("log", "state", "out"))
+    with RunMetrics(spark) as metrics:
+        fetched = metrics.stage(read_jsonl(spark, landed, docs.schema), "fetched")
+        kept = keywords.keyword_filter(fetched, "text", I.keyword_table(I.table(spark, sf, "benchmark")))
+        source = landed_by_language(metrics.stage(kept, "kept").select("doc_id", "lang"), "metrics-kept")
+        narrow = docs.drop("text")
+        stream = spark.readStream.schema(narrow.schema).option("maxFilesPerTrigger", 1).json(source)
+        stream = metrics.stage(stream, "streamed")
+        metrics.await_stream(jobs.stream_adapt(stream, "filter_noise", log, state, refuses_german, metrics=metrics))
+        ok, _ = jobs.adapted_rows(spark, log, "filter_noise", narrow.schema)
+        sinks.write_jsonl(metrics.stage(ok, "exported"), out)
+        return metrics.table()
+
+
 # --- adaptation ------------------------------------------------------------
 
 
@@ -689,7 +777,7 @@ def publish_gate(spark, sf):
     for gate, targets in (("met", ("en", "de", "mar")), ("missed", ("en", "amh"))):
         target = scale.scratch_dir(spark, gate)
         done = sinks.publish_if_compliant(spark, artifact, target, targets=targets)
-        rows = read_jsonl(spark, target, docs.schema) if done else docs.limit(0)
+        rows = read_jsonl(spark, commits.published(spark, target), docs.schema) if done else docs.limit(0)
         found.append(rows.select(F.lit(gate).alias("gate"), "doc_id", F.coalesce("language_inferred", F.lit("")).alias("lang"), "text"))
     return found[0].unionByName(found[1])
 
@@ -717,5 +805,5 @@ def reports_to_publish(spark, sf):
     artifact, target = scale.scratch_dir(spark, "sanitized"), scale.scratch_dir(spark, "published")
     sinks.write_jsonl(sanitized, artifact)
     published = sinks.publish_if_compliant(spark, artifact, target, targets=("en", "de", "mar"))
-    rows = read_jsonl(spark, target if published else artifact, sanitized.schema)
+    rows = read_jsonl(spark, commits.published(spark, target) if published else artifact, sanitized.schema)
     return rows.select("id", "content", "intents", "codes", F.lit(published).alias("published"))

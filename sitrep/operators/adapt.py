@@ -168,7 +168,11 @@ def adapt(
     The result is written to the shared folder first, so ``fn`` runs once however
     often the two parts are read.
     """
-    done = scale.materialize(adapt_batches(df, operation, fn, schema, batch_size), operation)
+    return parted(scale.materialize(adapt_batches(df, operation, fn, schema, batch_size), operation), operation)
+
+
+def parted(done: DataFrame, operation: str) -> tuple[DataFrame, DataFrame]:
+    """Adapted rows, and failed ones with their operation."""
     ok = done.where(F.col(ERROR_COLUMN).isNull()).drop(ERROR_COLUMN, *C.INTERNAL_COLUMNS)
     failed = done.where(F.col(ERROR_COLUMN).isNotNull()).select(
         F.lit(operation).alias("operation"), C.SOURCE_COLUMN, ERROR_COLUMN

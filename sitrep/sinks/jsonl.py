@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sitrep import constants as C
 from sitrep.operators import audit, scale
+from sitrep.sinks import commits
 from sitrep.sources.jsonl import read_jsonl
 
 
@@ -36,7 +37,7 @@ def write_jsonl(
 
 
 def append_jsonl(df: DataFrame, path: str) -> int:
-    """Add rows to a raw log."""
+    """Add rows to a raw log. For jobs that may be repeated there is ``commits.append_once``."""
     return write_jsonl(df, path, "append")
 
 
@@ -160,9 +161,10 @@ def publish_if_compliant(
     targets: Sequence[str] = C.TARGET_LANGS,
     threshold: float = C.MIN_SHARE,
 ) -> bool:
-    """Copy a JSON Lines artifact if its language audit passes; a missing artifact is an error.
+    """Publish a JSON Lines artifact if its language audit passes; a missing artifact is an error.
 
-    The lines are copied as they are.
+    The lines are copied as they are, as a new version of ``target`` that replaces the last
+    one when it is whole: ``commits.published`` says where it is.
     """
     try:
         lines = spark.read.text(artifact)
@@ -173,5 +175,5 @@ def publish_if_compliant(
     dataset = read_jsonl(spark, artifact, f"`{lang_col}` string")
     if not audit.audit_gate(dataset, lang_col, targets, threshold).first()["compliant"]:
         return False
-    lines.write.mode("overwrite").text(target)
+    commits.publish(lines, target)
     return True
