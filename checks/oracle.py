@@ -81,6 +81,10 @@ ORACLE = {
           CASE WHEN page_id % 5 = 0 THEN 'image/png' ELSE 'text/html; charset=utf-8' END AS content_type,
           strlen(html)::BIGINT AS n_bytes, md5(html) AS digest, '' AS error FROM pages
         UNION ALL SELECT 'request', url, '', 18, md5('GET / HTTP/1.1' || chr(13) || chr(10) || chr(13) || chr(10)), '' FROM pages""",
+    "warc_pieces": """SELECT url AS target_uri, greatest(1, (strlen(html) + 999) // 1000)::BIGINT AS n_pieces, 1::BIGINT AS n_last, md5(html) AS digest
+        FROM pages""",
+    "warc_lookup": """SELECT url AS target_uri, CASE WHEN page_id % 5 = 0 THEN 'image/png' ELSE 'text/html; charset=utf-8' END AS content_type,
+        md5(html) AS digest, '' AS error FROM pages WHERE length(url) % 7 = 0""",
     "cdx_rows": """SELECT event_id, 1::BIGINT AS ord, '2024' || event_id AS timestamp, 'http://a/' || user_id AS original FROM events
         UNION ALL SELECT event_id, 3, event_id::VARCHAR, 'http://b/' || user_id FROM events""",
     "parse_jsonl_payload": """SELECT event_id, 0::BIGINT AS line_no, event_id AS id, '' AS t FROM events

@@ -16,7 +16,7 @@ from sitrep.operators.redaction import redact_columns, redact_records
 from sitrep.plans import acquisition, dataset
 from sitrep.sinks import commits
 from sitrep.sinks import jsonl as sinks
-from sitrep.sources import archive, payloads, warc
+from sitrep.sources import archive, payloads, warc, warc_parts
 from sitrep.sources.jsonl import read_jsonl, union_sources
 from sitrep.streaming import jobs
 
@@ -115,6 +115,27 @@ def warc_scan(spark, sf):
     )
 
 
+@query
+def warc_pieces(spark, sf):
+    """Payloads read in pieces and put together again."""
+    path = I.landed_warc(I.table(spark, sf, "pages"))
+    pieces = warc_parts.warc_pieces(spark, path, "response", piece_bytes=1000)
+    place = F.struct("piece", "payload")
+    joined_ = F.aggregate(F.array_sort(F.collect_list(place)), F.lit(b""), lambda a, x: F.concat(a, x["payload"]))
+    return pieces.groupBy("segment", "place", "inside", "target_uri").agg(
+        F.count("*").alias("n_pieces"), F.sum(F.col("last").cast("int")).alias("n_last"), F.md5(joined_).alias("digest")
+    ).select("target_uri", "n_pieces", "n_last", "digest")
+
+
+@query
+def warc_lookup(spark, sf):
+    """Chosen records read by their place in the index of an archive."""
+    path = I.landed_warc(I.table(spark, sf, "pages"))
+    index = scale.materialize(warc_parts.warc_index(spark, path, "response"), "warc-index")
+    found = warc_parts.read_records(index.where(F.length("target_uri") % 7 == 0))
+    return found.select("target_uri", "content_type", F.md5("payload").alias("digest"), F.coalesce("error", F.lit("")).alias("error"))
+
+
 @query
 def cdx_rows(spark, sf):
     events = I.table(spark, sf, "events").select(

@@ -31,8 +31,8 @@ _ARROW = pa.schema(
 )
 # What a gzip member starts with.
 _MEMBER = b"\x1f\x8b\x08"
-# Longest payload a compressed body may grow to.
-MAX_PAYLOAD = 512 << 20
+# Longest payload that becomes one row; ``warc_parts`` reads longer ones in pieces.
+MAX_PAYLOAD = 1 << 30
 _BATCH_ROWS = 1000
 _BATCH_BYTES = 16 * 1024 * 1024
 
@@ -121,10 +121,12 @@ class WarcReader(DataSourceReader):
                     return
                 raw.seek(start)
                 stream = _Unzipped(raw, start) if path.endswith(".gz") else raw
-                for head, body in warc_records(stream, part.end, self.record_types):
+                for head, _, body in open_records(stream, part.end, self.record_types):
                     kind = head.get("warc-type", "")
                     try:
-                        content_type, payload = http_payload(head, body)
+                        if body.left > MAX_PAYLOAD:
+                            raise OversizedPayload(f"record is longer than {MAX_PAYLOAD} bytes")
+                        content_type, payload = http_payload(head, body.whole())
                     except OversizedPayload as error:
                         # The record is named, the ones after it are read.
                         yield uri, kind, head.get("warc-target-uri"), None, None, str(error)
@@ -164,9 +166,14 @@ class _Unzipped:
 
     def member_start(self, position: int) -> int:
         """File offset of the member that holds the byte at ``position``; positions only grow."""
+        return self.place(position)[0]
+
+    def place(self, position: int) -> tuple[int, int]:
+        """That offset, and how far into the member the byte is."""
         while len(self.starts) > 1 and self.starts[1][0] <= position:
             self.starts.popleft()
-        return self.starts[0][1]
+        plain, offset = self.starts[0]
+        return offset, position - plain
 
     def read(self, n: int) -> bytes:
         while True:
@@ -221,13 +228,34 @@ def _exactly(stream, n: int) -> bytes:
     return b"".join(parts)
 
 
-def warc_records(
+class Body:
+    """Content block of a record, handed out as far as it is asked for."""
+
+    def __init__(self, lines: _Lines, length: int):
+        self.lines, self.left = lines, length
+
+    def read(self, n: int) -> bytes:
+        """Up to ``n`` bytes; none at the end of the block."""
+        part = self.lines.some(min(n, self.left))
+        self.left -= len(part)
+        return part
+
+    def whole(self) -> bytes:
+        length, self.left = self.left, 0
+        return self.lines.exactly(length)
+
+    def skip(self) -> None:
+        length, self.left = self.left, 0
+        self.lines.skip(length)
+
+
+def open_records(
     stream, end: int | None = None, types: Sequence[str] = ()
-) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields (lower-case names) and content block of each record of a stream.
+) -> Iterator[tuple[dict[str, str], int, Body]]:
+    """Header fields (lower-case names), position and content block of each record of a stream.
 
-    Stops at the first record whose member starts at or after ``end``. With ``types``,
-    records of other types are passed over piece by piece, never held whole.
+    Stops at the first record whose member starts at or after ``end``. What is not read of a
+    block, and records of other types than ``types``, are passed over, never held whole.
     """
     lines = _Lines(stream)
     while True:
@@ -241,11 +269,18 @@ def warc_records(
         if not line.startswith(b"WARC/"):
             raise ValueError("not a web-archive record")
         head = _fields(lines)
-        length = int(head["content-length"])
-        if types and head.get("warc-type", "") not in types:
-            lines.skip(length)
-            continue
-        yield head, lines.exactly(length)
+        body = Body(lines, int(head["content-length"]))
+        if not types or head.get("warc-type", "") in types:
+            yield head, at, body
+        body.skip()
+
+
+def warc_records(
+    stream, end: int | None = None, types: Sequence[str] = ()
+) -> Iterator[tuple[dict[str, str], bytes]]:
+    """:func:`open_records` with whole content blocks."""
+    for head, _, body in open_records(stream, end, types):
+        yield head, body.whole()
 
 
 class _Lines:
@@ -270,6 +305,16 @@ class _Lines:
                 return line
             self.buffer += more
 
+    def some(self, n: int) -> bytes:
+        """One to ``n`` bytes, none if ``n`` is 0."""
+        if n and not self.buffer:
+            self.buffer = self.stream.read(1 << 16)
+            if not self.buffer:
+                raise EOFError("record is cut off")
+        taken, self.buffer = self.buffer[:n], self.buffer[n:]
+        self.position += len(taken)
+        return taken
+
     def exactly(self, n: int) -> bytes:
         self.position += n
         taken, self.buffer = self.buffer[:n], self.buffer[n:]
@@ -318,6 +363,8 @@ def http_payload(head: dict[str, str], block: bytes) -> tuple[str, bytes]:
     encoding = fields.get("content-encoding", "").lower()
     if encoding in ("gzip", "x-gzip", "deflate"):
         body = _inflate(body)
+    if len(body) > MAX_PAYLOAD:
+        raise OversizedPayload(f"payload is longer than {MAX_PAYLOAD} bytes")
     return fields.get("content-type", ""), body
 
 
@@ -342,7 +389,7 @@ def _unchunk(body: bytes) -> bytes:
 
 
 class OversizedPayload(Exception):
-    """A compressed payload that a task should not hold."""
+    """A payload that a task should not hold, however it is encoded."""
 
 
 def _inflate(body: bytes) -> bytes:

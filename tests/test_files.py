@@ -4,6 +4,7 @@ import gzip
 import json
 import os
 import random
+import zlib
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sitrep.operators import keywords
 from sitrep.sinks import jsonl as sinks
-from sitrep.sources import warc
+from sitrep.sources import warc, warc_parts
 from sitrep.sources.archive import warc_paths
 from sitrep.sources.jsonl import read_jsonl, union_sources, with_file
 from sitrep.streaming import jobs
@@ -216,3 +217,94 @@ def test_unwanted_archive_records_are_passed_over_in_pieces():
     assert [body for _, body in found] == [b"ok"] and 0 < stream.largest <= 1 << 16
     with pytest.raises(EOFError):
         list(warc.warc_records(io.BytesIO(record("request", b"xyz")[:-6]), types=["response"]))
+
+
+BODIES = [
+    http(b"plain", b"Content-Type: text/html"),
+    http(b"", b"Content-Type: text/html"),
+    http(gzip.compress(b"zipped " * 5000), b"Content-Encoding: gzip"),
+    http(zlib.compress(b"deflated " * 5000), b"Content-Encoding: deflate"),
+    http(zlib.compress(b"bare " * 5000)[2:-4], b"Content-Encoding: deflate"),
+    http(b"not zipped", b"Content-Encoding: gzip"),
+    http(gzip.compress(b"one") + gzip.compress(b"two"), b"Content-Encoding: gzip"),
+    http(gzip.compress(b"cut off " * 900)[:40], b"Content-Encoding: gzip"),
+    http(b"5\r\nhello\r\n6;x=1\r\n world\r\n0\r\n\r\n", b"Transfer-Encoding: chunked"),
+    http(b"5\r\nhello\r\nzz\r\n", b"Transfer-Encoding: chunked"),
+    http(b"no chunks here", b"Transfer-Encoding: chunked"),
+    http(b"line\r\nno chunks here", b"Transfer-Encoding: chunked"),
+    http(b"ff\r\nshort", b"Transfer-Encoding: chunked"),
+    http(b"a\r\n" + gzip.compress(b"both")[:10] + b"\r\n" + b"%x\r\n" % (len(gzip.compress(b"both")) - 10) + gzip.compress(b"both")[10:] + b"\r\n0\r\n\r\n", b"Transfer-Encoding: chunked\r\nContent-Encoding: gzip"),
+    b"HTTP/1.1 200 OK\nContent-Type: text/x\n\nunix lines",
+    b"HTTP/1.1 200 OK",
+    b"no http at all",
+    b"",
+]
+
+
+@pytest.mark.parametrize("one_member", [False, True])
+@pytest.mark.parametrize("piece", [1, 7, 1 << 20])
+def test_pieces_and_places_give_the_whole_payloads(spark, tmp_path, one_member, piece):
+    members = [record("response", f"http://{i:02d}", body) for i, body in enumerate(BODIES)]
+    data = gzip.compress(b"".join(members)) if one_member else b"".join(map(gzip.compress, members))
+    path = write(tmp_path / "all.warc.gz", data)
+    plain = write(tmp_path / "all.warc", b"".join(members))
+    for each in (path, plain):
+        whole = {r.target_uri: (r.content_type, bytes(r.payload)) for r in warc.read_warc(spark, each).collect()}
+        assert len(whole) == len(BODIES)
+        if piece > 1 or each == path:
+            found = {}
+            for r in warc_parts.warc_pieces(spark, each, piece_bytes=piece).orderBy("target_uri", "piece").collect():
+                assert r.error is None and len(r.payload) <= piece
+                kind, held, n, _ = found.get(r.target_uri, (r.content_type, b"", 0, False))
+                assert r.piece == n
+                found[r.target_uri] = (kind, held + bytes(r.payload), n + 1, r.last)
+            assert {k: v[:2] for k, v in found.items()} == whole and all(v[3] for v in found.values())
+        index = warc_parts.warc_index(spark, each)
+        read = warc_parts.read_records(index.where("target_uri <> 'http://03'").union(index.where("target_uri = 'http://01'")))
+        rows = [(r.target_uri, (r.content_type, bytes(r.payload))) for r in read.collect()]
+        assert sorted(rows) == sorted([(k, v) for k, v in whole.items() if k != "http://03"] + [("http://01", whole["http://01"])])
+
+
+def test_places_open_only_their_members(tmp_path):
+    members = [gzip.compress(record("response", f"http://{i}", http(b"x" * 50_000, b"Content-Type: text/html"))) for i in range(50)]
+    path = write(tmp_path / "big.warc.gz", b"".join(members) + b"junk that no place points to")
+    read = []
+
+    class Spied:
+        def __init__(self, raw):
+            self.raw = raw
+
+        def read(self, n):
+            part = self.raw.read(n)
+            read.append(len(part))
+            return part
+
+        def seek(self, n):
+            return self.raw.seek(n)
+
+    with open(path, "rb") as raw:
+        member = warc_parts._Member(warc_parts._stream(Spied(raw), path, len(members[0])))
+        head, body = member.record(0)
+    assert head["warc-target-uri"] == "http://1" and body.endswith(b"x" * 100)
+    assert sum(read) <= 1 << 17
+
+
+def test_broken_segments_and_wrong_places(spark, tmp_path):
+    good = gzip.compress(record("response", "http://a", http(b"x", b"Content-Type: text/html")))
+    path = write(tmp_path / "cut.warc.gz", good + good[:-20])
+    for rows in (warc_parts.warc_index(spark, path).collect(), warc_parts.warc_pieces(spark, path).collect()):
+        assert rows[0].error is None and rows[0].target_uri == "http://a" and rows[-1].error
+    wrong = spark.createDataFrame([(path, 5, 0), (path, None, None)], "segment string, place long, inside long")
+    assert [r.error is not None for r in warc_parts.read_records(wrong).collect()] == [True]
+    broken = http(gzip.compress(bytes(range(256)) * 4000)[:-3000] + b"\0" * 3000, b"Content-Encoding: gzip")
+    path = write(tmp_path / "broken.warc", record("response", "http://b", broken))
+    rows = warc_parts.warc_pieces(spark, path, piece_bytes=1000).orderBy("piece").collect()
+    assert rows[-1].last and all(not r.last for r in rows[:-1])
+
+
+def test_long_payloads_are_named_whatever_their_encoding(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "MAX_PAYLOAD", 1000)
+    bodies = [http(b"y" * 2000, b"Content-Type: text/html"), http(gzip.compress(b"y" * 2000), b"Content-Encoding: gzip"), http(b"ok", b"")]
+    path = write(tmp_path / "long.warc", b"".join(record("response", f"http://{i}", b) for i, b in enumerate(bodies)))
+    rows = warc.read_warc(spark, path).orderBy("target_uri").collect()
+    assert [r.error is not None for r in rows] == [True, True, False]
