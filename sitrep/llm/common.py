@@ -158,7 +158,7 @@ LOWER[65:91] += 32
 
 def slices(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
     """Ranges of rows whose texts have ``most`` bytes together, or of one longer row."""
-    sizes = np.diff(_parts(column)[1])
+    sizes = np.diff(text_bytes(column)[1])
     start, held = 0, 0
     for i, size in enumerate(sizes.tolist()):
         if held and held + size > most:
@@ -169,7 +169,7 @@ def slices(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
-def _parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of the texts one after the other, and where each starts, with the end."""
     plain = column.cast(pa.large_string()).fill_null("").cast(pa.large_binary())
     _, offsets, data = plain.buffers()
@@ -180,7 +180,7 @@ def _parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def words_and_rows(column: pa.Array, inside: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     """All words of a column of texts in order, A-Z lower-cased, and the row each stands in."""
-    data, bounds = _parts(column)
+    data, bounds = text_bytes(column)
     flags = inside[data]
     # A word goes on from the byte before unless a text begins.
     joined = np.zeros(len(flags) + 1, bool)

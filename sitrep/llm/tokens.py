@@ -23,27 +23,42 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sitrep.functions.files import open_filesystem
-from sitrep.llm.common import slices
+from sitrep.llm.common import slices, text_bytes
 from sitrep.operators import scale
 
 NO_ID = -(2**63)
 MANIFEST = "shard int, file string, width int, n_docs long, n_tokens long"
 RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 # Words whose ids a worker remembers; the less recent half goes when it is full.
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 
-# Texts that are split and looked up together, and words that are encoded together.
+# Texts that are cut into words and put together at once.
 BATCH_BYTES = 1 << 22
-TOGETHER = 1000
+
+# Words of Latin letters with at most one mark after them: their pieces are the letters,
+# with the space before them, and the mark.
+_PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,]?)")
+_INNER_SPACE = re.compile(r"\s")
+_CUTS = np.isin(np.arange(256), list(b" \n"))
+_MARKS = np.isin(np.arange(256), list(b".,"))
+_LETTERS = np.array([chr(b).isalpha() and b < 0x80 for b in range(256)])
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that byte-level vocabularies write for each byte."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 class Encoder:
     """Ids of texts, word by word, with the ids of words seen lately at hand.
 
     A byte-level vocabulary splits a text at every single space or line feed between two
-    words, so that each word with the space before it has the same ids wherever it stands.
-    Words not at hand are encoded together, as one text. Texts with other white space, or
-    with the name of a special token anywhere, go to the tokenizer whole.
+    words, so that each word with the mark before it has the same ids wherever it stands. A
+    batch of texts is cut there, each distinct word looked up or encoded once, and the ids
+    put together as arrays. Texts with other white space, with more of it in a row, or with
+    the name of a special token go to the tokenizer whole.
     """
 
     def __init__(self, path: str, dtype: str):
@@ -51,75 +66,92 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = dtype
-        # Word after a space, and word at the start of a line.
-        self.known = [{}, {}]
-        self.older = [{}, {}]
+        self.model = self.tokenizer.model
+        self.dtype = np.dtype(dtype)
+        self.letters = _byte_letters()
+        # Ids by word; None for a word that needs its text.
+        self.known, self.older = {}, {}
         self.by_word = self._is_byte_level()
-        names = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([r"\s\s|[^\S \n]", *map(re.escape, names)]))
+        self.names = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _is_byte_level(self) -> bool:
         kind = type(self.tokenizer.pre_tokenizer).__name__
         return kind == "ByteLevel" and not self.tokenizer.pre_tokenizer.add_prefix_space and not self.tokenizer.normalizer
 
+    def _ids(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.dtype).tobytes()
+
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-
-    def _together(self, words: list[str]) -> None:
-        """Ids of words after a space: one text of them all, cut where each begins."""
-        known = self.known[False]
-        for at in range(0, len(words), TOGETHER):
-            some = words[at : at + TOGETHER]
-            found = self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False)
-            ids = np.array(found.ids, self.dtype)
-            begins = np.cumsum([0] + [len(w) + 1 for w in some[:-1]])
-            cuts = np.searchsorted([start for start, _ in found.offsets], begins).tolist() + [len(ids)]
-            data, width = ids.tobytes(), ids.itemsize
-            for word, low, high in zip(some, cuts, cuts[1:]):
-                known[word] = data[width * low : width * high]
-
-    def _learn(self, words: set[str], start: bool) -> None:
-        known, older = self.known[start], self.older[start]
-        new = []
-        for word in words:
-            if word in older:
-                known[word] = older[word]
-            elif word:
-                new.append(word)
-            else:
-                known[word] = b"" if start else self._whole(" ")
-        if start:
-            for word in new:
-                known[word] = self._whole(word)
-        else:
-            self._together(new)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of every text."""
+        return self._ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _word(self, unit: bytes) -> bytes | None:
+        """Ids of a word with the mark before it, if it has one."""
+        text = unit.decode()
+        if text in (" ", "\n") or _INNER_SPACE.search(text, 1) or any(name in text for name in self.names):
+            return None
+        if text.startswith("\n"):
+            return self._whole("\n") + (self._word(unit[1:]) or b"")
+        plain = _PLAIN.fullmatch(text)
+        if not plain:
+            return self._whole(text)
+        pieces = [p.encode().decode("latin-1").translate(self.letters) for p in plain.groups() if p]
+        return self._ids([t.id for p in pieces for t in self.model.tokenize(p)])
+
+    def _words(self, units: list[bytes]) -> list[bytes | None]:
+        known, older = self.known, self.older
+        if len(known) > REMEMBERED:
+            self.older, self.known = older, known = known, {}
+        found = []
+        for unit in units:
+            ids = known.get(unit, b"")
+            if ids == b"":
+                ids = older[unit] if unit in older else self._word(unit)
+                known[unit] = ids
+            found.append(ids)
+        return found
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a column, one after the other, and how many each has."""
         if not self.by_word:
-            return [self._whole(text) for text in texts]
-        split = [None if self.whole.search(text) else [line.split(" ") for line in text.split("\n")] for text in texts]
-        first, rest = {"\n"}, set()
-        for lines in split:
-            for words in lines or ():
-                first.add(words[0])
-                rest.update(words[1:])
-        for start, words in ((False, rest), (True, first)):
-            if len(self.known[start]) > REMEMBERED:
-                self.older[start], self.known[start] = self.known[start], {}
-            self._learn(words.difference(self.known[start]), start)
-        return [self._whole(text) if lines is None else self._joined(lines) for text, lines in zip(texts, split)]
-
-    def _joined(self, lines: list[list[str]]) -> bytes:
-        after, start = self.known
-        out = []
-        for n, words in enumerate(lines):
-            if n:
-                out.append(start["\n"])
-            out.append(start[words[0]])
-            out.extend(map(after.__getitem__, words[1:]))
-        return b"".join(out)
+            whole = [self._whole(text) for text in column.fill_null("").to_pylist()]
+            return self._joined(whole)
+        data, bounds = text_bytes(column)
+        begins = np.zeros(len(data) + 1, bool)
+        begins[:-1] = _CUTS[data]
+        begins[bounds] = True
+        if len(data) > 2:
+            # A full stop or comma after a letter at the end of a word is a piece of its own.
+            begins[1:-1] |= _MARKS[data[1:]] & _LETTERS[data[:-1]] & begins[2:]
+        offsets = np.flatnonzero(begins)
+        units = pa.Array.from_buffers(
+            pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())]
+        ).dictionary_encode()
+        ids = self._words(units.dictionary.to_pylist())
+        code = units.indices.to_numpy()
+        row = np.searchsorted(bounds, offsets[:-1], "right") - 1
+        odd = np.zeros(len(column), bool)
+        odd[row[np.array([i is None for i in ids], bool)[code]]] = True
+        # A mark at the end of a text has no word after it.
+        flat = np.frombuffer(b"".join(i or b"" for i in ids), self.dtype)
+        sizes = np.array([len(i or b"") // self.dtype.itemsize for i in ids], np.int64)
+        starts = np.cumsum(sizes) - sizes
+        code = code[~odd[row]]
+        each = sizes[code]
+        place = np.arange(each.sum()) + np.repeat(starts[code] - (np.cumsum(each) - each), each)
+        counts = np.bincount(row[~odd[row]], each, len(column)).astype(np.int64)
+        plain = flat[place]
+        if not odd.any():
+            return plain, counts
+        ends = np.cumsum(counts)
+        parts = [
+            self._whole(column[i].as_py()) if odd[i] else plain[ends[i] - counts[i] : ends[i]].tobytes()
+            for i in range(len(column))
+        ]
+        return self._joined(parts)
+
+    def _joined(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.array([len(p) // self.dtype.itemsize for p in parts], np.int64)
+        return np.frombuffer(b"".join(parts), self.dtype), sizes
 
 
 def _encoder(path: str, dtype: str) -> Encoder:
@@ -155,7 +187,6 @@ def write_corpus(
         from pyspark import TaskContext
 
         encoder = _encoder(tokenizer, dtype)
-        end = np.array([end_id], dtype).tobytes()
         shard = TaskContext.get().partitionId()
         store, folder = open_filesystem(path)
         name = f"{shard:06d}-{uuid.uuid4().hex}"
@@ -166,9 +197,9 @@ def write_corpus(
                 store.create_dir(folder, recursive=True)
                 out = store.open_output_stream(f"{folder}/{name}.ids")
             for low, high in slices(batch.column(1), BATCH_BYTES):
-                for found in encoder.encode(batch.column(1).slice(low, high - low).fill_null("").to_pylist()):
-                    lengths.append(len(found) // width + 1)
-                    out.write(found + end)
+                found, counts = encoder.encode(batch.column(1).slice(low, high - low))
+                lengths += (counts + 1).tolist()
+                out.write(np.insert(found, np.cumsum(counts), end_id).tobytes())
             ids.append(batch.column(0).cast(pa.int64()).fill_null(NO_ID).to_numpy(zero_copy_only=False))
         if out is None:
             return

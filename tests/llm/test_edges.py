@@ -5,6 +5,7 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -430,10 +431,13 @@ def test_words_are_encoded_as_the_tokenizer_would():
     encoder = tokens.Encoder(tokenizer_path(), "<u2")
     cases = ["", " ", "\n", "a  b", "a\n\nb", " a ", "it's don't", "x\ty", "1,000.5 a.", "été, naïve.", "中文 \U0001f600 b", "<|endoftext|> a", "a b", "A.B. c,", "x\r\ny", "\n a"]
     cases += ["<|endoftext|>", "a <|endoftext|>", "<|endoftext|", "one two\none  two", "e\u0301 e\u0301a \u0301", "x " * 2500]
-    found = encoder.encode(cases) + [encoder.encode([text])[0] for text in cases]
-    for text, ids in zip(cases * 2, found):
-        whole = encoder.tokenizer.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(ids, "<u2").tolist() == whole, repr(text)
+    cases += ["a\u00a0 b", "a\u00a0", "\n\nx", "x\n", "a\u2028b c", "x\x1cy z"]
+    wanted = [encoder.tokenizer.encode(text, add_special_tokens=False).ids for text in cases]
+    ids, counts = encoder.encode(pa.array(cases))
+    assert [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])] == wanted
+    for text, whole in zip(cases, wanted):
+        ids, counts = encoder.encode(pa.array([None, text]))
+        assert (ids.tolist(), counts.tolist()) == (whole, [0, len(whole)]), repr(text)
 
 
 def test_names_of_special_tokens_are_that_token(spark):
