@@ -29,11 +29,11 @@ from sitrep.operators import scale
 NO_ID = -(2**63)
 MANIFEST = "shard int, file string, width int, n_docs long, n_tokens long"
 RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
-# Words whose ids a worker remembers; the less recent half goes when it is full.
-REMEMBERED = 400_000
+# Words after which a worker begins a new list of those it remembers; it keeps two lists.
+REMEMBERED = 120_000
 
 # Texts that are cut into words and put together at once.
-BATCH_BYTES = 1 << 22
+BATCH_BYTES = 1 << 21
 
 # Words of Latin letters with at most one mark after them: their pieces are the letters,
 # with the space before them, and the mark.
