@@ -91,9 +91,10 @@ ORACLE = {
         UNION ALL SELECT event_id, 3, user_id, event_type FROM events""",
     # sinks
     "export_jsonl": "SELECT doc_id, lang, source, text FROM documents",
-    "keywords_export": f"""SELECT lang, string_agg(term, '|' ORDER BY ord, term) AS keywords FROM (
-          SELECT lang, {first_long('text')} AS term, min(doc_id) AS ord FROM documents GROUP BY 1, 2 HAVING term IS NOT NULL)
-          GROUP BY lang UNION ALL SELECT 'swa', ''""",
+    "keywords_export": f"""SELECT lang, part, string_agg(term, '|' ORDER BY ord, term) AS keywords FROM (
+          SELECT *, CAST((row_number() OVER (PARTITION BY lang ORDER BY ord, term) - 1) // 20 AS INT) AS part FROM (
+            SELECT lang, {first_long('text')} AS term, min(doc_id) AS ord FROM documents GROUP BY 1, 2 HAVING term IS NOT NULL))
+          GROUP BY lang, part UNION ALL SELECT 'swa', 0, ''""",
     # projections
     "ref_ids": """SELECT doc_id, concat_ws('|', doc_id % 30, doc_id % 11, 2) AS category_ids,
         concat_ws('|', doc_id % 300, doc_id % 7, 0) AS media_ids FROM documents""",
@@ -251,6 +252,16 @@ ORACLE = {
             WHERE d.doc_id IN (SELECT min(doc_id) FROM documents
               WHERE EXISTS (SELECT 1 FROM {KEYWORDS} k WHERE contains(lower(text), keyword)) GROUP BY text))
         GROUP BY 1)""",
+    # Row elements of the given pages hold no others, so patterns find them.
+    "glossary_rows": r"""WITH plain AS (
+          SELECT page_id, regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->', '', 'g') AS h FROM pages
+        ), found AS (
+          SELECT page_id, regexp_extract_all(h, '(?is)<(?:tr|div|li)(?:\s[^>]*)?>(.*?)</(?:tr|div|li)>', 1) AS x FROM plain
+        ), each AS (
+          SELECT page_id, unnest(range(len(x))) AS row_no, regexp_replace(unnest(x), '<[^>]*>', '', 'g') AS x FROM found
+        )
+        SELECT page_id, row_no, regexp_replace(replace(replace(replace(replace(replace(x, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'),
+          '&middot;', '·'), '&copy;', '©'), '&amp;?', '&', 'g') AS text FROM each""",
     "glossary_texts": """SELECT doc_id, 0::BIGINT AS row_no, 'top ' || doc_id || 'one ' || coalesce(source, '') || 'two rest' AS text FROM documents
         UNION ALL SELECT doc_id, 1, 'one ' || coalesce(source, '') FROM documents
         UNION ALL SELECT doc_id, 2, 'two' FROM documents

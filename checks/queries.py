@@ -178,8 +178,8 @@ def export_jsonl(spark, sf):
 
 @query
 def keywords_export(spark, sf):
-    rows = sinks.dictionary_rows(_terms(spark, sf), [*I.LANGS, "swa"])
-    return rows.select("lang", joined("keywords").alias("keywords"))
+    rows = sinks.dictionary_rows(_terms(spark, sf), [*I.LANGS, "swa"], per_row=20)
+    return rows.select("lang", "part", joined("keywords").alias("keywords"))
 
 
 def _terms(spark, sf):

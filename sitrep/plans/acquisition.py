@@ -44,7 +44,10 @@ def keyword_dictionary(
 
 def posts_of(responses: DataFrame) -> DataFrame:
     """Posts inside usable API responses, with the fields the later steps need."""
-    valid, _ = payloads.triage_responses(responses)
+    return _posts(payloads.triage_responses(responses)[0])
+
+
+def _posts(valid: DataFrame) -> DataFrame:
     items = payloads.explode_items(valid)
 
     def field(name: str, kind: str) -> Column:
@@ -79,7 +82,8 @@ def category_dictionary(responses: DataFrame, snapshots: DataFrame) -> DataFrame
             F.col("item_pos").alias("entry_order"),
         )
 
-    marked = payloads.classify_responses(responses)
+    # Bodies are parsed once; both what they hold and how each went is asked of them.
+    marked = scale.materialize(payloads.classify_responses(responses).drop("body"), "responses")
     live = marked.where(F.col("reason").isNull()).drop("reason")
     done = live.select("deployment").unionAll(payloads.without_archive(marked)).distinct()
     needed = scale.lookup_join(snapshots, done, ["deployment"], "left_anti")
@@ -125,9 +129,12 @@ def crowd_reports(
     ones. A feed that failed otherwise ends there: its archive is not asked. Categories are
     named after the union, so their dictionary is prepared once.
     """
-    live = lookups.with_media_urls(lookups.select_posts(posts_of(responses)), media)
+    # Bodies are parsed once; both what they hold and how each went is asked of them.
+    marked = scale.materialize(payloads.classify_responses(responses).drop("body"), "responses")
+    usable = marked.where(F.col("reason").isNull()).drop("reason")
+    live = lookups.with_media_urls(lookups.select_posts(_posts(usable)), media)
     live = live.select("deployment", "url", "categories", "record", "media_urls")
-    complete = payloads.without_archive(payloads.classify_responses(responses))
+    complete = payloads.without_archive(marked)
     # Only the snapshots that are needed get parsed.
     needed = scale.lookup_join(snapshots, complete, ["deployment"], "left_anti")
     both = live.unionByName(_archived(needed).drop("media"), allowMissingColumns=True)

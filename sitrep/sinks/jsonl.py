@@ -16,6 +16,8 @@ from sitrep.sources.jsonl import read_jsonl
 
 # Type of a term's place; wide enough for places made of several numbers.
 PLACE = "decimal(38,0)"
+# Terms of a dictionary that one row holds.
+TERMS_PER_ROW = 1000
 
 
 def write_jsonl(
@@ -41,17 +43,29 @@ def append_jsonl(df: DataFrame, path: str) -> int:
     return write_jsonl(df, path, "append")
 
 
-def dictionary_rows(terms: DataFrame, targets: Sequence[str] = C.TARGET_LANGS) -> DataFrame:
-    """The dictionary as a table ``lang, keywords``; languages without terms have an empty array.
+def dictionary_rows(
+    terms: DataFrame, targets: Sequence[str] = C.TARGET_LANGS, per_row: int = TERMS_PER_ROW
+) -> DataFrame:
+    """The dictionary as a table ``lang, part, keywords``, terms in the order of ``ord, term``.
 
-    A language is one row with all its terms; ``lang, term, ord`` rows have no such bound.
+    A row holds at most ``per_row`` terms; parts of a language are numbered from 0 and make
+    up its list. Terms are numbered in ranges of their order, so that no task sees more of
+    a language than its range. Languages without terms have one part, an empty array.
     """
     wanted = terms.sparkSession.createDataFrame([(t,) for t in targets], "lang string")
-    lists = terms.groupBy("lang").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("ord", "term"))), lambda x: x["term"]).alias("keywords")
+    order = ["lang", "ord", "term"]
+    numbered = scale.global_row_number(terms.where(F.col("lang").isin(*targets)).select(*order), order, "__n")
+    # One row per target language.
+    first = numbered.groupBy("lang").agg(F.min("__n").alias("__first"))
+    part = F.floor((F.col("__n") - F.col("__first")) / per_row).cast("int").alias("part")
+    placed = numbered.join(F.broadcast(first), "lang").select("lang", part, "__n", "term")
+    lists = placed.groupBy("lang", "part").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("__n", "term"))), lambda x: x["term"]).alias("keywords")
     )
     empty = F.array().cast("array<string>")
-    return wanted.join(lists, "lang", "left").select("lang", F.coalesce("keywords", empty).alias("keywords"))
+    return wanted.join(lists, "lang", "left").select(
+        "lang", F.coalesce("part", F.lit(0)).alias("part"), F.coalesce("keywords", empty).alias("keywords")
+    )
 
 
 def dictionary_lines(terms: DataFrame, targets: Sequence[str] = C.TARGET_LANGS) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from sitrep.operators import keywords
+from sitrep.sinks import commits
 from sitrep.sinks import jsonl as sinks
 from sitrep.sources import warc, warc_parts
 from sitrep.sources.archive import warc_paths
@@ -108,7 +109,7 @@ def test_publish(spark, tmp_path):
     assert not sinks.publish_if_compliant(spark, artifact, target, targets=("swa", "tgl"))
     assert not os.path.exists(target)
     assert sinks.publish_if_compliant(spark, artifact, target, targets=("swa", "amh"), threshold=0.5)
-    assert sorted(r[0] for r in spark.read.text(target).collect()) == [
+    assert sorted(r[0] for r in spark.read.text(commits.published(spark, target)).collect()) == [
         '{"language_inferred":"SW-en","x":"é"}', '{"language_inferred":"am"}',
     ]
     with pytest.raises(FileNotFoundError):

@@ -14,6 +14,7 @@ from sitrep import constants as C
 from sitrep.functions import html, matching
 from sitrep.operators import adapt, audit, dedup, keywords, lookups, pages, scale
 from sitrep.operators.redaction import redact_columns, redact_records
+from sitrep.sinks import jsonl as sinks
 from tests.compare import connection, spark_rows, sql_rows
 
 SF = "/root/testdata/sf0.001"
@@ -439,3 +440,16 @@ def test_observed_counts(spark):
     df, seen = audit.observed(spark.range(10))
     df.collect()
     assert seen.get["n"] == 10
+
+
+def test_dictionary_rows_hold_a_bounded_part(spark):
+    rows = [("tgl", f"t{i:03d}", (i * 7) % 250) for i in range(250)] + [("ceb", "x", 1), ("zz", "no", 1), ("ceb", "w", 1)]
+    terms = spark.createDataFrame(rows, "lang string, term string, ord bigint")
+    found = sinks.dictionary_rows(terms, ("tgl", "ceb", "mar"), per_row=40).collect()
+    by = {(r.lang, r.part): r.keywords for r in found}
+    assert len(by) == len(found) and max(map(len, by.values())) == 40
+    wanted = [t for _, t, _ in sorted((r for r in rows if r[0] == "tgl"), key=lambda r: (r[2], r[1]))]
+    assert [t for p in range(7) for t in by["tgl", p]] == wanted
+    assert by["ceb", 0] == ["w", "x"] and by["mar", 0] == [] and len(found) == 9
+    plan = sinks.dictionary_rows(terms, ("tgl",))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(lang" in plan and "part" in plan
