@@ -106,7 +106,6 @@ def repeated_runs(
     text: str = "text",
     min_lines: int = 3,
     min_words: int = 50,
-    short_runs: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Documents with their places, and the lines that are deleted: ``key, line``.
 
@@ -115,9 +114,9 @@ def repeated_runs(
     comes later in the corpus than the first one is deleted; so maximal runs go whole.
     Ranks beyond ``min_lines`` lines are not needed for that: each line of a longer maximal
     run stands in some run of exactly ``min_lines`` lines, which repeats where the longer
-    one does. Without ``short_runs``, a run of fewer lines counts only if it is one line.
+    one does.
     """
-    lengths = list(range(1, min_lines if short_runs else 2))
+    lengths = list(range(1, min_lines))
     placed, lines = numbered_lines(docs, doc_id, text, lengths, min_words)
     ranks = doubled(line_ids(lines), min_lines)
     gone = later_copies(intervals(ranks, min_lines), min_lines)
@@ -134,7 +133,6 @@ def line_dedup(
     text: str = "text",
     min_lines: int = 3,
     min_words: int = 50,
-    short_runs: bool = True,
 ) -> DataFrame:
     """Texts without later copies of repeated line runs: one row per input row.
 
@@ -142,7 +140,7 @@ def line_dedup(
     no lines; an empty one is one line without a word. Rows that repeat an id and its text
     are one document: each gets the same result.
     """
-    placed, gone = repeated_runs(docs, doc_id, text, min_lines, min_words, short_runs)
+    placed, gone = repeated_runs(docs, doc_id, text, min_lines, min_words)
     removed = gone.groupBy("key").agg(F.array_sort(F.collect_list("line")).alias("removed"))
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
     rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))

@@ -112,37 +112,8 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM docs LEFT JOIN found USING (r) LEFT JOIN words USING (r)
 """
 
-OP9 = r"""
-WITH docs AS (
-    SELECT DISTINCT doc_id, text FROM documents
-), each AS (
-    SELECT doc_id, text, unnest(string_split(text, chr(10))) AS x, unnest(range(0, len(string_split(text, chr(10))))) AS line FROM docs
-), numbered AS (
-    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS nth, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS words
-    FROM each WHERE regexp_matches(x, '[^\x20\x09-\x0D]')
-), windows AS (
-    SELECT a.doc_id, a.nth, row_number() OVER (PARTITION BY a.x, b.x, c.x ORDER BY a.doc_id, a.nth) AS copy
-    FROM numbered a JOIN numbered b ON a.doc_id = b.doc_id AND b.nth = a.nth + 1 JOIN numbered c ON a.doc_id = c.doc_id AND c.nth = a.nth + 2
-), alone AS (
-    SELECT doc_id, nth, row_number() OVER (PARTITION BY x ORDER BY doc_id, nth) AS copy FROM numbered WHERE words >= 50
-), gone AS (
-    SELECT doc_id, unnest([nth, nth + 1, nth + 2]) AS nth FROM windows WHERE copy > 1
-    UNION SELECT doc_id, nth FROM alone WHERE copy > 1
-), marked AS (
-    SELECT each.*, gone.nth IS NOT NULL AS dropped
-    FROM each LEFT JOIN numbered USING (doc_id, line) LEFT JOIN gone ON numbered.doc_id = gone.doc_id AND numbered.nth = gone.nth
-), rebuilt AS (
-    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_removed,
-        coalesce(string_agg(x, chr(10) ORDER BY line) FILTER (NOT dropped), '') AS text
-    FROM marked GROUP BY doc_id
-)
-SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
-    CASE WHEN d.text IS NULL THEN NULL ELSE r.text END AS text
-FROM documents d LEFT JOIN rebuilt r USING (doc_id)
-"""
-
 # Maximal common runs of every two places, by islands on their diagonals.
-OP9_RUNS = r"""
+OP9 = r"""
 WITH docs AS (
     SELECT DISTINCT doc_id, text FROM documents
 ), each AS (
@@ -262,7 +233,7 @@ ORACLE = {
     "op5_mixing": OP5,
     "op7_decontam": OP7,
     "op9_linedup": OP9,
-    "op9_runs": OP9_RUNS,
+    "op9_runs": OP9,
     "op12_divergence": OP12,
     "op13_resample": OP13,
 }
