@@ -31,8 +31,12 @@ PATTERNS = {
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
 RESULT = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
-# Texts a field is fitted on: so many at most, and none longer.
+# Texts a field is fitted on, unless said otherwise: so many at most, and none longer.
 SAMPLE_DOCS, SAMPLE_CHARS = 1500, 20_000
+# What a span of each label must hold.
+_NEEDED = [re.compile("@"), re.compile("[0-9]"), re.compile("[0-9]"), re.compile("[0-9]")]
+# Share of the features left out in each round of the fit.
+DROPPED = 0.3
 FEATURES = 4096
 BELIEF = 0.95
 ROUNDS = 15
@@ -115,6 +119,11 @@ def shape(token: str) -> str:
     return re.sub(r"[^\W\d_]{2,}", "x", out)
 
 
+def _identity(token: str) -> str | bytes:
+    """What tells a token from others; of a long one its digest, not the token."""
+    return token if len(token) <= 64 else hashlib.blake2b(token.encode(), digest_size=16).digest()
+
+
 def _slot(name: str) -> int:
     return int.from_bytes(hashlib.blake2b(name.encode(), digest_size=4).digest(), "little") % FEATURES
 
@@ -130,7 +139,7 @@ def graph(text: str) -> Graph | None:
     tokens = [m for m in _TOKEN.finditer(text)]
     able = [bool(_CANDIDATE.search(m[0])) for m in tokens]
     chosen = sorted({j for i, ok in enumerate(able) if ok for j in (i - 1, i, i + 1) if 0 <= j < len(tokens)})
-    words = [m[0].strip("*%$#&!?:") if len(m[0]) < 200 else m[0][:200] for m in tokens] if chosen else []
+    words = [m[0].strip("*%$#&!?:") for m in tokens] if chosen else []
     shapes = {i: shape(words[i]) for i in chosen}
     features = []
     for i in chosen:
@@ -144,7 +153,7 @@ def graph(text: str) -> Graph | None:
     last, skip = {}, set()
     for k, i in enumerate(chosen):
         if able[i]:
-            for name in (("w", words[i].lower()), ("s", shapes[i])):
+            for name in (("w", _identity(words[i].lower())), ("s", _identity(shapes[i]))):
                 if name in last and last[name] + 1 < k:
                     skip.add((last[name], k))
                 last[name] = k
@@ -166,43 +175,52 @@ def labels_of(found: Graph, base: list[tuple[int, int, int]]) -> np.ndarray:
     return out
 
 
-def fit(rows: list[str], rounds: int = 150, rate: float = 0.5) -> Field:
-    """Weights from texts labelled by the fixed patterns, one kind of factor at a time.
+def fit(rows: list[str], rounds: int = 150, rate: float = 0.3, seed: int = 5) -> Field:
+    """Weights from texts labelled by the fixed patterns, all factors together.
 
-    Features by softmax regression; pairs by how much more often two labels meet than their
-    shares would have it. Without texts every weight is zero and everything stays outside.
+    The pseudo-likelihood of the whole graph: every variable's label given its features and
+    the labels of its neighbours along the chain and over skips. A share of the features is
+    left out at random in each round, so that the neighbours learn to carry a label where a
+    token's own shape does not. Without texts everything stays outside.
     """
     n = len(KINDS) + 1
-    graphs = [g for g in map(graph, rows) if g]
-    labels = [labels_of(g, base_spans(t)) for g, t in zip(graphs, (r for r in rows if _ANY.search(r)))] if graphs else []
-    if not graphs or not sum(map(len, labels)):
+    found = [(g, t) for t in rows for g in [graph(t)] if g and g.spans]
+    if not found:
         bias = np.zeros((FEATURES, n))
         bias[_slot("bias"), 0] = 20.0
         return Field(bias, np.zeros((n, n)), np.zeros((n, n)))
-    x = np.array([f for g in graphs for f in g.features])
+    labels = [labels_of(g, base_spans(t)) for g, t in found]
     y = np.concatenate(labels)
-    weights, squares = np.zeros((FEATURES, n)), np.full((FEATURES, n), 1e-8)
     one = np.eye(n)[y]
+    x = np.array([f for g, _ in found for f in g.features])
+    starts = np.cumsum([0] + [len(label) for label in labels])
+    # Labels of the neighbours of every variable: before and after it, and over skips.
+    before, after, skips = (np.zeros((len(y), n)) for _ in range(3))
+    for (g, _), start in zip(found, starts):
+        for pairs, left, right in ((g.chain, before, after), (g.skip, skips, skips)):
+            a, b = pairs[:, 0] + start, pairs[:, 1] + start
+            np.add.at(left, b, one[a])
+            np.add.at(right, a, one[b])
+    rng = np.random.default_rng(seed)
+    weights, chain, skip = np.zeros((FEATURES, n)), np.zeros((n, n)), np.zeros((n, n))
+    squares = [np.full(w.shape, 1e-8) for w in (weights, chain, skip)]
     for _ in range(rounds):
-        score = weights[x].sum(1)
-        score = np.exp(score - score.max(1, keepdims=True))
-        error = (score / score.sum(1, keepdims=True) - one) / len(y)
+        held = rng.random(x.shape) >= DROPPED
+        held[:, 0] = True  # the bias
+        score = (weights[x] * held[..., None]).sum(1) + before @ chain + after @ chain.T + skips @ skip
+        error = (_softmax(score) - one) / len(y)
         step = np.zeros_like(weights)
         for column in range(x.shape[1]):
-            np.add.at(step, x[:, column], error)
-        step += 1e-6 * weights
-        squares += step * step
-        weights -= rate * step / np.sqrt(squares)
-
-    def affinity(name: str) -> np.ndarray:
-        seen = np.ones((n, n))
-        for g, label in zip(graphs, labels):
-            pairs = getattr(g, name)
-            np.add.at(seen, (label[pairs[:, 0]], label[pairs[:, 1]]), 1.0)
-        seen /= seen.sum()
-        return np.clip(np.log(seen / (seen.sum(1, keepdims=True) * seen.sum(0, keepdims=True))), -2, 2)
-
-    return Field(weights, affinity("chain"), affinity("skip"))
+            np.add.at(step, x[:, column], error * held[:, column : column + 1])
+        tied = skips.T @ error
+        steps = (step + 1e-6 * weights, before.T @ error + (after.T @ error).T + 1e-5 * chain, (tied + tied.T) / 2 + 1e-5 * skip)
+        for w, s, q in zip((weights, chain, skip), steps, squares):
+            q += s * s
+            w -= rate * s / np.sqrt(q)
+        # Bounded ties keep the message passing from running away on loops.
+        np.clip(chain, -2, 2, out=chain)
+        np.clip(skip, -2, 2, out=skip)
+    return Field(weights, chain, skip)
 
 
 def beliefs(found: Graph, field: Field) -> np.ndarray:
@@ -240,7 +258,7 @@ def _softmax(score: np.ndarray) -> np.ndarray:
 def field_spans(text: str, field: Field, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Spans the field is sure of, outside those of the fixed patterns.
 
-    Neighbouring tokens of one label with white space between them are one span.
+    A span holds what its kind is made of: an email an ``@``, the others a digit. Neighbouring tokens of one label with white space between them are one span.
     """
     found = graph(text)
     if found is None or not found.spans:
@@ -250,7 +268,7 @@ def field_spans(text: str, field: Field, base: list[tuple[int, int, int]]) -> li
     out, joined = [], {tuple(p) for p in found.chain.tolist()}
     for k in np.flatnonzero(label).tolist():
         start, end = found.spans[k]
-        if start == end or not _DIGITS.search(text, start, end):
+        if start == end or not _NEEDED[label[k] - 1].search(text, start, end):
             continue
         if out and out[-1][3] == k - 1 and (k - 1, k) in joined and out[-1][0] == label[k] - 1:
             out[-1] = (out[-1][0], out[-1][1], end, k)
@@ -272,32 +290,46 @@ def _listed(found: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in found)
 
 
-def sample(docs: DataFrame, doc_id: str, text: str) -> list[str]:
-    """Texts to fit on: those with the smallest hashes among the ones with a candidate."""
+def sample(docs: DataFrame, doc_id: str, text: str, most: int, longest: int) -> list[str]:
+    """Texts to fit on: of those with a candidate and at most ``longest`` characters, the
+    ``most`` whose hashes come first."""
     rows = docs.select(row_key(docs[doc_id], docs[text]).alias("key"), docs[text].alias("text"))
-    rows = rows.where(F.col("text").rlike("[0-9@]") & (F.length("text") <= SAMPLE_CHARS))
-    keys = rows.select("key").distinct().orderBy(F.xxhash64("key"), "key").limit(SAMPLE_DOCS)
-    # At most SAMPLE_DOCS keys.
+    rows = rows.where(F.col("text").rlike("[0-9@]") & (F.length("text") <= longest))
+    keys = rows.select("key").distinct().orderBy(F.xxhash64("key"), "key").limit(most)
+    # At most that many keys.
     found = rows.join(F.broadcast(keys), "key").dropDuplicates(["key"]).collect()
     return [r["text"] for r in sorted(found, key=lambda r: r["key"])]
 
 
-def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def _sent(docs: DataFrame, doc_id: str, text: str, most: int, longest: int):
+    """The fitted weights as plain arrays, which workers read without this package."""
+    found = fit(sample(docs, doc_id, text, most, longest))
+    return docs.sparkSession.sparkContext.broadcast((found.unary, found.chain, found.skip))
+
+
+def personal_data(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    sample_docs: int = SAMPLE_DOCS,
+    sample_chars: int = SAMPLE_CHARS,
+) -> DataFrame:
     """Personal data of every document: one row per input row.
 
     Counts and ``base_sha256`` are of the fixed patterns; ``spans`` also has what the field
     adds. A null text is empty. The field is fitted on a bounded sample of the table itself,
-    labelled by the fixed patterns; a table without candidates adds nothing. Repeated rows
-    get the same result; other columns are ignored.
+    ``sample_docs`` texts of at most ``sample_chars`` characters, labelled by the fixed
+    patterns; every text is scanned whole. A table without candidates adds nothing.
+    Repeated rows get the same result; other columns are ignored.
     """
-    field = docs.sparkSession.sparkContext.broadcast(fit(sample(docs, doc_id, text)))
+    sent = _sent(docs, doc_id, text, sample_docs, sample_chars)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = []
+        rows, field = [], Field(*sent.value)
         for value in batch.column(1):
             body = value.as_py() or ""
             base = base_spans(body)
-            added = field_spans(body, field.value, base)
+            added = field_spans(body, field, base)
             kinds = [k for k, _, _ in base]
             digest = hashlib.sha256(_listed(base).encode()).hexdigest()
             rows.append((*[kinds.count(k) for k in range(len(KINDS))], digest, _listed(sorted(base + added))))
@@ -308,24 +340,31 @@ def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     return map_batches(docs.select(docs[doc_id].cast("long"), docs[text]), run, RESULT)
 
 
-def redacted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def redacted(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    sample_docs: int = SAMPLE_DOCS,
+    sample_chars: int = SAMPLE_CHARS,
+) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; a null text stays null."""
-    field = docs.sparkSession.sparkContext.broadcast(fit(sample(docs, doc_id, text)))
+    sent = _sent(docs, doc_id, text, sample_docs, sample_chars)
     at = docs.columns.index(text)
 
-    def clean(body: str | None) -> str | None:
+    def clean(body: str | None, field: Field) -> str | None:
         if body is None:
             return None
         base = base_spans(body)
         out, end = [], 0
-        for start, stop, kind in sorted((s, e, k) for k, s, e in base + field_spans(body, field.value, base)):
+        for start, stop, kind in sorted((s, e, k) for k, s, e in base + field_spans(body, field, base)):
             if start >= end:
                 out += [body[end:start], f"[{KINDS[kind].upper()}]"]
             end = max(end, stop)
         return "".join([*out, body[end:]])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        new = pa.array([clean(v.as_py()) for v in batch.column(at)], batch.schema.field(at).type)
+        field = Field(*sent.value)
+        new = pa.array([clean(v.as_py(), field) for v in batch.column(at)], batch.schema.field(at).type)
         return batch.set_column(at, batch.schema.field(at), new)
 
     return map_rows(docs, run)
