@@ -71,34 +71,47 @@ def tokens_of(url: Column) -> Column:
     return F.array_distinct(F.coalesce(F.concat(scheme, top, first, ends, parts, query, mark), F.array().cast("array<string>")))
 
 
+def ruled_labels(pages: DataFrame, rules: Sequence[Rule] = RULES, url: str = "url") -> DataFrame:
+    """``url, bad`` of the URLs that a fixed rule decides: bad ones are blocked."""
+    urls = pages.select(pages[url].alias("url")).where("url IS NOT NULL")
+    verdict = _first_fitting(rules, host_of(F.col("url")), path_of(F.col("url")), lambda r: r[0])
+    return urls.select("url", (verdict == "block").alias("bad")).where("bad IS NOT NULL")
+
+
+def page_labels(pages: DataFrame, labels: DataFrame, page_id: str = "page_id", url: str = "url") -> DataFrame:
+    """``url, bad`` of labelled pages (``doc_id, quality, toxic`` by page id): bad if of no quality, or toxic.
+
+    A page with conflicting labels is bad; one whose labels say nothing has none.
+    """
+    said = labels.select(F.col("doc_id").alias("label_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    said = said.where("bad IS NOT NULL").groupBy("label_id").agg(F.bool_or("bad").alias("bad"))
+    rows = pages.select(pages[page_id].alias("page_id"), pages[url].alias("url")).where("url IS NOT NULL")
+    return rows.join(said, F.col("page_id") == F.col("label_id")).select("url", "bad")
+
+
 def mined_rules(
-    pages: DataFrame,
-    labels: DataFrame,
-    page_id: str = "page_id",
-    url: str = "url",
+    labelled: DataFrame,
     min_support: float = 0.005,
-    min_pages: int = 30,
+    min_pages: int = 5,
     min_confidence: float = 0.8,
     min_lift: float = 1.5,
 ) -> DataFrame:
     """Combinations of URL tokens that mark bad pages: ``antecedent, confidence, support``.
 
-    A labelled page is bad if its quality is 0 or it is toxic. FP-growth finds frequent sets
-    of tokens and the verdict; rules that lead to the verdict stay if they are confident and
-    say more than the share of bad pages, and if no shorter rule inside them is as confident.
-    A rule rests on ``min_support`` of the labelled pages and on ``min_pages`` of them at
-    least, so that a few labels make none.
+    ``labelled`` has a row ``url, bad`` for every labelled page, repeated URLs included.
+    FP-growth finds frequent sets of tokens and the verdict; rules that lead to the verdict
+    stay if they are confident and say more than the share of bad pages, and if no shorter
+    rule inside them is as confident. A rule rests on ``min_support`` of the labelled pages
+    and on ``min_pages`` of them at least, so that a few labels make none; nor do labels
+    that are all of one kind.
     """
-    good = labels.select(F.col("doc_id").alias("label_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
-    good = good.where("bad IS NOT NULL").distinct()
-    rows = pages.select(pages[page_id].alias("page_id"), pages[url].alias("url")).join(good, F.col("page_id") == F.col("label_id"))
     verdict = F.when(F.col("bad"), F.array(F.lit(BLOCKED))).otherwise(F.array().cast("array<string>"))
-    baskets = stored(rows.select(F.concat(tokens_of(F.col("url")), verdict).alias("items")), "baskets")
-    empty = pages.sparkSession.createDataFrame([], "antecedent array<string>, confidence double, support double")
-    labelled = baskets.count()
-    if labelled < min_pages:
+    baskets = stored(labelled.select(F.concat(tokens_of(F.col("url")), verdict).alias("items")), "baskets")
+    empty = labelled.sparkSession.createDataFrame([], "antecedent array<string>, confidence double, support double")
+    n = baskets.count()
+    if n < min_pages:
         return empty
-    least = max(min_support, min_pages / labelled)
+    least = max(min_support, min_pages / n)
     model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(baskets)
     rules = (
         model.associationRules.where(F.col("consequent") == F.array(F.lit(BLOCKED)))
@@ -137,15 +150,26 @@ def matched(pages: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
 
 
 def judged(
-    pages: DataFrame, labels: DataFrame, rules: Sequence[Rule] = RULES, page_id: str = "page_id", url: str = "url", **mining
+    pages: DataFrame,
+    labels: DataFrame | None = None,
+    rules: Sequence[Rule] = RULES,
+    page_id: str = "page_id",
+    url: str = "url",
+    **mining,
 ) -> DataFrame:
     """Verdict on every page: the longest fixed rule that fits, else the mined rules.
 
-    One row per input row. A null url, or one without ``://``, has an empty host and path,
-    fits no rule and is allowed. ``verdict`` is block for URLs that a mined rule matches.
+    Rules are mined from the pages that a fixed rule decides, and from ``labels`` of other
+    pages if there are any (:func:`page_labels`). One row per input row. A null url, or one
+    without ``://``, has an empty host and path, fits no rule and is allowed. ``verdict`` is
+    block for URLs that a mined rule matches.
     """
     own = pages.select(pages[page_id].cast("long").alias("page_id"), pages[url].alias("url"))
-    found = matched(own, mined_rules(own, labels, "page_id", "url", **mining))
+    labelled = ruled_labels(own, rules)
+    if labels is not None:
+        decided = labelled.select("url").distinct()
+        labelled = labelled.unionByName(page_labels(own, labels).join(decided, "url", "left_anti"))
+    found = matched(own, mined_rules(labelled, **mining))
     marked = own.alias("p").join(found.withColumn("mined", F.lit(True)).alias("m"), F.expr("p.url = m.url"), "left")
     parts = marked.select("p.page_id", host_of(F.col("p.url")).alias("host"), path_of(F.col("p.url")).alias("path"), "mined")
     host, path = F.col("host"), F.col("path")
