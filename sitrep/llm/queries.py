@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sitrep.llm import archive, ctxmix, decontam, divergence, linedup, mixing, neardup, pii, quality, resample, secrets, tokens, urls
 from sitrep.llm.common import table
@@ -18,6 +19,15 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text without the lines that break a rule."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lost = quality.quality(docs).select("doc_id", "n_lines", "n_bad_lines", "lost_words")
+    text = F.coalesce("text", F.lit(""))
+    cleaned = quality.clean_lines(docs).select("doc_id", F.sha2(text.cast("binary"), 256).alias("cleaned_sha256"))
+    return lost.join(cleaned, "doc_id")
+
+
 def op2_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -86,6 +96,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality,
+        op1_lines,
         op2_neardup,
         op3_urls,
         op4_archive,
