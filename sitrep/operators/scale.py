@@ -6,8 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Largest table that is broadcast or held by one process.
 MAX_ROWS = 200_000
@@ -41,18 +42,32 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def measured(df: DataFrame, label: str = "side") -> tuple[DataFrame, int, int]:
-    """``df`` written once and read back, with its rows and its bytes as text.
+    """``df`` written once and read back, with its rows and about its bytes.
 
     The sizes are taken while writing, so ``df`` is computed exactly once.
     """
     path = scratch_dir(df.sparkSession, label)
     sizes = Observation()
-    size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
+    size = F.sum(row_bytes(df))
     df.observe(sizes, F.count(F.lit(1)).alias("rows"), size.alias("bytes")).write.parquet(path)
     found = sizes.get
     return df.sparkSession.read.schema(df.schema).parquet(path), found["rows"], found["bytes"] or 0
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: those of texts, eight for a number, JSON text only for nested columns."""
+    total = F.lit(0)
+    for field in df.schema:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            total = total + 8 + F.coalesce(F.octet_length(column), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+        else:
+            total = total + 8
+    return total.cast("long")
+
+
 def is_small(rows: int, size: int) -> bool:
     """Whether a table of this size may be broadcast or held by one process."""
     return rows <= MAX_ROWS and size <= MAX_BYTES
