@@ -15,6 +15,7 @@ import sys
 import types
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,15 +31,12 @@ NO_ID = -(2**63)
 MANIFEST = "shard int, file string, width int, n_docs long, n_tokens long"
 RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 # Words after which a worker begins a new list of those it remembers; it keeps two lists.
-REMEMBERED = 120_000
+REMEMBERED = 300_000
 
 # Texts that are cut into words and put together at once.
 BATCH_BYTES = 1 << 21
 
-# Words of Latin letters with at most one mark after them: their pieces are the letters,
-# with the space before them, and the mark.
-_PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,]?)")
-_INNER_SPACE = re.compile(r"\s")
+_INNER_SPACE = re.compile(r"[^\S \n]")
 _CUTS = np.isin(np.arange(256), list(b" \n"))
 _MARKS = np.isin(np.arange(256), list(b".,"))
 _LETTERS = np.array([chr(b).isalpha() and b < 0x80 for b in range(256)])
@@ -68,8 +66,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.dtype = np.dtype(dtype)
+        self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
         self.letters = _byte_letters()
-        # Ids by word; None for a word that needs its text.
+        self.feed = self._whole("\n")
+        # Ids by word; None for a mark without a word.
         self.known, self.older = {}, {}
         self.by_word = self._is_byte_level()
         self.names = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
@@ -78,24 +78,20 @@ class Encoder:
         kind = type(self.tokenizer.pre_tokenizer).__name__
         return kind == "ByteLevel" and not self.tokenizer.pre_tokenizer.add_prefix_space and not self.tokenizer.normalizer
 
-    def _ids(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
-
     def _whole(self, text: str) -> bytes:
-        return self._ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _word(self, unit: bytes) -> bytes | None:
-        """Ids of a word with the mark before it, if it has one."""
-        text = unit.decode()
-        if text in (" ", "\n") or _INNER_SPACE.search(text, 1) or any(name in text for name in self.names):
+        """Ids of a word with the mark before it; None for a mark alone, which has no word."""
+        body = unit[1:] if unit[:1] in b" \n" else unit
+        if not body:
             return None
-        if text.startswith("\n"):
-            return self._whole("\n") + (self._word(unit[1:]) or b"")
-        plain = _PLAIN.fullmatch(text)
-        if not plain:
-            return self._whole(text)
-        pieces = [p.encode().decode("latin-1").translate(self.letters) for p in plain.groups() if p]
-        return self._ids([t.id for p in pieces for t in self.model.tokenize(p)])
+        if not body.isalpha() and not body.decode().isalpha():
+            return self._whole(unit.decode())
+        # Letters are one piece, with the space before them; a line feed is one of its own.
+        start, piece = (self.feed, body) if unit[:1] == b"\n" else (b"", unit)
+        found = self.model.tokenize(piece.decode("latin-1").translate(self.letters))
+        return start + array(self.code, [t.id for t in found]).tobytes()
 
     def _words(self, units: list[bytes]) -> list[bytes | None]:
         known, older = self.known, self.older
@@ -110,6 +106,15 @@ class Encoder:
             found.append(ids)
         return found
 
+    def _odd(self, data: np.ndarray, units: pa.Array) -> np.ndarray:
+        """Which distinct words hold other white space or the name of a special token."""
+        text = data.tobytes().decode()
+        odd = np.zeros(len(units), bool)
+        for unusual in (_INNER_SPACE, *map(re.compile, map(re.escape, self.names))):
+            if unusual.search(text):
+                odd |= [bool(unusual.search(u.decode())) for u in units.to_pylist()]
+        return odd
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a column, one after the other, and how many each has."""
         if not self.by_word:
@@ -126,7 +131,8 @@ class Encoder:
         units = pa.Array.from_buffers(
             pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())]
         ).dictionary_encode()
-        ids = self._words(units.dictionary.to_pylist())
+        strange = self._odd(data, units.dictionary)
+        ids = [None if s else i for i, s in zip(self._words(units.dictionary.to_pylist()), strange.tolist())]
         code = units.indices.to_numpy()
         row = np.searchsorted(bounds, offsets[:-1], "right") - 1
         odd = np.zeros(len(column), bool)
