@@ -149,15 +149,16 @@ def first_seen(
     Rows that come later are dropped, also after a restart. Nulls come first, and null keys
     are a key. Without a time bound one flag per key stays in the state; ``event_time`` and
     ``within`` (a number of seconds, minutes, hours or days) forget a key once the watermark
-    has passed its first row by that time. Copies are dropped inside each Arrow batch before
-    the shuffle, so that a hot key sends one row per batch; bounded streams go without that
-    step, as a watermark does not pass through it. Rows travel as JSON text, so that no
-    column changes its type on the way.
+    has passed its first row by that time. Without a bound, copies are dropped inside each
+    Arrow batch before the shuffle, so that a hot key sends one row per batch, and after it
+    in each partition, which holds one row per key of the micro-batch; the state is Spark's
+    own, asked once per key without Python. Bounded streams go without that, as a watermark
+    does not pass through it. Rows travel as JSON text, so that no column changes its type
+    on the way.
     """
     names = [f"__k{i}" for i in range(len(keys))]
     row = F.to_json(F.struct(*stream.columns), _EXACT).alias("__row")
     columns = [F.col(k).alias(n) for k, n in zip(keys, names)] + [F.struct(*order).alias("__order"), row]
-    within_ms = 0
     if event_time is not None:
         number, unit = within.split()
         within_ms = int(number) * _UNITS[unit.rstrip("s")]
@@ -165,23 +166,27 @@ def first_seen(
     else:
         slim = stream.select(*columns)
         slim = slim.mapInArrow(_leading_rows(names), slim.schema)
+        slim = slim.repartition(*names).mapInArrow(_first_rows(names), slim.schema)
+        return _plain_rows(slim.dropDuplicates(names), stream.schema)
 
     def first(key, frames, state):
         if state.hasTimedOut:
             state.remove()
             return
-        found = [(_nulls_first(o), r, t) for f in frames for o, r, t in zip(f["__order"], f["__row"], f.get("__time", f["__row"]))]
+        found = [(_nulls_first(o), r, t) for f in frames for o, r, t in zip(f["__order"], f["__row"], f["__time"])]
         if state.exists or not found:
             return
         _, row, time = min(found, key=lambda x: x[0])
         state.update((True,))
-        if event_time is not None:
-            state.setTimeoutTimestamp(max(int(time.timestamp() * 1000) + within_ms, state.getCurrentWatermarkMs() + 1))
+        state.setTimeoutTimestamp(max(int(time.timestamp() * 1000) + within_ms, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({"__row": [row]})
 
-    timeout = GroupStateTimeout.NoTimeout if event_time is None else GroupStateTimeout.EventTimeTimeout
-    kept = slim.groupBy(*names).applyInPandasWithState(first, "__row string", "seen boolean", "append", timeout)
-    return kept.select(F.from_json("__row", stream.schema, _EXACT).alias("r")).select("r.*")
+    kept = slim.groupBy(*names).applyInPandasWithState(first, "__row string", "seen boolean", "append", GroupStateTimeout.EventTimeTimeout)
+    return _plain_rows(kept, stream.schema)
+
+
+def _plain_rows(kept: DataFrame, schema: StructType) -> DataFrame:
+    return kept.select(F.from_json("__row", schema, _EXACT).alias("r")).select("r.*")
 
 
 _EXACT = {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false", "mode": "FAILFAST"}
@@ -193,17 +198,42 @@ def _nulls_first(order) -> list:
     return [(False,) if v is None else (True, v) for v in values]
 
 
+def _leading(batch: pa.RecordBatch, names: list[str]) -> pa.RecordBatch:
+    """The first row by ``__order`` of every key."""
+    order = batch.column(batch.schema.get_field_index("__order"))
+    fields = {f"o{i}": order.field(i) for i in range(order.type.num_fields)}
+    place = pc.sort_indices(pa.table(fields), [(f, "ascending") for f in fields], null_placement="at_start")
+    ranked = batch.take(place)
+    rows = pa.table({n: ranked.column(n) for n in names} | {"row": pa.array(range(len(ranked)))})
+    return ranked.take(rows.group_by(names).aggregate([("row", "min")]).column("row_min").combine_chunks())
+
+
 def _leading_rows(names: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The first row by ``__order`` of every key in each Arrow batch."""
     names = list(names)
 
     def leading(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            order = batch.column(batch.schema.get_field_index("__order"))
-            fields = {f"o{i}": order.field(i) for i in range(order.type.num_fields)}
-            place = pc.sort_indices(pa.table(fields), [(f, "ascending") for f in fields], null_placement="at_start")
-            ranked = batch.take(place)
-            rows = pa.table({n: ranked.column(n) for n in names} | {"row": pa.array(range(len(ranked)))})
-            yield ranked.take(rows.group_by(names).aggregate([("row", "min")]).column("row_min").combine_chunks())
+            yield _leading(batch, names)
 
     return leading
+
+
+def _first_rows(names: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The first row by ``__order`` of every key in a whole partition."""
+    names = list(names)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, new = [], 0
+        for batch in batches:
+            held.append(batch)
+            new += batch.num_rows
+            # Rows wait until they are as many as the keys so far, so that each is compared a few times only.
+            if new >= max(held[0].num_rows, 50_000):
+                held, new = [_leading(pa.concat_batches(held), names)], 0
+        if held:
+            found = _leading(pa.concat_batches(held), names)
+            for at in range(0, found.num_rows, 10_000):
+                yield found.slice(at, 10_000)
+
+    return first

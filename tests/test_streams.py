@@ -133,3 +133,19 @@ def test_metrics_of_repeated_work_replace_it(spark):
         metrics.stage(spark.range(3), "one", twice=F.col("id") * 2).collect()
         rows = {(r.stage, r.counter): r.n for r in metrics.table().collect()}
     assert rows == {("one", "rows"): 10, ("one", "twice"): 6}
+
+
+def test_first_seen_without_python_per_key(spark, tmp_path):
+    """Many keys over many files and partitions, each asked of the state by Spark itself."""
+    source, log, state = tmp_path / "in", str(tmp_path / "log"), str(tmp_path / "state")
+    for i in range(4):
+        land(source, f"{i}.json", [{"k": f"k{n % 3000}", "o": (n * 7919 + i) % 5003} for n in range(i * 3000, i * 3000 + 6000)])
+    wanted = {}
+    for i in range(4):
+        for n in range(i * 3000, i * 3000 + 6000):
+            wanted[f"k{n % 3000}"] = min((n * 7919 + i) % 5003, wanted.get(f"k{n % 3000}", 9999))
+    stream = jobs.first_seen(jobs.stream_jsonl(spark, str(source), SCHEMA), ["k"], ["o"])
+    query = jobs.append_stream(stream, log, "first", state)
+    query.awaitTermination()
+    assert [s["operatorName"] for p in query.recentProgress for s in p["stateOperators"]][:1] == ["dedupe"]
+    assert {r.k: r.o for r in commits.read_log(spark, log, SCHEMA).collect()} == wanted
