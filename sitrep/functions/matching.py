@@ -11,7 +11,8 @@ from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +26,8 @@ MAX_TERMS = 200_000
 MAX_TERM_BYTES = 8 * 1024 * 1024
 # Characters of texts that a task keeps while the parts of the terms come by.
 HELD_CHARS = 32 * 1024 * 1024
+# Texts of an Arrow batch that are Python objects at a time.
+VALUES = 64
 
 
 @dataclass(frozen=True)
@@ -55,17 +58,17 @@ def contains_any(text: Column, terms: Sequence[tuple] | TermFiles) -> Column:
     if in_catalyst(terms):
         return reduce(lambda a, b: a | b, [F.contains(text, F.lit(t)) for (t,) in terms], F.lit(False))
 
-    @F.pandas_udf(T.BooleanType())
-    def any_hit(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.BooleanType())
+    def any_hit(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for held, automata in _rounds(batches, terms):
             found = [[False] * len(texts) for texts in held]
             for automaton, always in automata:
                 for texts, hits in zip(held, found):
-                    for i, t in enumerate(texts):
+                    for i, t in enumerate(_values(texts)):
                         if t is not None and not hits[i]:
                             hits[i] = bool(always) or (len(automaton) > 0 and next(automaton.iter(t), None) is not None)
             for hits in found:
-                yield pd.Series(hits, dtype=bool)
+                yield pa.array(hits, pa.bool_())
 
     return any_hit(text)
 
@@ -76,26 +79,32 @@ def matched_labels(text: Column, pairs: Sequence[tuple[str, str]] | TermFiles) -
         found = [F.when(F.contains(text, F.lit(t)), F.lit(label)) for t, label in pairs]
         return F.array_sort(F.array_distinct(F.array_compact(F.array(*found).cast("array<string>"))))
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def labels(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def labels(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for held, automata in _rounds(batches, pairs):
             found = [[set() for _ in texts] for texts in held]
             for automaton, always in automata:
                 for texts, sets in zip(held, found):
-                    for t, hits in zip(texts, sets):
+                    for t, hits in zip(_values(texts), sets):
                         if t is not None:
                             hits.update(always)
                             if len(automaton):
                                 for _, some in automaton.iter(t):
                                     hits.update(some)
             for sets in found:
-                yield pd.Series([sorted(s) for s in sets])
+                yield pa.array([sorted(s) for s in sets], pa.list_(pa.string()))
 
     # Keeps the optimizer from running the pass a second time for a filter it derives.
     return labels.asNondeterministic()(text)
 
 
-def _rounds(batches: Iterator[pd.Series], terms: Sequence[tuple] | TermFiles) -> Iterator[tuple[list, Iterable]]:
+def _values(texts: pa.Array) -> Iterator[str | None]:
+    """Values of an array, few of them as Python objects at a time."""
+    for at in range(0, len(texts), VALUES):
+        yield from texts.slice(at, VALUES).to_pylist()
+
+
+def _rounds(batches: Iterator[pa.Array], terms: Sequence[tuple] | TermFiles) -> Iterator[tuple[list, Iterable]]:
     """Batches that are matched together, and the automata they meet."""
     if not isinstance(terms, TermFiles):
         one = [_automaton(terms)]
@@ -105,7 +114,7 @@ def _rounds(batches: Iterator[pd.Series], terms: Sequence[tuple] | TermFiles) ->
     held, size = [], 0
     for texts in batches:
         held.append(texts)
-        size += int(texts.str.len().sum())
+        size += pc.sum(pc.utf8_length(texts)).as_py() or 0
         if size >= HELD_CHARS:
             yield held, map(_automaton, terms)
             held, size = [], 0

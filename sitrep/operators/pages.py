@@ -33,7 +33,9 @@ def og_extract(
         names = ["url", "image", "description", "title"]
         for batch in batches:
             out = []
-            for address, page in zip(batch.column("url").to_pylist(), batch.column("page").to_pylist()):
+            # One page at a time is a Python object.
+            for address, page in zip(batch.column("url"), batch.column("page")):
+                address, page = address.as_py(), page.as_py()
                 if isinstance(page, bytes):
                     page = html.decode_page(page)
                 found = html.open_graph(page)

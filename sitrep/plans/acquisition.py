@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -155,9 +156,9 @@ def news_rows(records: DataFrame, keyword_table: DataFrame, now: Column | None =
 def valid_text(col: str) -> Column:
     """Bytes as UTF-8 text without the invalid sequences."""
 
-    @F.pandas_udf("string")
-    def decode(values):
-        return values.map(lambda b: None if b is None else b.decode("utf-8", errors="ignore"))
+    @F.arrow_udf("string")
+    def decode(values: pa.Array) -> pa.Array:
+        return pa.array((v.as_py().decode("utf-8", errors="ignore") if v.is_valid else None for v in values), pa.string())
 
     # Valid bytes, the usual case, are read as they are.
     return F.when(F.is_valid_utf8(F.col(col).cast("string")), F.col(col).cast("string")).otherwise(

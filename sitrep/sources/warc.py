@@ -34,7 +34,7 @@ _MEMBER = b"\x1f\x8b\x08"
 # Longest payload that becomes one row; ``warc_parts`` reads longer ones in pieces.
 MAX_PAYLOAD = 1 << 30
 _BATCH_ROWS = 1000
-_BATCH_BYTES = 16 * 1024 * 1024
+_BATCH_BYTES = 4 * 1024 * 1024
 
 
 class WarcSource(DataSource):

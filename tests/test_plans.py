@@ -122,3 +122,27 @@ def test_archive_comes_on_top_of_a_broken_feed(spark):
         ("c", "old-c-2", names, ["s"], "2"),
         ("c", "u", none, none, "2"),
     ]
+
+
+def test_few_texts_of_a_batch_are_python_objects_at_a_time(monkeypatch):
+    import pyarrow as pa
+
+    from sitrep.functions import matching
+
+    class Spied:
+        def __init__(self, values, most):
+            self.values, self.most = values, most
+
+        def __len__(self):
+            return len(self.values)
+
+        def slice(self, at, n):
+            return Spied(self.values.slice(at, n), self.most)
+
+        def to_pylist(self):
+            self.most.append(len(self.values))
+            return self.values.to_pylist()
+
+    most = []
+    texts = [None if i % 7 == 0 else f"t{i}" for i in range(1000)]
+    assert list(matching._values(Spied(pa.array(texts), most))) == texts and max(most) <= matching.VALUES
