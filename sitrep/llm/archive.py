@@ -101,7 +101,7 @@ def write_archive(
     keyed = rows.select(F.concat_ws(":", "digest", "page_id").alias("name"), "digest", "payload")
     names = leads.select(F.concat_ws(":", "digest", "lead_id").alias("name"))
     once = keyed.join(names, "name", "left_semi").dropDuplicates(["name"])
-    once.select("digest", "payload").write.parquet(f"{path}/payloads")
+    once.select("digest", "payload").write.option("compression", "zstd").parquet(f"{path}/payloads")
     return Archive(path)
 
 

@@ -14,12 +14,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitrep.llm.common import slices, stored, word_hashes, words_and_rows
+from sitrep.llm.common import _hashes, slices, stored, text_bytes, words_and_rows
 from sitrep.operators import scale
 
 # Letters; every byte of a non-ASCII character counts.
 IN_LETTER = np.array([b >= 0x80 or chr(b).isalpha() for b in range(256)])
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
+# Bytes of terms that are hashed at a time.
+HASH_BYTES = 1 << 18
 # Cells of a block of terms times sources.
 BLOCK_CELLS = 1 << 22
 SHARE = 1_000_000_000
@@ -27,8 +29,14 @@ SHARE = 1_000_000_000
 _LARGE = 9_000_000_000
 
 
-def _digests(distinct: list[bytes], bits: int) -> np.ndarray:
-    found = word_hashes(b" ".join(distinct), IN_LETTER)
+def _digests(distinct: pa.Array, bits: int) -> np.ndarray:
+    data, bounds = text_bytes(distinct)
+    found, at = np.empty(len(distinct), np.uint64), 0
+    while at < len(distinct):
+        stop = max(at + 1, int(np.searchsorted(bounds, bounds[at] + HASH_BYTES, "right")) - 1)
+        some = bounds[at : stop + 1] - bounds[at]
+        found[at:stop] = _hashes(data[bounds[at] : bounds[stop]].tobytes(), some[:-1], some[1:])
+        at = stop
     return (found >> np.uint64(64 - bits)).view(np.int64)
 
 
@@ -53,7 +61,7 @@ def counted(docs: DataFrame, bits: int, strings: bool) -> DataFrame:
                 continue
             coded = words.dictionary_encode()
             ids, distinct = coded.indices.to_numpy(), coded.dictionary
-            digest = _digests(distinct.to_pylist(), bits)
+            digest = _digests(distinct, bits)
             lids, gids = part.column(0).to_numpy(), part.column(1).to_numpy()
             groups, first, group = np.unique(gids, return_index=True, return_inverse=True)
             # Once per document and term, then once per group and term.
@@ -77,7 +85,7 @@ def dictionary(docs: DataFrame, bits: int) -> DataFrame:
         for part in _slices(batches):
             distinct = words_and_rows(part.column(2), IN_LETTER)[0].unique()
             if len(distinct):
-                digest = pa.array(_digests(distinct.to_pylist(), bits))
+                digest = pa.array(_digests(distinct, bits))
                 yield pa.RecordBatch.from_arrays([digest, distinct.cast(pa.large_string()).cast(pa.string())], ["digest", "term"])
 
     terms = docs.select("lid", "gid", "text").mapInArrow(run, "digest long, term string")
