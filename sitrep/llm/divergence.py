@@ -7,18 +7,19 @@ Strings are joined back only to rows of the result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitrep.llm.common import _hashes, slices, stored, text_bytes, words_and_rows
+from sitrep.llm.common import _hashes, slices, small_batches, stored, text_bytes, words_and_rows
 from sitrep.operators import scale
 
 # Letters; every byte of a non-ASCII character counts.
 IN_LETTER = np.array([b >= 0x80 or chr(b).isalpha() for b in range(256)])
+# Text that reaches a worker, and is cut into words, at a time.
 SLICE_BYTES = 4 << 20
 # Bytes of terms that are hashed at a time.
 HASH_BYTES = 1 << 18
@@ -44,6 +45,8 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for low, high in slices(batch.column(2), SLICE_BYTES):
             yield batch.slice(low, high - low)
+            # A worker lives on between its tasks; what it has freed goes back.
+            pa.default_memory_pool().release_unused()
 
 
 def counted(docs: DataFrame, bits: int, strings: bool) -> DataFrame:
@@ -89,7 +92,8 @@ def dictionary(docs: DataFrame, bits: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([digest, distinct.cast(pa.large_string()).cast(pa.string())], ["digest", "term"])
 
     terms = docs.select("lid", "gid", "text").mapInArrow(run, "digest long, term string")
-    return stored(terms.groupBy("digest").agg(F.min("term").alias("lo"), F.max("term").alias("hi")), "dictionary")
+    with small_batches(docs.sparkSession, SLICE_BYTES):
+        return stored(terms.groupBy("digest").agg(F.min("term").alias("lo"), F.max("term").alias("hi")), "dictionary")
 
 
 def kept_terms(docs: DataFrame, known: DataFrame, bits: int, min_docs: int) -> DataFrame:
@@ -111,7 +115,8 @@ def kept_terms(docs: DataFrame, known: DataFrame, bits: int, min_docs: int) -> D
     )
     term = F.col("term") if "term" in keys else F.lit(None).cast("string")
     kept = grouped.where(F.col("d") >= min_docs)
-    return stored(kept.select("lid", "digest", term.alias("term"), "c", "cells"), "kept-terms")
+    with small_batches(docs.sparkSession, SLICE_BYTES):
+        return stored(kept.select("lid", "digest", term.alias("term"), "c", "cells"), "kept-terms")
 
 
 def share(n: Column, size: Column) -> Column:
@@ -168,16 +173,47 @@ def _shared(lid: int, term: np.ndarray, gid: np.ndarray, p: np.ndarray, p0: np.n
     return [groups[g], groups[h], total[g, h]]
 
 
-def shared_terms(shares: DataFrame) -> DataFrame:
-    """``g, h, value`` over rows of ``lid, cells`` with shares: blocks of terms, one matrix of groups each."""
+def _held_shares(sizes: list[tuple]) -> Callable[[pa.StructArray], list[np.ndarray]]:
+    """Groups, shares and shares of absent terms of cells ``gid, n``, from ``gid, size, p0`` of all groups."""
+    found = sorted(sizes)
+    gids, divisors, absent = (np.array([r[i] or 0 for r in found], np.int64) for i in range(3))
+
+    def of(cells: pa.StructArray) -> list[np.ndarray]:
+        gid, n = cells.field(0).to_numpy(), cells.field(1).to_numpy()
+        at = np.searchsorted(gids, gid)
+        if len(n) and n.max() >= _LARGE:
+            p = np.array([1 + SHARE * (c + 1) // d for c, d in zip(n.tolist(), divisors[at].tolist())], np.int64)
+        else:
+            p = 1 + SHARE * (n + 1) // divisors[at]
+        return [gid, p, absent[at]]
+
+    return of
+
+
+def _given_shares(cells: pa.StructArray) -> list[np.ndarray]:
+    return [cells.field(i).to_numpy() for i in range(3)]
+
+
+def shared_terms(kept: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``g, h, value``: blocks of terms of a language, one matrix of groups each.
+
+    Shares are taken in the same pass: two Python steps in a row would hold two workers a task.
+    """
+    few, rows, size = scale.measured(sizes.select("gid", "size", "p0"), "group-sizes")
+    if scale.is_small(rows, size):
+        shares, of = kept, _held_shares(few.collect())
+    else:
+        each = kept.select("lid", "digest", "term", F.explode("cells").alias("cell"))
+        joined = each.join(few.withColumnRenamed("gid", "of"), F.col("cell.gid") == F.col("of"))
+        cell = F.struct("cell.gid", share(F.col("cell.n"), F.col("size")).alias("p"), "p0")
+        shares, of = joined.groupBy("lid", "digest", "term").agg(F.collect_list(cell).alias("cells")), _given_shares
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lids = batch.column(0).to_numpy()
             lists = batch.column(1)
             sizes = np.diff(lists.offsets.to_numpy())
-            cells = lists.flatten()
-            gid, p, p0 = (cells.field(i).to_numpy() for i in range(3))
+            gid, p, p0 = of(lists.flatten())
             term = np.repeat(np.arange(len(sizes)), sizes)
             for lid in np.unique(lids).tolist():
                 here = lids[term] == lid
@@ -191,35 +227,6 @@ def shared_terms(shares: DataFrame) -> DataFrame:
     return shares.select("lid", "cells").mapInArrow(run, "g long, h long, value long")
 
 
-def _with_shares(kept: DataFrame, sizes: DataFrame) -> DataFrame:
-    """``lid, cells`` of every term, cells with the group's share of it and of an absent term."""
-    few, rows, size = scale.measured(sizes.select("gid", "size", "p0"), "group-sizes")
-    if not scale.is_small(rows, size):
-        each = kept.select("lid", "digest", "term", F.explode("cells").alias("cell"))
-        joined = each.join(few.withColumnRenamed("gid", "of"), F.col("cell.gid") == F.col("of"))
-        cell = F.struct("cell.gid", share(F.col("cell.n"), F.col("size")).alias("p"), "p0")
-        return joined.groupBy("lid", "digest", "term").agg(F.collect_list(cell).alias("cells")).select("lid", "cells")
-    found = sorted(few.collect())
-    gids, divisors, absent = (np.array([r[i] or 0 for r in found], np.int64) for i in range(3))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(1)
-            cells = lists.flatten()
-            gid, n = cells.field(0), cells.field(1).to_numpy()
-            at = np.searchsorted(gids, gid.to_numpy())
-            if len(n) and n.max() >= _LARGE:
-                p = np.array([1 + SHARE * (c + 1) // d for c, d in zip(n.tolist(), divisors[at].tolist())], np.int64)
-            else:
-                p = 1 + SHARE * (n + 1) // divisors[at]
-            fields = pa.StructArray.from_arrays([gid, pa.array(p), pa.array(absent[at])], ["gid", "p", "p0"])
-            offsets = pa.array(np.append(0, np.cumsum(np.diff(lists.offsets.to_numpy()))), pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, fields)], ["lid", "cells"])
-
-    schema = "lid long, cells array<struct<gid: long, p: long, p0: long>>"
-    return kept.select("lid", "cells").mapInArrow(run, schema)
-
-
 def pair_rows(kept: DataFrame, sizes: DataFrame) -> DataFrame:
     """``gid, item, value`` for every two sources of a language.
 
@@ -244,7 +251,7 @@ def pair_rows(kept: DataFrame, sizes: DataFrame) -> DataFrame:
     second = alone.groupBy(F.col("y.gid").alias("g"), F.col("x.gid").alias("h")).agg(
         F.sum(F.col("terms") * gap(F.col("p0"), F.col("p"))).alias("value")
     )
-    parts = base.unionByName(first).unionByName(second).unionByName(shared_terms(_with_shares(kept, sizes)))
+    parts = base.unionByName(first).unionByName(second).unionByName(shared_terms(kept, sizes))
     total = parts.groupBy("g", "h").agg(F.sum("value").alias("value"))
     named = sizes.select(F.col("gid").alias("h"), F.col("source").alias("item"))
     order = Window.partitionBy("gid").orderBy(F.desc("value"), "item")

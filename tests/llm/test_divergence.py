@@ -88,6 +88,20 @@ def test_empty_table_and_no_kept_terms(spark):
     assert found(dv.divergence(docs, min_docs=10**6)) == brute(rows, min_docs=10**6)
 
 
+def test_a_task_holds_one_worker_and_small_batches(spark, monkeypatch):
+    key, seen, stored = "spark.sql.execution.arrow.maxBytesPerBatch", {}, dv.stored
+
+    def noted(df, label, *rest):
+        seen[label] = spark.conf.get(key, None)
+        return stored(df, label, *rest)
+
+    before = spark.conf.get(key, None)
+    monkeypatch.setattr(dv, "stored", noted)
+    plan = dv.divergence(spark.createDataFrame(rows_of(8, 30), SCHEMA))._jdf.queryExecution().toString()
+    assert {seen["dictionary"], seen["kept-terms"]} == {str(dv.SLICE_BYTES)} and spark.conf.get(key, None) == before
+    assert plan.split("== Physical Plan ==")[1].count("MapInArrow") == 1
+
+
 def test_shares_of_very_large_counts(spark):
     counts = [(0, 5), (8_999_999_999, 10**10), (9_000_000_001, 10**11), (6 * 10**14, 10**15)]
     df = spark.createDataFrame(counts, "n long, size long").select("n", "size", dv.share(F.col("n"), F.col("size")).alias("p"))
