@@ -1,10 +1,10 @@
-"""Content-addressed web archive: payloads once by digest, exact record headers beside them."""
+"""Content-addressed web archive: payloads once by digest, with the exact header of their record."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sitrep.operators import scale
@@ -14,6 +14,7 @@ DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
+FIELDS = ("digest", "header", "page_id", "record_type", "url", "named_digest", "refers_to", "length", "payload", "record")
 # Two line ends close a record.
 END = b"\r\n\r\n"
 
@@ -30,16 +31,24 @@ def base32(hexadecimal: Column) -> Column:
 class Archive:
     """Folders of an archive.
 
-    ``payloads``: ``digest`` (SHA-256), ``payload``, one row per distinct payload.
-    ``headers``: ``digest`` and ``header``, the exact bytes of every record up to its payload.
+    ``payloads``: ``digest`` (SHA-256), ``payload``, one row per distinct payload, and the
+    ``header`` of a response with it; null if none lies there. ``headers``: ``digest`` and
+    ``header`` of all other records. A header is the exact bytes of a record up to its payload.
     """
 
     path: str
 
     def payloads(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema("digest string, payload binary").parquet(f"{self.path}/payloads")
+        return self.responses(spark).select("digest", "payload")
 
     def headers(self, spark: SparkSession) -> DataFrame:
+        beside = self.responses(spark).where("header IS NOT NULL").select("digest", "header")
+        return self.apart(spark).unionByName(beside)
+
+    def responses(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema("digest string, header binary, payload binary").parquet(f"{self.path}/payloads")
+
+    def apart(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema("digest string, header binary").parquet(f"{self.path}/headers")
 
 
@@ -66,7 +75,7 @@ def write_archive(
     other and refers, as a response, to nothing. A null url leaves its line out.
 
     Only digests and ids are shuffled to find the copies. A payload moves once, to its
-    digest, and only those of responses do.
+    response's header, and lies beside it.
     """
     rows = pages.select(
         pages[page_id].cast("long").alias("page_id"),
@@ -78,7 +87,8 @@ def write_archive(
     leads = short.groupBy("digest").agg(F.max("page_id").alias("lead_id"))
 
     named = short.join(leads, "digest")
-    revisit = (F.col("n") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("lead_id"))
+    leads_copies = F.col("page_id").eqNullSafe(F.col("lead_id"))
+    revisit = (F.col("n") >= min_bytes) & ~leads_copies
     digest = F.concat(F.lit("sha1:"), base32(F.col("sha1")))
     header = F.concat(
         F.lit("WARC/1.1\r\n"),
@@ -95,26 +105,29 @@ def write_archive(
         _line("Content-Length", F.when(revisit, 0).otherwise(F.col("n"))),
         F.lit("\r\n"),
     )
-    named.select("digest", header.cast("binary").alias("header")).write.parquet(f"{path}/headers")
-    # Pages that repeat the largest id bring the same bytes. One key for the join and for that,
-    # so that payloads are shuffled once.
-    keyed = rows.select(F.concat_ws(":", "digest", "page_id").alias("name"), "digest", "payload")
-    names = leads.select(F.concat_ws(":", "digest", "lead_id").alias("name"))
-    once = keyed.join(names, "name", "left_semi").dropDuplicates(["name"])
-    once.select("digest", "payload").write.option("compression", "zstd").parquet(f"{path}/payloads")
+    name = F.concat_ws(":", "digest", "page_id").alias("name")
+    headed = named.select("digest", name, leads_copies.alias("leads"), header.cast("binary").alias("header"))
+    # Of pages that repeat the largest id, which bring the same bytes, one has its header beside them.
+    first = Window.partitionBy("name").orderBy("header")
+    responses = headed.where("leads").withColumn("place", F.row_number().over(first))
+    responses = scale.materialize(responses.select("digest", "name", "header", "place"), "responses")
+    apart = headed.where(~F.col("leads")).select("digest", "header").unionByName(responses.where("place > 1").select("digest", "header"))
+    apart.write.parquet(f"{path}/headers")
+    keyed = rows.select(name, "payload")
+    once = responses.where("place = 1").join(keyed, "name").dropDuplicates(["name"])
+    once.select("digest", "header", "payload").write.option("compression", "zstd").parquet(f"{path}/payloads")
     return Archive(path)
 
 
 def parse_headers(headers: DataFrame) -> DataFrame:
-    """Fields of the stored headers, null where a header has none."""
+    """Rows with the fields of their headers, null where a header has none."""
     text = F.col("header").cast("string")
 
     def field(name: str) -> Column:
         return F.nullif(F.regexp_extract(text, f"\r\n{name}: ([^\r\n]*)\r\n", 1), F.lit(""))
 
     return headers.select(
-        "digest",
-        "header",
+        "*",
         field("WARC-Page-ID").cast("long").alias("page_id"),
         field("WARC-Type").alias("record_type"),
         field("WARC-Target-URI").alias("url"),
@@ -130,7 +143,26 @@ def verified(payloads: DataFrame) -> DataFrame:
     checked = F.when(right, F.col("payload")).otherwise(
         F.raise_error(F.concat(F.lit("payload does not have digest "), F.col("digest"))).cast("binary")
     )
-    return payloads.select("digest", checked.alias("payload"))
+    return payloads.withColumn("payload", checked)
+
+
+def _rebuilt(records: DataFrame) -> DataFrame:
+    """Responses with header and payload put together, and held against what the header says."""
+    record = F.concat("header", "payload", F.lit(END))
+    size = F.octet_length("record") - F.octet_length("header") - len(END)
+    body = F.substring("record", F.octet_length("header") + 1, size)
+    return _held(records.withColumn("record", record), size, size, base32(F.sha1(body)))
+
+
+def _held(records: DataFrame, length: Column, size: Column, digest: Column) -> DataFrame:
+    """Records with size and digest of their payload; one whose header has others stops the job."""
+    right = (F.col("named_digest") == F.concat(F.lit("sha1:"), digest)) & (F.col("length") == length)
+    wrong = F.raise_error(F.concat(F.lit("record does not fit its payload: "), F.col("header").cast("string")))
+    return records.select(
+        *FIELDS,
+        F.when(right, size.cast("long")).otherwise(wrong.cast("long")).alias("payload_bytes"),
+        F.when(right, digest).otherwise(wrong.cast("string")).alias("payload_digest"),
+    )
 
 
 def read_records(spark: SparkSession, archive: Archive) -> DataFrame:
@@ -140,23 +172,22 @@ def read_records(spark: SparkSession, archive: Archive) -> DataFrame:
     ``payload_digest`` are taken from them, for a revisit from the payload it refers to. A
     record whose payload is missing, or differs from the header's digest or length, stops
     the job.
+
+    A response is put together where it lies. Size and digest of a payload go to the revisits
+    that refer to it; its bytes only if they are asked for.
     """
-    parsed = parse_headers(archive.headers(spark))
-    payloads = verified(archive.payloads(spark)).select("digest", "payload")
-    response = F.col("record_type") == "response"
-    body = F.when(response, F.col("payload")).otherwise(F.lit(b""))
-    records = parsed.join(payloads, "digest", "left").withColumn("record", F.concat("header", body, F.lit(END)))
-    size = F.octet_length("record") - F.octet_length("header") - len(END)
-    rebuilt = F.when(response, F.substring("record", F.octet_length("header") + 1, size)).otherwise(F.col("payload"))
-    digest = base32(F.sha1(rebuilt))
-    right = (F.col("named_digest") == F.concat(F.lit("sha1:"), digest)) & (F.col("length") == size)
-    wrong = F.raise_error(F.concat(F.lit("record does not fit its payload: "), F.col("header").cast("string")))
-    return records.withColumns(
-        {
-            "payload_bytes": F.when(right, F.octet_length(rebuilt).cast("long")).otherwise(wrong.cast("long")),
-            "payload_digest": F.when(right, digest).otherwise(wrong.cast("string")),
-        }
-    )
+    stored = verified(archive.responses(spark))
+    beside = parse_headers(stored.where("header IS NOT NULL"))
+    apart = parse_headers(archive.apart(spark))
+    response = F.col("record_type").eqNullSafe("response")
+    # Few headers of responses lie apart; only the payloads of these move to them.
+    alone = apart.where(response)
+    wanted = scale.lookup_join(stored.select("digest", "payload"), alone.select("digest").distinct(), ["digest"], "left_semi")
+    facts = stored.select("digest", "payload", F.octet_length("payload").alias("size"), base32(F.sha1("payload")).alias("sha1"))
+    revisits = apart.where(~response).join(facts, "digest", "left").withColumn("record", F.concat("header", F.lit(END)))
+    body = F.octet_length("record") - F.octet_length("header") - len(END)
+    found = _rebuilt(beside).unionByName(_rebuilt(alone.join(wanted, "digest", "left")))
+    return found.unionByName(_held(revisits, body, F.col("size"), F.col("sha1")))
 
 
 def export_warc(spark: SparkSession, archive: Archive, path: str) -> None:

@@ -201,6 +201,30 @@ def test_records_that_do_not_fit_their_payload_stop_the_job(spark, tmp_path, nam
         archive.read_records(spark, changed).select("payload_digest").collect()
 
 
+def test_payloads_do_not_move_to_be_read(spark, tmp_path, monkeypatch):
+    rows = [(i, "u", f"page {i % 40} {'x' * i}") for i in range(60)] + [(i, "v", "same") for i in (70, 71, 72, 72, 72)] + [(None, None, "same")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    kept = archive.write_archive(pages, str(tmp_path / "archive"))
+    assert kept.payloads(spark).count() == 61 and kept.headers(spark).count() == len(rows)
+    assert kept.apart(spark).count() == 5 and kept.responses(spark).where("header IS NULL").count() == 0
+    records = archive.read_records(spark, kept)
+    found = [(r.page_id, r.record_type, r.refers_to, bytes(r.payload), r.payload_bytes) for r in records.collect()]
+    wanted = [(i, "response", None, t.encode(), len(t)) for i, _, t in rows[:60]] + [(72, "response", None, b"same", 4)] * 3
+    wanted += [(i, "revisit", 72, b"same", 4) for i in (70, 71, None)]
+    assert sorted(found, key=repr) == sorted(wanted, key=repr)
+    for r in records.collect():
+        assert bytes(r.record) == bytes(r.header) + (bytes(r.payload) if r.record_type == "response" else b"") + b"\r\n\r\n"
+    short = archive.write_archive(pages, str(tmp_path / "short"), min_bytes=5)
+    assert short.payloads(spark).count() == 61
+    assert {(r.record_type, r.payload_digest is None) for r in archive.read_records(spark, short).collect()} == {("response", False)}
+    # Digests are had with the payloads of repeated ids alone in an exchange.
+    asked, lookup_join = [], archive.scale.lookup_join
+    monkeypatch.setattr(archive.scale, "lookup_join", lambda left, right, *how: (asked.append(right.count()), lookup_join(left, right, *how))[1])
+    plan = archive.read_records(spark, kept).select("page_id", "payload_digest")._jdf.queryExecution().optimizedPlan().toString()
+    taken = [line for line in plan.split("\n") if " AS sha1#" in line]
+    assert asked == [1] and len(taken) == 1 and "Project [digest#" in taken[0] and ", payload#" not in taken[0]
+
+
 def test_mixing(table):
     found = mixing.mix(table).collect()
     assert len(found) == len(ROWS)
