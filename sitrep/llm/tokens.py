@@ -11,12 +11,14 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import sys
 import types
 import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,18 +37,40 @@ REMEMBERED = 300_000
 
 # Texts that are cut into words and put together at once.
 BATCH_BYTES = 1 << 21
+# Words that are encoded as one text, and such texts in one call.
+TOGETHER = 100
+CALL = 64
 
 _INNER_SPACE = re.compile(r"[^\S \n]")
 _CUTS = np.isin(np.arange(256), list(b" \n"))
-_MARKS = np.isin(np.arange(256), list(b".,"))
 _LETTERS = np.array([chr(b).isalpha() and b < 0x80 for b in range(256)])
 
 
-def _byte_letters() -> dict[int, str]:
-    """The printable letter that byte-level vocabularies write for each byte."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in shown]
-    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
+def _runs(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` that begin at ``starts``, one after the other."""
+    return flat[np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)]
+
+
+class Held:
+    """Words by number, and their ids in one array."""
+
+    def __init__(self, dtype: np.dtype):
+        self.numbers: dict[bytes, int] = {}
+        self.flat, self.sizes = np.zeros(0, dtype), np.zeros(0, np.int64)
+        self.starts = np.zeros(0, np.int64)
+
+    def find(self, words: list[bytes]) -> np.ndarray:
+        """Numbers of words, -1 for those not held."""
+        return np.fromiter(map(self.numbers.get, words, repeat(-1)), np.int64, len(words))
+
+    def ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        sizes = self.sizes[numbers]
+        return _runs(self.flat, self.starts[numbers], sizes), sizes
+
+    def add(self, words: list[bytes], flat: np.ndarray, sizes: np.ndarray) -> None:
+        self.numbers.update(zip(words, range(len(self.sizes), len(self.sizes) + len(words))))
+        self.starts = np.append(self.starts, len(self.flat) + np.cumsum(sizes) - sizes)
+        self.flat, self.sizes = np.append(self.flat, flat), np.append(self.sizes, sizes)
 
 
 class Encoder:
@@ -55,8 +79,9 @@ class Encoder:
     A byte-level vocabulary splits a text at every single space or line feed between two
     words, so that each word with the mark before it has the same ids wherever it stands. A
     batch of texts is cut there, each distinct word looked up or encoded once, and the ids
-    put together as arrays. Texts with other white space, with more of it in a row, or with
-    the name of a special token go to the tokenizer whole.
+    put together as arrays. Words not at hand are encoded many at a time. Texts with other
+    white space, with more of it in a row, or with the name of a special token go to the
+    tokenizer whole.
     """
 
     def __init__(self, path: str, dtype: str):
@@ -64,15 +89,18 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
         self.dtype = np.dtype(dtype)
         self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
-        self.letters = _byte_letters()
-        self.feed = self._whole("\n")
-        # Ids by word; None for a mark without a word.
-        self.known, self.older = {}, {}
+        self.known, self.older = Held(self.dtype), Held(self.dtype)
         self.by_word = self._is_byte_level()
+        # Bytes of text that every id stands for: a byte-level vocabulary writes a letter for each.
+        vocabulary = self.tokenizer.get_vocab() if self.by_word else {}
+        self.bytes_of = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        self.bytes_of[list(vocabulary.values())] = list(map(len, vocabulary))
         self.names = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        # Bytes that begin a piece of their own after a letter, and stand in no name.
+        marks = set(string.punctuation + string.digits) - set("'").union(*self.names)
+        self.marks = np.isin(np.arange(256), list(map(ord, marks)))
 
     def _is_byte_level(self) -> bool:
         kind = type(self.tokenizer.pre_tokenizer).__name__
@@ -81,38 +109,47 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _word(self, unit: bytes) -> bytes | None:
-        """Ids of a word with the mark before it; None for a mark alone, which has no word."""
-        body = unit[1:] if unit[:1] in b" \n" else unit
-        if not body:
-            return None
-        if not body.isalpha() and not body.decode().isalpha():
-            return self._whole(unit.decode())
-        # Letters are one piece, with the space before them; a line feed is one of its own.
-        start, piece = (self.feed, body) if unit[:1] == b"\n" else (b"", unit)
-        found = self.model.tokenize(piece.decode("latin-1").translate(self.letters))
-        return start + array(self.code, [t.id for t in found]).tobytes()
-
-    def _words(self, units: list[bytes]) -> list[bytes | None]:
-        known, older = self.known, self.older
-        if len(known) > REMEMBERED:
-            self.older, self.known = older, known = known, {}
-        found = []
-        for unit in units:
-            ids = known.get(unit, b"")
-            if ids == b"":
-                ids = older[unit] if unit in older else self._word(unit)
-                known[unit] = ids
-            found.append(ids)
-        return found
-
-    def _odd(self, data: np.ndarray, units: pa.Array) -> np.ndarray:
+    def _cut(self, units: list[bytes], ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words in a row, and how many each has; each encoded alone if one has no id that ends with it."""
+        flat = np.array(ids, self.dtype)
+        ends, wanted = np.cumsum(self.bytes_of[flat]), np.cumsum(list(map(len, units)))
+        last = np.searchsorted(ends, wanted)
+        if not len(ends) or ends[-1] != wanted[-1] or (ends[last] != wanted).any():
+            return self._joined([self._whole(unit.decode()) for unit in units])
+        return flat, np.diff(last, prepend=-1)
+
+    def _encode_new(self, units: list[bytes]) -> None:
+        """Take in distinct words; those with a mark before them are encoded together, as they could stand in a text."""
+        marked = [unit for unit in units if unit[:1] in b" \n"]
+        groups = [marked[i : i + TOGETHER] for i in range(0, len(marked), TOGETHER)]
+        groups += [[unit] for unit in units if unit[:1] not in b" \n"]
+        for i in range(0, len(groups), CALL):
+            some = groups[i : i + CALL]
+            found = self.tokenizer.encode_batch_fast([b"".join(g).decode() for g in some], add_special_tokens=False)
+            words = list(chain.from_iterable(some))
+            self.known.add(words, *self._cut(words, list(chain.from_iterable(e.ids for e in found))))
+
+    def _words(self, units: list[bytes], strange: np.ndarray) -> np.ndarray:
+        """Numbers of distinct words with the mark before them among those known; -1 for strange ones."""
+        if len(self.known.numbers) > REMEMBERED:
+            self.older, self.known = self.known, Held(self.dtype)
+        numbers = self.known.find(units)
+        missing = np.flatnonzero((numbers < 0) & ~strange)
+        words = [units[i] for i in missing.tolist()]
+        before = self.older.find(words)
+        again = before >= 0
+        self.known.add([w for w, a in zip(words, again.tolist()) if a], *self.older.ids(before[again]))
+        self._encode_new([w for w, a in zip(words, again.tolist()) if not a])
+        numbers[missing] = self.known.find(words)
+        return numbers
+
+    def _odd(self, data: np.ndarray, units: list[bytes]) -> np.ndarray:
         """Which distinct words hold other white space or the name of a special token."""
         text = data.tobytes().decode()
         odd = np.zeros(len(units), bool)
         for unusual in (_INNER_SPACE, *map(re.compile, map(re.escape, self.names))):
             if unusual.search(text):
-                odd |= [bool(unusual.search(u.decode())) for u in units.to_pylist()]
+                odd |= [bool(unusual.search(u.decode())) for u in units]
         return odd
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -124,28 +161,25 @@ class Encoder:
         begins = np.zeros(len(data) + 1, bool)
         begins[:-1] = _CUTS[data]
         begins[bounds] = True
-        if len(data) > 2:
-            # A full stop or comma after a letter at the end of a word is a piece of its own.
-            begins[1:-1] |= _MARKS[data[1:]] & _LETTERS[data[:-1]] & begins[2:]
+        if len(data) > 1:
+            # A mark or a digit after a letter begins a piece of its own.
+            begins[1:-1] |= self.marks[data[1:]] & _LETTERS[data[:-1]]
         offsets = np.flatnonzero(begins)
         units = pa.Array.from_buffers(
             pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())]
         ).dictionary_encode()
-        strange = self._odd(data, units.dictionary)
-        ids = [None if s else i for i, s in zip(self._words(units.dictionary.to_pylist()), strange.tolist())]
+        held, starts = text_bytes(units.dictionary)
+        letters, places = held.tobytes(), starts.tolist()
+        distinct = [letters[a:b] for a, b in zip(places, places[1:])]
+        # A space or line feed at the end of a text has no word after it.
+        bare = (np.diff(starts) == 1) & _CUTS[held[starts[:-1]]]
+        number = self._words(distinct, self._odd(data, distinct) | bare)
         code = units.indices.to_numpy()
         row = np.searchsorted(bounds, offsets[:-1], "right") - 1
         odd = np.zeros(len(column), bool)
-        odd[row[np.array([i is None for i in ids], bool)[code]]] = True
-        # A mark at the end of a text has no word after it.
-        flat = np.frombuffer(b"".join(i or b"" for i in ids), self.dtype)
-        sizes = np.array([len(i or b"") // self.dtype.itemsize for i in ids], np.int64)
-        starts = np.cumsum(sizes) - sizes
-        code = code[~odd[row]]
-        each = sizes[code]
-        place = np.arange(each.sum()) + np.repeat(starts[code] - (np.cumsum(each) - each), each)
+        odd[row[(number < 0)[code]]] = True
+        plain, each = self.known.ids(number[code[~odd[row]]])
         counts = np.bincount(row[~odd[row]], each, len(column)).astype(np.int64)
-        plain = flat[place]
         if not odd.any():
             return plain, counts
         ends = np.cumsum(counts)

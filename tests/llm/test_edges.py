@@ -464,6 +464,35 @@ def test_words_are_encoded_as_the_tokenizer_would():
         assert (ids.tolist(), counts.tolist()) == (whole, [0, len(whole)]), repr(text)
 
 
+def test_new_words_are_encoded_many_at_a_time(monkeypatch):
+    encoder = tokens.Encoder(tokenizer_path(), "<u2")
+    marks = [" ", "\n", ". ", ", "]
+    words = [f"{'xé中' * (i % 4)}{i}w{i % 7}'s" if i % 2 else "ab" + "cde中é"[i % 5] * (i % 9) + chr(97 + i % 26) * (i // 26) for i in range(600)]
+    cases = ["".join(w + marks[(i + k) % 4] for i, w in enumerate(words[k:])).strip() for k in range(3)]
+    wanted = [encoder.tokenizer.encode(text, add_special_tokens=False).ids for text in cases]
+
+    def alone(text):
+        raise AssertionError(f"{text!r} was encoded alone")
+
+    monkeypatch.setattr(encoder, "_whole", alone)
+    ids, counts = encoder.encode(pa.array(cases))
+    assert [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])] == wanted
+    # Words that can't be told apart are encoded one by one.
+    monkeypatch.setattr(tokens, "REMEMBERED", 50)
+    encoder = tokens.Encoder(tokenizer_path(), "<u2")
+    for _ in range(4):
+        for k in (0, 2, 1):
+            assert encoder.encode(pa.array(cases[k : k + 1]))[0].tolist() == wanted[k]
+    encoder = tokens.Encoder(tokenizer_path(), "<u2")
+    encoder.bytes_of = encoder.bytes_of + 1
+    ids, counts = encoder.encode(pa.array(cases))
+    assert [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])] == wanted
+    mixed = ["a1b2 c-d e's5 f.g@h.org (i) <j>k|l", "x<|endoftext|>y", "l|>m t7's n's. o'-p q!!! é1 1é"]
+    wanted = [encoder.tokenizer.encode(text, add_special_tokens=False).ids for text in mixed]
+    for text, whole in zip(mixed, wanted):
+        assert tokens.Encoder(tokenizer_path(), "<u2").encode(pa.array([text]))[0].tolist() == whole
+
+
 def test_names_of_special_tokens_are_that_token(spark):
     rows = spark.createDataFrame([(1, "a <|endoftext|> b"), (2, "a b")], "doc_id long, text string")
     found = tokens.tokenized(rows, tokenizer_path()).orderBy("doc_id").collect()
