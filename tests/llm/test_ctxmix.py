@@ -279,3 +279,73 @@ def test_learning_sends_small_batches_and_stores_without_snappy(spark, monkeypat
     monkeypatch.setattr(ctxmix, "BATCH_ROWS", 10)
     batch = pa.RecordBatch.from_arrays([pa.array(range(25))], ["i"])
     assert [b.num_rows for b in ctxmix._in_rows(batch)] == [10, 10, 5]
+
+
+def stream_of(texts):
+    """Bytes of texts with a blank after every word and the end, each byte's place in its word, and the bytes before it in its text."""
+    data, place, known = bytearray(), [], []
+    for text in texts:
+        begin = len(data)
+        for word in tokens_of(text):
+            spelled = word.encode() + b" "
+            known += range(len(data) - begin, len(data) - begin + len(spelled))
+            place += range(len(spelled))
+            data += spelled
+    return np.frombuffer(bytes(data), np.uint8), np.array(place), np.array(known)
+
+
+ORDERED = ["a to the naïve onlooker's unbelievably long word a b c", "", None, "b", "a to the", " \t", "tothe a unbelievable b c a to", "x" * 300 + " a", "日本 日本語 a"]
+
+
+def test_bits_are_predicted_from_the_text_before_their_word(spark):
+    """Counts and costs by grams and words are those of every byte of the texts, one after the other."""
+    import pyarrow as pa
+
+    rows = [(i, is_held(i), ORDERED[i % len(ORDERED)]) for i in range(60)]
+    found = ctxmix.chunks(spark.createDataFrame(rows, "doc_id long, held boolean, text string").na.fill("").repartition(3))
+    shares, _ = ctxmix.class_shares(found, 2)
+    words, grams = ctxmix.word_table(found, shares), ctxmix.gram_table(found)
+    data, place, known = stream_of([t for _, held, t in rows if not held])
+    expected = np.zeros((int(ctxmix.STARTS[-1]), 2), np.float32)
+    for slots, bit in ctxmix.bits_of(data, place, known=known):
+        for row in slots:
+            np.add.at(expected, (row, bit), 1)
+    table = ctxmix.bit_counts(words, 2, grams)
+    assert (table == expected).all()
+    assert not (table == ctxmix.bit_counts(words, 2)).all()
+    assert sum(r.n for r in grams.collect()) == (place < ctxmix.REACH).sum()
+
+    mixer, dictionary = ctxmix.fit(words, table, np.array([len(data), 0], float), found=grams)
+    assert 0 < dictionary < 1
+    stretch, levels = ctxmix.compact(table)
+    model = {"weights": mixer.weights, "curve": mixer.curve, "stretch": stretch, "levels": levels}
+    texts = [t or "" for t in ORDERED]
+    letters, ends, tokens, lengths = ctxmix.tokenized(pa.array(texts))
+    near = ctxmix.token_costs(model, letters, ends, tokens, lengths)
+    costs = near + ctxmix.word_costs(model, letters, ends, ctxmix.REACH)[tokens]
+    data, place, known = stream_of(texts)
+    last = np.where(place > 0, np.append(0, data[:-1]), 256)
+    total = np.zeros(len(data))
+    for slots, bit in ctxmix.bits_of(data, place, known=known):
+        gate = ctxmix.gate_of(levels[slots[-3:]]).astype(np.int64)
+        p, _, _ = mixer.refined(mixer.mixed(stretch[slots].astype(np.float32), gate), last)
+        total += np.log(np.where(bit == 1, p, 1 - p))
+    assert costs == pytest.approx(np.add.reduceat(total, np.flatnonzero(place == 0)), rel=1e-5)
+
+
+def test_the_order_of_words_counts(spark):
+    """The same words, none twice in a text: they had one score in any order while contexts ended with the word."""
+    words = [f"w{i * i}" for i in range(40)]
+    train, held = [i for i in range(400) if not is_held(i)], [i for i in range(400) if is_held(i)]
+    rows = [(i, " ".join(words[i % 5 :])) for i in train] + [(held[0], " ".join(words[5:])), (held[1], " ".join(words[:4:-1]))]
+    found = {r.doc_id: r for r in ctxmix.scored(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    ordered, turned = found[held[0]], found[held[1]]
+    assert ordered.base_score == pytest.approx(turned.base_score) and ordered.n_tokens == turned.n_tokens
+    assert ordered.score > turned.score + 1
+
+
+def test_words_spelled_or_whole():
+    share, spelled = np.array([0.5, 0.0, 1e-9, 0.0]), np.array([-2.0, -3.0, -90_000.0, -90_000.0])
+    found = ctxmix.either(share, spelled, 0.25)
+    assert found[:3] == pytest.approx([math.log(0.125 + 0.75 * math.exp(-2)), math.log(0.75) - 3, math.log(0.25e-9)])
+    assert found[3] == pytest.approx(math.log(0.75) - 90_000)
