@@ -297,12 +297,13 @@ def stream_of(texts):
 ORDERED = ["a to the naïve onlooker's unbelievably long word a b c", "", None, "b", "a to the", " \t", "tothe a unbelievable b c a to", "x" * 300 + " a", "日本 日本語 a"]
 
 
-def test_bits_are_predicted_from_the_text_before_their_word(spark):
+def test_bits_are_predicted_from_the_text_before_their_word(spark, monkeypatch):
     """Counts and costs by grams and words are those of every byte of the texts, one after the other."""
     import pyarrow as pa
 
     rows = [(i, is_held(i), ORDERED[i % len(ORDERED)]) for i in range(60)]
     found = ctxmix.chunks(spark.createDataFrame(rows, "doc_id long, held boolean, text string").na.fill("").repartition(3))
+    monkeypatch.setattr(ctxmix, "FEW_TOKENS", 7)
     shares, _ = ctxmix.class_shares(found, 2)
     words, grams = ctxmix.word_table(found, shares), ctxmix.gram_table(found)
     data, place, known = stream_of([t for _, held, t in rows if not held])
@@ -322,6 +323,12 @@ def test_bits_are_predicted_from_the_text_before_their_word(spark):
     texts = [t or "" for t in ORDERED]
     letters, ends, tokens, lengths = ctxmix.tokenized(pa.array(texts))
     near = ctxmix.token_costs(model, letters, ends, tokens, lengths)
+    sent = spark.sparkContext.broadcast(model)
+    for most in (1 << 20, 100, 0):
+        monkeypatch.setattr(ctxmix, "FREQUENT", most)
+        frequent = ctxmix.frequent_costs(grams, sent)
+        assert len(frequent[0]) <= most and (len(frequent[0]) > 0) == (most > 0) and (np.diff(frequent[0].view(np.int64)) > 0).all()
+        assert ctxmix.token_costs(model, letters, ends, tokens, lengths, frequent) == pytest.approx(near, rel=1e-6)
     costs = near + ctxmix.word_costs(model, letters, ends, ctxmix.REACH)[tokens]
     data, place, known = stream_of(texts)
     last = np.where(place > 0, np.append(0, data[:-1]), 256)
@@ -346,6 +353,6 @@ def test_the_order_of_words_counts(spark):
 
 def test_words_spelled_or_whole():
     share, spelled = np.array([0.5, 0.0, 1e-9, 0.0]), np.array([-2.0, -3.0, -90_000.0, -90_000.0])
-    found = ctxmix.either(share, spelled, 0.25)
+    found = ctxmix.either(share, spelled, np.exp(spelled), np.flatnonzero(spelled < -400), 0.25)
     assert found[:3] == pytest.approx([math.log(0.125 + 0.75 * math.exp(-2)), math.log(0.75) - 3, math.log(0.25e-9)])
     assert found[3] == pytest.approx(math.log(0.75) - 90_000)
